@@ -28,6 +28,7 @@ from cardamom.functions.numbers import (
     random_day_offset,
     rounded_mean,
     rounded_sum,
+    to_float,
     to_int,
 )
 from cardamom.functions.text import (
@@ -68,6 +69,7 @@ __all__ = [
     "split_items",
     "strip_text",
     "time_of_day",
+    "to_float",
     "to_int",
     "trim_space",
 ]

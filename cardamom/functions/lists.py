@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cardamom.functions.numbers import to_int
 from cardamom.functions.text import _col, full_match, trim_space
 
 # Integers as JSON writes them, with JSON's own blanks around them.
@@ -16,8 +17,10 @@ _INT_LIST = rf"{_BLANK}|{_INT}(,{_INT})*"
 
 
 def split_items(c: Column | str, sep: str = ",") -> Column:
-    """Split on a literal separator (``split`` itself takes a regex)."""
-    return F.split(_col(c), rf"\Q{sep}\E", -1)
+    """Split on a literal one-character separator (``split`` takes a regex)."""
+    if len(sep) != 1:
+        raise ValueError(f"separator must be one character: {sep!r}")
+    return F.split(_col(c), sep if sep.isalnum() else "\\" + sep, -1)
 
 
 def parse_int_list(c: Column | str, sep: str = ",", on_bad: str = "drop") -> Column:
@@ -26,16 +29,18 @@ def parse_int_list(c: Column | str, sep: str = ",", on_bad: str = "drop") -> Col
     ``on_bad`` says what happens to an item that is no integer: ``drop`` it,
     keep it as ``null``, or ``fail`` the job.
     """
-    if on_bad not in ("drop", "null", "fail"):
-        raise ValueError(f"on_bad: {on_bad!r}")
-    blank = F.coalesce(trim_space(c) == "", F.lit(True))
-    if on_bad == "fail":
-        items = F.transform(split_items(c, sep), lambda x: trim_space(x).cast("bigint"))
-    else:
-        items = F.transform(split_items(c, sep), lambda x: trim_space(x).try_cast("bigint"))
+    empty = F.array().cast("array<bigint>")
+    items = split_items(c, sep)
     if on_bad == "drop":
-        items = F.filter(items, lambda x: x.isNotNull())
-    return F.when(blank, F.array().cast("array<bigint>")).otherwise(items)
+        numbers = F.filter(F.transform(items, to_int), lambda x: x.isNotNull())
+        return F.coalesce(numbers, empty)
+    if on_bad == "null":
+        numbers = F.transform(items, to_int)
+    elif on_bad == "fail":
+        numbers = F.transform(items, lambda x: trim_space(x).cast("bigint"))
+    else:
+        raise ValueError(f"on_bad: {on_bad!r}")
+    return F.when(trim_space(c) != "", numbers).otherwise(empty)
 
 
 def is_int_list(c: Column | str) -> Column:

@@ -43,10 +43,23 @@ def parse_price(c: Column | str, symbol: str = "$") -> Column:
     return strip_text(c, symbol).cast(MONEY)
 
 
+# An integer in text, outer blanks allowed as in a cast.
+_INTEGER = r"\A\s*[+-]?[0-9]+\s*\z"
+
+
 def to_int(c: Column | str) -> Column:
-    """Integer or NULL.  Accepts outer blanks and a sign, not ``12.0``."""
-    text = trim_space(_col(c).cast("string"))
-    return F.when(text.rlike(r"\A[+-]?[0-9]+\z"), text.try_cast("bigint"))
+    """Integer or NULL.  Accepts outer blanks and a sign, not ``12.0``.
+
+    A failing cast costs an exception per value; the pattern sorts out what is
+    no number first.
+    """
+    text = _col(c).cast("string")
+    return F.when(text.rlike(_INTEGER), text.try_cast("bigint"))
+
+
+def to_float(c: Column | str) -> Column:
+    """Floating-point number or NULL."""
+    return _col(c).try_cast("double")
 
 
 def py_round(c: Column | str, scale: int) -> Column:

@@ -11,7 +11,7 @@ def _col(c: Column | str) -> Column:
 
 
 def trim_space(c: Column | str) -> Column:
-    """Strip every kind of whitespace; Spark's ``trim`` only strips U+0020."""
+    """Strip every kind of white space; a bare ``trim`` strips only U+0020."""
     return F.regexp_replace(_col(c), r"(?U)\A\s+|\s+\z", "")
 
 

@@ -51,34 +51,42 @@ def row_count_check(tables: Mapping[str, DataFrame], expected: Mapping[str, int]
 
 @dataclass(frozen=True)
 class Rule:
-    """One check of one field: ``ok`` must be true, else ``reason`` applies."""
+    """One check of one field: the SQL condition ``ok`` must hold, else ``reason`` applies."""
 
     field: str
-    value: Column
-    ok: Column
+    ok: str
     reason: str
 
 
+def _texts(values: Sequence[str]) -> str:
+    quoted = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return f"array({quoted})"
+
+
 def first_failure(rules: Sequence[Rule]) -> Column:
-    """Struct (field, value, reason) of the first rule a row breaks, else NULL."""
-    checks = [
-        F.when(
-            ~F.coalesce(r.ok, F.lit(False)),
-            F.struct(
-                F.lit(r.field).alias("field"),
-                r.value.cast("string").alias("value"),
-                F.lit(r.reason).alias("reason"),
-            ),
-        )
-        for r in rules
-    ]
-    return F.coalesce(*checks)
+    """Number (from 0) of the first rule a row breaks, NULL when it breaks none.
+
+    One CASE, so later rules are not evaluated on a row that broke an earlier one.
+    """
+    cases = " ".join(
+        f"WHEN NOT coalesce({r.ok}, false) THEN {i}" for i, r in enumerate(rules)
+    )
+    return F.expr(f"CASE {cases} END")
 
 
 def split_valid(df: DataFrame, rules: Sequence[Rule], error: str = "error"):
-    """(accepted, rejected); rejected rows carry the struct ``error``."""
-    checked = df.withColumn(error, first_failure(rules))
-    return (
-        checked.filter(F.col(error).isNull()).drop(error),
-        checked.filter(F.col(error).isNotNull()),
+    """(accepted, rejected); rejected rows carry the struct ``error``.
+
+    ``error`` holds field, value and reason of the first rule broken.
+    """
+    number = first_failure(rules)
+    accepted = df.filter(number.isNull())
+    fields = _texts([r.field for r in rules])
+    values = ", ".join(f"CAST({r.field} AS string)" for r in rules)
+    reasons = _texts([r.reason for r in rules])
+    details = F.expr(
+        f"named_struct('field', {fields}[_rule], 'value', array({values})[_rule], "
+        f"'reason', {reasons}[_rule])"
     )
+    rejected = df.withColumn("_rule", number).filter("_rule IS NOT NULL")
+    return accepted, rejected.withColumn(error, details).drop("_rule")

@@ -9,26 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardamom.functions import full_match, to_int, trim_space
+from cardamom.functions import to_int, trim_space
 from cardamom.operators import Rule, number_rows, split_valid, top_k
 
 FIELDS = ["name", "phone", "experience", "catalan", "excel", "degree"]
 
 # Accepted letters, level labels, band labels and limits, reasons.
 NAME_PATTERN = r"[a-zA-ZáéíóúÁÉÍÓÚàèìòùÀÈÌÒÙäëïöüÄËÏÖÜñÑçÇ\s-]+"
-CATALAN_LEVELS = {
-    0: "sense coneixement",
-    1: "fins a nivell B1",
-    2: "nivell B2",
-    3: "C1 o superior",
-}
-EXCEL_LEVELS = {
-    0: "nivell basic",
-    1: "ús de funcions",
-    2: "taules dinàmiques",
-    3: "Visual Basic i Macros",
-}
-DEGREES = {0: "ESO", 1: "FP", 2: "Universitat", 3: "Master o superior"}
+CATALAN_LEVELS = ["sense coneixement", "fins a nivell B1", "nivell B2", "C1 o superior"]
+EXCEL_LEVELS = ["nivell basic", "ús de funcions", "taules dinàmiques", "Visual Basic i Macros"]
+DEGREES = ["ESO", "FP", "Universitat", "Master o superior"]
 BANDS = ["Prioritat alta", "Candidat adequat", "No prioritari"]
 BAND_FROM = [12, 8]
 POINTS_PER_YEAR = 1.5
@@ -43,63 +33,57 @@ EXPERIENCE_RANGE = "la experiencia debe estar entre 0 y 50 años."
 LEVEL_RANGE = "debes escribir una opción entre 0 y 3."
 
 
-def rules() -> list[Rule]:
-    """All checks in the order they apply; the first broken one rejects the row."""
-    name, phone = trim_space("name"), trim_space("phone")
+def typed(raw: DataFrame) -> DataFrame:
+    """The raw rows with trimmed texts (``*_text``) and numbers (``*_int``) beside them."""
+    texts = {f"{f}_text": trim_space(f) for f in FIELDS[:2]}
+    return raw.withColumns(texts | {f"{f}_int": to_int(f) for f in FIELDS[1:]})
 
-    def check(field: str, ok: Column, reason: str) -> Rule:
-        return Rule(field, F.col(field), ok, reason)
 
+def rules() -> list[Rule]:
+    """All checks in the order they apply; the first broken one rejects the row."""
     checks = [
-        check("name", name != "", NAME_EMPTY),
-        check("name", full_match(name, NAME_PATTERN), NAME_SYMBOLS),
-        check("phone", phone != "", PHONE_EMPTY),
-        check("phone", ~phone.contains(" "), PHONE_BLANK),
-        check("phone", F.length(phone) == 9, PHONE_LENGTH),
-        check("phone", to_int("phone").isNotNull(), PHONE_DIGITS),
-        check("experience", to_int("experience").isNotNull(), NOT_A_NUMBER),
-        check("experience", to_int("experience").between(0, 50), EXPERIENCE_RANGE),
+        Rule("name", "name_text <> ''", NAME_EMPTY),
+        Rule("name", rf"name_text RLIKE r'(?U)\A{NAME_PATTERN}\z'", NAME_SYMBOLS),
+        Rule("phone", "phone_text <> ''", PHONE_EMPTY),
+        Rule("phone", "NOT contains(phone_text, ' ')", PHONE_BLANK),
+        Rule("phone", "length(phone_text) = 9", PHONE_LENGTH),
+        Rule("phone", "phone_int IS NOT NULL", PHONE_DIGITS),
+        Rule("experience", "experience_int IS NOT NULL", NOT_A_NUMBER),
+        Rule("experience", "experience_int BETWEEN 0 AND 50", EXPERIENCE_RANGE),
     ]
     for field in ("catalan", "excel", "degree"):
-        checks.append(check(field, to_int(field).isNotNull(), NOT_A_NUMBER))
-        checks.append(check(field, to_int(field).between(0, 3), LEVEL_RANGE))
+        checks.append(Rule(field, f"{field}_int IS NOT NULL", NOT_A_NUMBER))
+        checks.append(Rule(field, f"{field}_int BETWEEN 0 AND 3", LEVEL_RANGE))
     return checks
 
 
-def _label(code: Column, labels: dict[int, str]) -> Column:
-    return F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])[code]
-
-
-def _band(score: Column) -> Column:
-    high, fit = BAND_FROM
-    return F.when(score >= high, BANDS[0]).when(score >= fit, BANDS[1]).otherwise(BANDS[2])
+def _label(field: str, labels: list[str]) -> str:
+    texts = ", ".join(f"'{text}'" for text in labels)
+    return f"array({texts})[CAST({field}_int AS int)] AS {field}_level"
 
 
 def _scored(valid: DataFrame) -> DataFrame:
-    typed = valid.select(
+    high, fit = BAND_FROM
+    scored = valid.selectExpr(
         "seq",
-        trim_space("name").alias("name"),
-        *[to_int(f).alias(f) for f in FIELDS[1:]],
+        "name_text AS name",
+        *[f"{f}_int AS {f}" for f in FIELDS[1:]],
+        _label("catalan", CATALAN_LEVELS),
+        _label("excel", EXCEL_LEVELS),
+        _label("degree", DEGREES),
+        f"experience_int * {POINTS_PER_YEAR}D + catalan_int + excel_int + degree_int AS score",
+    )
+    band = (
+        F.when(F.col("score") >= high, BANDS[0])
+        .when(F.col("score") >= fit, BANDS[1])
+        .otherwise(BANDS[2])
     )
-    levels = [F.col("catalan"), F.col("excel"), F.col("degree")]
-    score = F.col("experience") * POINTS_PER_YEAR + levels[0] + levels[1] + levels[2]
-    return typed.withColumns(
-        {
-            "catalan_level": _label(levels[0].cast("int"), CATALAN_LEVELS),
-            "excel_level": _label(levels[1].cast("int"), EXCEL_LEVELS),
-            "degree_level": _label(levels[2].cast("int"), DEGREES),
-            "score": score,
-        }
-    ).withColumn("band", _band(F.col("score")))
+    return scored.withColumn("band", band)
 
 
 def _rejects(invalid: DataFrame) -> DataFrame:
-    return invalid.select(
-        "seq",
-        F.col("name").alias("candidate"),
-        F.col("error.field").alias("field"),
-        F.col("error.value").alias("value"),
-        F.col("error.reason").alias("reason"),
+    return invalid.selectExpr(
+        "seq", "name AS candidate", "error.field", "error.value", "error.reason"
     )
 
 
@@ -109,7 +93,7 @@ def intake(raw: DataFrame, max_accepted: int | None = None) -> tuple[DataFrame,
     With ``max_accepted`` intake stops, in input order, once so many rows are
     accepted; later rows are neither accepted nor rejected.
     """
-    valid, invalid = split_valid(raw, rules())
+    valid, invalid = split_valid(typed(raw), rules())
     if max_accepted is None:
         return _scored(valid), _rejects(invalid)
     first = top_k(valid, [F.col("seq")], max_accepted)
@@ -122,17 +106,8 @@ def intake(raw: DataFrame, max_accepted: int | None = None) -> tuple[DataFrame,
 def report_order() -> list[Column]:
     """Band weight, score, then the record itself, all descending."""
     weight = F.when(F.col("band") == BANDS[0], 3).when(F.col("band") == BANDS[1], 2).otherwise(1)
-    return [
-        weight.desc(),
-        F.col("score").desc(),
-        F.col("name").desc(),
-        F.col("phone").desc(),
-        F.col("experience").desc(),
-        F.col("catalan_level").desc(),
-        F.col("excel_level").desc(),
-        F.col("degree_level").desc(),
-        F.col("seq"),
-    ]
+    record = ["name", "phone", "experience", "catalan_level", "excel_level", "degree_level"]
+    return [weight.desc(), *[F.col(c).desc() for c in ["score", *record]], F.col("seq")]
 
 
 def report(accepted: DataFrame) -> DataFrame:

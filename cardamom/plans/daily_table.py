@@ -35,11 +35,13 @@ def refresh_daily_table(
 ) -> None:
     """Recompute the days listed in ``changed`` (column ``tr_date``).
 
-    The list of days never comes to the driver: it is joined to the fact's
-    partition column, and dynamic partition pruning opens those days only.  A
-    day without sales any more is stored as NULL, replacing its old total.
+    The list of days never becomes a driver-side filter: it is joined to the
+    fact's partition column, and dynamic partition pruning opens those days
+    only.  It is broadcast because the calendar bounds it (one date per day,
+    36,525 in a century).  A day without sales any more is stored as NULL,
+    replacing its old total.
     """
-    days = changed.select("tr_date").distinct()
+    days = F.broadcast(changed.select("tr_date").distinct())
     touched = keep_matching(spark.read.parquet(fact_path), days, "tr_date", unique=True)
     rows = days.select(F.col("tr_date").alias("day")).join(_totals(touched), "day", "left")
     overwrite_partitions(rows, table_path, "day")

@@ -18,6 +18,7 @@ from cardamom.functions import (
     since,
     strip_text,
     time_of_day,
+    to_float,
 )
 from cardamom.operators import tagged_union
 from cardamom.schemas import SCHEMAS
@@ -48,12 +49,12 @@ def clean_transactions(raw: DataFrame, on_bad_item: str = "drop") -> DataFrame:
         "business_id",
         "card_id",
         "timestamp",
-        F.coalesce(F.col("amount").try_cast("double"), F.lit(0.0)).alias("amount"),
+        F.coalesce(to_float("amount"), F.lit(0.0)).alias("amount"),
         "declined",
         parse_int_list("product_ids", on_bad=on_bad_item).alias("product_ids"),
         "user_id",
-        F.col("lat").try_cast("double").alias("lat"),
-        F.col("longitude").try_cast("double").alias("longitude"),
+        to_float("lat").alias("lat"),
+        to_float("longitude").alias("longitude"),
     )
 
 

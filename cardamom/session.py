@@ -57,16 +57,19 @@ def get_session(
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path in the folder that every executor can reach.
 
-    The cluster names that folder in ``spark.checkpoint.dir``.  Only where it
-    is unset (local tests) a temporary folder is made and recorded.
+    The cluster names that folder in ``spark.checkpoint.dir``.  Only a local
+    session, whose one machine is the whole cluster, may do without.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="cardamom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.setdefault(app, tempfile.mkdtemp(prefix="cardamom-"))
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
