@@ -14,6 +14,7 @@ from cardamom.sources.writers import (
     export_csv,
     overwrite_partitions,
     publish_view,
+    write_csv,
     write_parquet,
     write_partitioned_fact,
 )
@@ -30,6 +31,7 @@ __all__ = [
     "read_pipe_lines",
     "read_tsv_matches",
     "records",
+    "write_csv",
     "write_parquet",
     "write_partitioned_fact",
 ]

@@ -25,7 +25,9 @@ def read_csv(
     the types, which costs a second pass over the files, so large inputs
     should declare it.  A declared type that does not fit fails the job.
     """
-    reader = spark.read.option("header", True).option("sep", sep).option("quote", '"')
+    # A quote inside a quoted value is written twice, so it is its own escape.
+    quotes = {"quote": '"', "escape": '"'}
+    reader = spark.read.option("header", True).option("sep", sep).options(**quotes)
     paths = [paths] if isinstance(paths, str) else list(paths)
     if schema is None:
         return reader.option("inferSchema", True).csv(paths)

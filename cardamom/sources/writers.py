@@ -82,10 +82,16 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
+    """CSV that :func:`cardamom.sources.read_csv` reads back."""
+    writer = df.write.mode("overwrite").option("header", header).option("sep", sep)
+    writer.option("quote", '"').option("escape", '"').csv(path)
+
+
 def export_csv(df: DataFrame, path: str, order: Sequence[Column], sep: str = ";") -> None:
     """Ordered report as CSV with a header.
 
     The sorted partitions are written in parallel; file names follow the
     order, so the report is the files read one after the other.
     """
-    df.orderBy(*order).write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    write_csv(df.orderBy(*order), path, sep=sep)

@@ -27,6 +27,7 @@ from cardamom.plans import (
     scoring,
     timeseries,
 )
+from cardamom.schemas import SCHEMAS
 from cardamom.session import shared_dir
 from cardamom.streaming import follow_fact_table
 from cardamom.workload import roles
@@ -597,7 +598,7 @@ def dq4_row_count(spark, sf):
 
 def _csv_copy(df: DataFrame, label: str, sep: str = ",", header: bool = True) -> str:
     path = shared_dir(df.sparkSession, label)
-    df.write.option("header", header).option("sep", sep).csv(path)
+    src.write_csv(df, path, sep=sep, header=header)
     return path
 
 
@@ -612,7 +613,7 @@ def src1_csv_load(spark, sf):
 @query
 def src2_csv_semicolon(spark, sf):
     staged = roles.staging_transactions(spark, sf)
-    columns = roles_columns("staging_transactions")
+    columns = SCHEMAS["staging_transactions"].fieldNames()
     path = _csv_copy(staged.select(columns), "transactions", sep=";")
     read = src.read_csv(spark, path, "staging_transactions", sep=";")
     return read.select(
@@ -626,12 +627,6 @@ def src2_csv_semicolon(spark, sf):
     )
 
 
-def roles_columns(table: str) -> list[str]:
-    from cardamom.schemas import SCHEMAS
-
-    return SCHEMAS[table].fieldNames()
-
-
 @query
 def src3_two_files(spark, sf):
     """Two user files appended into one staging table."""
@@ -642,7 +637,7 @@ def src3_two_files(spark, sf):
         side = staged.join(
             region.filter(F.col("r_name") == name), F.expr("n_regionkey = r_regionkey")
         )
-        paths.append(_csv_copy(side.select(roles_columns("staging_users")), name.lower()))
+        paths.append(_csv_copy(side.select(SCHEMAS["staging_users"].fieldNames()), name.lower()))
     both = lake.load_users(src.read_csv(spark, paths, "staging_users"))
     return both.select("id", "name", "birth_date", "country", "signup_date")
 
@@ -656,7 +651,7 @@ def src4_csv_inferred(spark, sf):
 @query
 def src5_csv_declared(spark, sf):
     path = _csv_copy(
-        roles.staging_companies(spark, sf).select(roles_columns("companies_raw")), "companies"
+        roles.staging_companies(spark, sf).select(SCHEMAS["companies_raw"].fieldNames()), "companies"
     )
     return lake.clean_companies(src.read_csv(spark, path, "companies_raw"))
 
@@ -703,8 +698,6 @@ def snk2_native_copy(spark, sf):
 @query
 def snk3_insert_select(spark, sf):
     """An empty typed table filled by an insert that casts to its columns."""
-    from cardamom.schemas import SCHEMAS
-
     path = shared_dir(spark, "card_status")
     op.create_empty(spark, SCHEMAS["card_status"]).write.parquet(path)
     src.append_rows(p15_card_status(spark, sf), path)
