@@ -31,6 +31,7 @@ from cardamom.functions.numbers import (
     to_float,
     to_int,
 )
+from cardamom.functions.sql import register_sql_functions
 from cardamom.functions.text import (
     amount_label,
     full_match,
@@ -61,6 +62,7 @@ __all__ = [
     "percent_label",
     "py_round",
     "random_day_offset",
+    "register_sql_functions",
     "rounded_mean",
     "rounded_sum",
     "score_items",

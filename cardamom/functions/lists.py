@@ -20,7 +20,7 @@ def split_items(c: Column | str, sep: str = ",") -> Column:
     """Split on a literal one-character separator (``split`` takes a regex)."""
     if len(sep) != 1:
         raise ValueError(f"separator must be one character: {sep!r}")
-    return F.split(_col(c), sep if sep.isalnum() else "\\" + sep, -1)
+    return F.split(_col(c).cast("string"), sep if sep.isalnum() else "\\" + sep, -1)
 
 
 def parse_int_list(c: Column | str, sep: str = ",", on_bad: str = "drop") -> Column:

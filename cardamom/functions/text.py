@@ -17,7 +17,7 @@ def trim_space(c: Column | str) -> Column:
 
 def strip_text(c: Column | str, token: str) -> Column:
     """Remove every occurrence of a literal token, e.g. ``$`` or ``WH-``."""
-    return F.replace(_col(c), F.lit(token), F.lit(""))
+    return F.replace(_col(c).cast("string"), F.lit(token), F.lit(""))
 
 
 def snake_case(c: Column | str) -> Column:

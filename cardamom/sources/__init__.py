@@ -14,6 +14,7 @@ from cardamom.sources.writers import (
     export_csv,
     overwrite_partitions,
     publish_view,
+    rewrite_partitions,
     write_csv,
     write_parquet,
     write_partitioned_fact,
@@ -31,6 +32,7 @@ __all__ = [
     "read_pipe_lines",
     "read_tsv_matches",
     "records",
+    "rewrite_partitions",
     "write_csv",
     "write_parquet",
     "write_partitioned_fact",

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardamom.operators import keep_matching, keep_unmatched
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """Write a columnar copy and return it as read back."""
@@ -76,6 +78,32 @@ def overwrite_partitions(df: DataFrame, path: str, by: str) -> None:
     )
 
 
+def rewrite_partitions(
+    spark: SparkSession,
+    path: str,
+    by: str,
+    where: Column,
+    change: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Update or delete rows of a partitioned table, rewriting the least of it.
+
+    Partitions (column ``by``) without a row that matches ``where`` are neither
+    read past the search nor written.  ``change`` gets the whole content of
+    the others and returns what they should hold.  A partition left without
+    rows is replaced by an empty file; the loop over those runs once per
+    partition value, not per row.
+    """
+    table = spark.read.parquet(path)
+    # One row per partition of the table that has a hit.
+    hit = F.broadcast(table.filter(where).select(by).distinct())
+    new = change(keep_matching(table, hit, by, unique=True))
+    emptied = [r[0] for r in keep_unmatched(hit, new, by).collect()]
+    overwrite_partitions(new, path, by)
+    nothing = spark.createDataFrame([], new.drop(by).schema)
+    for value in emptied:
+        nothing.write.mode("overwrite").parquet(f"{path}/{by}={value}")
+
+
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     """Create or replace a session view."""
     df.createOrReplaceTempView(name)

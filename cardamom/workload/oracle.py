@@ -413,6 +413,15 @@ def all_oracles() -> dict[str, str]:
             FROM customer""",
         "p34_docs_json": """SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k
             FROM events""",
+        "dml_rewrite_table": f"""WITH {EV} SELECT transaction_id, business_id, card_id, user_id,
+            timestamp, CASE WHEN day(timestamp) = 7 AND user_id = 7 THEN 0.0 ELSE amount END
+            AS amount, declined, CAST(timestamp AS DATE) AS tr_date FROM ev
+            WHERE day(timestamp) <> 3 AND NOT (day(timestamp) = 5 AND declined)""",
+        "udf1_tax_sql": """SELECT p_partkey,
+            CAST(round(CAST(p_retailprice AS DECIMAL(10,2)) * CAST('0.21' AS DECIMAL(2,2)), 2)
+              AS DOUBLE) AS tax,
+            CAST(round(CAST(p_retailprice AS DECIMAL(10,2)) * CAST('0.21' AS DECIMAL(2,2)), 0)
+              AS DOUBLE) AS whole_tax FROM part""",
         "flt2_point_lookup": f"WITH {TX} SELECT * FROM tx WHERE transaction_id = 7",
         "dq1_pk": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
             GROUP BY ALL HAVING count(*) > 1""",
@@ -422,6 +431,30 @@ def all_oracles() -> dict[str, str]:
             l_partkey AS product_id FROM lineitem""",
         "dq3_fk": f"""WITH {ITEMS} SELECT item AS product_id, count(*) AS n_rows FROM items
             WHERE item NOT IN (SELECT p_partkey FROM part) GROUP BY item""",
+        "dq_key_report": f"""WITH {ITEMS}, bridge AS (
+              SELECT id, item FROM items JOIN raw USING (id)
+              WHERE o_orderpriority <> '4-NOT SPECIFIED'),
+            rep AS (SELECT sum(n - 1) AS n FROM (
+              SELECT count(*) AS n FROM bridge GROUP BY id, item))
+            SELECT t AS table_name, 'repeated' AS "check", k AS key, CAST(0 AS BIGINT) AS n_bad
+            FROM (VALUES ('dim_users', 'id'), ('dim_companies', 'id'), ('dim_credit_card', 'id'),
+              ('dim_products', 'id'), ('fact_transactions', 'id')) v(t, k)
+            UNION ALL SELECT 'transaction_products', 'repeated', 'transaction_id, product_id',
+              CAST(n AS BIGINT) FROM rep
+            UNION ALL SELECT t, 'missing', k, 0
+            FROM (VALUES ('dim_users', 'id'), ('dim_companies', 'id'), ('dim_credit_card', 'id'),
+              ('dim_products', 'id'), ('fact_transactions', 'id'),
+              ('transaction_products', 'transaction_id, product_id')) v(t, k)
+            UNION ALL SELECT 'fact_transactions', 'not in dim_companies', 'company_id', count(*)
+              FROM events WHERE CAST(props->>'$.k' AS BIGINT) NOT IN (SELECT c_custkey FROM customer)
+            UNION ALL SELECT 'fact_transactions', 'not in dim_credit_card', 'card_id', count(*)
+              FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)
+            UNION ALL SELECT 'fact_transactions', 'not in dim_users', 'user_id', count(*)
+              FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)
+            UNION ALL SELECT 'transaction_products', 'not in fact_transactions', 'transaction_id',
+              count(*) FROM bridge WHERE id NOT IN (SELECT event_id FROM events)
+            UNION ALL SELECT 'transaction_products', 'not in dim_products', 'product_id', count(*)
+              FROM bridge WHERE item NOT IN (SELECT p_partkey FROM part)""",
         "dq4_row_count": """SELECT 'orders' AS table_name, count(*) AS n_rows,
               count(*) AS n_expected, true AS ok FROM orders
             UNION ALL SELECT 'lineitem', count(*), NULL, NULL FROM lineitem

@@ -21,6 +21,7 @@ from cardamom.plans import (
     customers,
     daily_table,
     documents,
+    jobs,
     lake,
     league,
     sales,
@@ -553,6 +554,35 @@ def p34_docs_json(spark, sf):
     return documents.flatten_json(events, "props", "k bigint", {"k": "k"})
 
 
+@query
+def dml_rewrite_table(spark, sf):
+    """Deletes and an update on a day-partitioned table, touching few partitions.
+
+    Day 3 loses all rows, day 5 loses the errors, one row of day 7 is corrected.
+    """
+    path = shared_dir(spark, "fact")
+    src.write_partitioned_fact(roles.events_as_transactions(spark, sf), path)
+    day = F.dayofmonth("tr_date")
+    gone = (day == 3) | ((day == 5) & F.col("declined"))
+    src.rewrite_partitions(spark, path, "tr_date", gone, lambda df: op.delete_where(df, gone))
+    wrong = (day == 7) & (F.col("user_id") == 7)
+    src.rewrite_partitions(
+        spark, path, "tr_date", wrong, lambda df: op.set_where(df, wrong, {"amount": 0.0})
+    )
+    return spark.read.parquet(path)
+
+
+@query
+def udf1_tax_sql(spark, sf):
+    """The tax function called from SQL."""
+    fn.register_sql_functions(spark)
+    src.publish_view(roles.table(spark, sf, "part"), "part_prices")
+    return spark.sql(
+        "SELECT p_partkey, CAST(calculate_tax(p_retailprice, 0.21, 2) AS double) AS tax, "
+        "CAST(calculate_tax(p_retailprice, 0.21, 0) AS double) AS whole_tax FROM part_prices"
+    )
+
+
 @query
 def flt2_point_lookup(spark, sf):
     return roles.orders_as_transactions(spark, sf).filter(F.col("transaction_id") == 7)
@@ -584,6 +614,24 @@ def dq3_fk(spark, sf):
     return op.orphans(items, "product_id", _products(spark, sf), "product_id")
 
 
+@query
+def dq_key_report(spark, sf):
+    """All declared keys of the star built from the test tables, violations counted."""
+    items = baskets.bridge_from_text(
+        roles.raw_transactions(spark, sf).withColumnRenamed("id", "transaction_id")
+    )
+    return jobs.key_report(
+        {
+            "dim_users": lake.load_users(roles.staging_users(spark, sf)),
+            "dim_companies": lake.load_companies(roles.staging_companies(spark, sf)),
+            "dim_credit_card": lake.load_cards(roles.staging_cards(spark, sf)),
+            "dim_products": lake.load_products(roles.staging_products(spark, sf)),
+            "fact_transactions": lake.load_fact(roles.staging_transactions(spark, sf)),
+            "transaction_products": items,
+        }
+    )
+
+
 @query
 def dq4_row_count(spark, sf):
     """Rows written by a load against the rows of its source."""

@@ -1,0 +1,137 @@
+"""Whole loads from files, on small made-up inputs with the known traps."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardamom import functions as fn
+from cardamom import operators as op
+from cardamom import sources as src
+from cardamom.plans import jobs
+from cardamom.schemas import SCHEMAS
+
+USERS = """id,name,surname,phone,email,birth_date,country,city,postal_code,address,signup_date,user_segment,income_band
+{0},Ann,Lee,1,a@x,"Nov 7, 1985",US,NY,1,street,2020-01-31,s,b
+"""
+COMPANIES = """company_id,company_name,phone,email,country,website{0}
+b1,Acme,1,a@x,Germany,acme.example{1}
+b2,Bolt,2,b@x,Spain,bolt.example{1}
+"""
+CARDS = """id,user_id,iban,pan,pin,cvv,track1,track2,expiring_date,card_type,card_renewal_flag
+c1,1,ES1,p,1,2,t,t,10/30/22,debit,true
+c2,2,ES2,p,1,2,t,t,01/15/75,credit,false
+"""
+PRODUCTS = """id,product_name,price,colour,weight,warehouse_id,category,brand,cost,launch_date
+1,lamp,$161.11,#7c7c7c,1.50,WH-4,home,acme,$63.84,2014-11-01
+2,desk,$9.99,#ffffff,20.00,WH-11,home,acme,$5.00,2015-01-01
+"""
+TX_HEADER = (
+    "id;card_id;business_id;timestamp;amount;declined;product_ids;user_id;lat;longitude;discount_amount;"
+    "tax_amount;shipping_amount;channel;campaign_id;device_type;is_international;decline_reason;distance_km"
+)
+TX = [
+    "t1;c1;b1;2022-03-12 08:30:00;10.50;false;1, 2, 2;1;1.2345678901;2.5;0;0;0;web;;phone;false;;1.25",
+    "t2;c1;b1;2022-03-13 09:30:00;5.00;true;2;1;1.0;2.5;0;0;0;web;;phone;false;funds;1.25",
+    "t3;c1;b2;2022-03-14 10:30:00;5.00;true;;1;1.0;2.5;0;0;0;web;;phone;false;funds;1.25",
+    "t4;c1;b1;2022-03-15 11:30:00;5.00;true;9;1;1.0;2.5;0;0;0;web;;phone;false;funds;1.25",
+    "t5;c2;b9;2022-03-15 11:30:00;700.00;false;1;2;1.0;2.5;0;0;0;web;;phone;false;;1.25",
+]
+
+
+@pytest.fixture
+def files(tmp_path):
+    def put(name, text):
+        path = tmp_path / f"{name}.csv"
+        path.write_text(text, encoding="utf-8")
+        return str(path)
+
+    extra = (",merchant_category,merchant_price_position", ",shop,low")
+    return {
+        "users": [put("american", USERS.format(1)), put("european", USERS.format(2))],
+        "american_users": put("american", USERS.format(1)),
+        "european_users": put("european", USERS.format(2)),
+        "companies": put("companies", COMPANIES.format(*extra)),
+        "credit_cards": put("credit_cards", CARDS),
+        "products": put("products", PRODUCTS),
+        "transactions": put("transactions", "\n".join([TX_HEADER, *TX]) + "\n"),
+    }
+
+
+def test_star(spark, files, tmp_path, rows):
+    star = jobs.load_star(spark, files, str(tmp_path / "star"))
+    for name, df in star.items():
+        assert [(f.name, f.dataType) for f in df.schema] == [
+            (f.name, f.dataType) for f in SCHEMAS[name]
+        ], name
+    assert rows(star["dim_credit_card"], "id", "expiring_date") == [
+        ("c1", dt.date(2022, 10, 30)),
+        ("c2", dt.date(1975, 1, 15)),
+    ]
+    assert rows(star["card_status"]) == [("c1", "inactive"), ("c2", "active")]
+    report = {(t, c, k): n for t, c, k, n in rows(jobs.key_report(star))}
+    broken = {k: n for k, n in report.items() if n}
+    assert broken == {
+        ("transaction_products", "repeated", "transaction_id, product_id"): 1,
+        ("transaction_products", "not in dim_products", "product_id"): 1,
+        ("fact_transactions", "not in dim_companies", "company_id"): 1,
+    }
+    assert len(report) == 7 * 2 + 6
+
+
+def test_lake(spark, files, tmp_path, rows):
+    as_of = dt.datetime(2024, 3, 1)
+    lake_files = dict(files)
+    plain = tmp_path / "companies6.csv"
+    plain.write_text(COMPANIES.format("", ""), encoding="utf-8")
+    lake_files["companies"] = str(plain)
+    out = jobs.build_lake(spark, lake_files, str(tmp_path / "lake"), as_of)
+    assert rows(out["users_combined"], "user_id", "origin") == [(1, "American"), (2, "Europe")]
+    assert rows(out["products_clean"], "product_id", "warehouse_id", "price") == [
+        (1, 4, 161.11),
+        (2, 11, 9.99),
+    ]
+    assert rows(out["product_sales_ranking"], "product_id", "total_sold") == [(1, 2), (2, 2)]
+    assert rows(out["v_marketing_kpis"], "company", "type") == [("Acme", "Standard")]
+    assert out["transactions_flat"].count() == 6
+    recent = out["transactions_recent"].agg(F.min("timestamp"), F.max("timestamp")).first()
+    assert as_of - dt.timedelta(days=50) <= recent[0] and recent[1] <= as_of
+    total = out["daily_sales"].agg(F.sum("sales")).first()[0]
+    assert float(total) == 710.5
+
+
+def partition_files(path):
+    return {d.name: sorted(f.name for f in d.glob("*.parquet")) for d in path.glob("tr_date=*")}
+
+
+def test_partition_rewrite_leaves_the_rest_alone(spark, tmp_path):
+    path = tmp_path / "fact"
+    fact = spark.range(100).selectExpr(
+        "id AS transaction_id",
+        "id % 3 AS business_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 5 AS int)) AS timestamp",
+        "cast(id AS double) AS amount",
+    )
+    src.write_partitioned_fact(fact, str(path))
+    before = partition_files(path)
+    where = (F.col("tr_date") == F.lit("2024-01-02").cast("date")) | (F.col("transaction_id") == 7)
+    for _ in range(2):  # the second run finds nothing left to delete
+        src.rewrite_partitions(spark, str(path), "tr_date", where, lambda df: op.delete_where(df, where))
+        left = spark.read.parquet(str(path))
+        want = {i for i in range(100) if i % 5 != 1 and i != 7}
+        assert {r[0] for r in left.select("transaction_id").collect()} == want
+        assert left.columns == [*fact.columns, "tr_date"]
+    after = partition_files(path)
+    changed = {d for d in before if before[d] != after[d]}
+    assert changed == {"tr_date=2024-01-02", "tr_date=2024-01-03"}
+
+
+def test_sql_tax_function(spark):
+    fn.register_sql_functions(spark)
+    row = spark.sql(
+        "SELECT calculate_tax(903.50, 0.21, 2), calculate_tax(903.50, 0.21, 0), "
+        "calculate_tax(NULL, 0.21, 2)"
+    ).first()
+    assert [None if v is None else float(v) for v in row] == [189.74, 190.0, None]
+    with pytest.raises(Exception, match="decimals must be"):
+        spark.sql("SELECT calculate_tax(1, 0.21, 9)").collect()
