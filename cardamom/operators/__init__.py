@@ -25,6 +25,7 @@ from cardamom.operators.quality import (
     Rule,
     duplicate_keys,
     first_failure,
+    key_counts,
     missing_keys,
     orphans,
     row_count_check,
@@ -53,6 +54,7 @@ __all__ = [
     "insert_rows",
     "keep_matching",
     "keep_unmatched",
+    "key_counts",
     "last_value_row",
     "left_with_default",
     "lookup",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +18,17 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def missing_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with a NULL in the key."""
-    cond = F.lit(False)
-    for k in keys:
-        cond = cond | F.col(k).isNull()
-    return df.filter(cond)
+    return df.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+
+
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: ``n_repeated`` rows beyond the first of their key, ``n_missing`` with a NULL in it."""
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    return per_key.agg(
+        F.sum(F.when(~missing, F.col("n") - 1)).alias("n_repeated"),
+        F.sum(F.when(missing, F.col("n"))).alias("n_missing"),
+    )
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardamom.operators import duplicate_keys, missing_keys, orphans
+from cardamom.operators import key_counts, orphans
 from cardamom.plans import baskets, customers, daily_table, lake, sales
 from cardamom.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
 from cardamom.sources import publish_view, read_csv, write_parquet, write_partitioned_fact
@@ -60,27 +61,32 @@ def key_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     those registered tables that are given.
     """
     lines = []
-
-    def count(table: str, check: str, columns: Sequence[str], bad: DataFrame, n: str) -> None:
-        total = F.coalesce(F.expr(n), F.lit(0)).cast("bigint").alias("n_bad")
-        key = F.lit(", ".join(columns)).alias("key")
-        lines.append(
-            bad.agg(total).select(F.lit(table).alias("table_name"), F.lit(check).alias("check"), key, "n_bad")
-        )
-
     for table, keys in PRIMARY_KEYS.items():
         if table in tables:
-            df = tables[table].select(*keys)
-            count(table, "repeated", keys, duplicate_keys(df, keys), "sum(n_rows - 1)")
-            count(table, "missing", keys, missing_keys(df, keys), "count(*)")
+            counts = key_counts(tables[table], keys)
+            lines.append(_lines(counts, table, keys, {"repeated": "n_repeated", "missing": "n_missing"}))
     for child, column, parent, key in FOREIGN_KEYS:
         if child in tables and parent in tables:
             bad = orphans(tables[child], column, tables[parent], key)
-            count(child, f"not in {parent}", [column], bad, "sum(n_rows)")
-    report = lines[0]
-    for line in lines[1:]:
-        report = report.unionAll(line)
-    return report
+            counts = bad.agg(F.sum("n_rows").alias("n"))
+            lines.append(_lines(counts, child, [column], {f"not in {parent}": "n"}))
+    return reduce(DataFrame.unionAll, lines)
+
+
+def _lines(
+    counts: DataFrame, table: str, columns: Sequence[str], checks: Mapping[str, str]
+) -> DataFrame:
+    """The one row of ``counts`` as a line per check."""
+    line = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(check).alias("check"),
+            F.lit(", ".join(columns)).alias("key"),
+            F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias("n_bad"),
+        )
+        for check, n in checks.items()
+    ]
+    return counts.select(F.inline(F.array(*line)))
 
 
 def build_lake(

@@ -7,8 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardamom.operators import keep_matching, keep_unmatched
-
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """Write a columnar copy and return it as read back."""
@@ -87,17 +85,19 @@ def rewrite_partitions(
 ) -> None:
     """Update or delete rows of a partitioned table, rewriting the least of it.
 
-    Partitions (column ``by``) without a row that matches ``where`` are neither
-    read past the search nor written.  ``change`` gets the whole content of
-    the others and returns what they should hold.  A partition left without
-    rows is replaced by an empty file; the loop over those runs once per
-    partition value, not per row.
+    Partitions (column ``by``) without a row that matches ``where`` are not
+    written, and read only to find that out.  ``change`` gets the whole content
+    of the others and returns what they should hold.  What reaches the driver
+    is at most one value per partition of the table; a partition left without
+    rows is replaced by an empty file.
     """
     table = spark.read.parquet(path)
-    # One row per partition of the table that has a hit.
-    hit = F.broadcast(table.filter(where).select(by).distinct())
-    new = change(keep_matching(table, hit, by, unique=True))
-    emptied = [r[0] for r in keep_unmatched(hit, new, by).collect()]
+    values = lambda df: {r[0] for r in df.select(by).distinct().collect()}
+    hit = values(table.filter(where))
+    if not hit:
+        return
+    new = change(table.filter(F.col(by).isin(list(hit))))
+    emptied = hit - values(new)
     overwrite_partitions(new, path, by)
     nothing = spark.createDataFrame([], new.drop(by).schema)
     for value in emptied:

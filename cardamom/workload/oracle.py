@@ -240,7 +240,7 @@ def all_oracles() -> dict[str, str]:
             event_type = 'error' AS declined,
             CAST(CAST(CAST(value AS DECIMAL(10,2)) * CAST('0.0123457' AS DECIMAL(8,7))
               AS DECIMAL(10,6)) AS DOUBLE) AS lat,
-            -CAST(CAST(CAST(value AS DECIMAL(10,2)) * CAST('0.0123457' AS DECIMAL(8,7))
+            CAST(-CAST(CAST(value AS DECIMAL(10,2)) * CAST('0.0123457' AS DECIMAL(8,7))
               AS DECIMAL(10,6)) AS DOUBLE) AS longitude,
             event_type AS channel,
             CASE WHEN event_type = 'error' THEN 'error' END AS decline_reason FROM events""",

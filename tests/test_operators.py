@@ -110,6 +110,7 @@ def test_key_reports(spark, rows):
     frame = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 1), (None, 1)], "a int, b int")
     assert rows(op.duplicate_keys(frame, ["a", "b"])) == [(1, 1, 2)]
     assert op.missing_keys(frame, ["a", "b"]).count() == 2
+    assert tuple(op.key_counts(frame, ["a", "b"]).first()) == (1, 2)
     parent = spark.createDataFrame([(1,)], "id int")
     child = spark.createDataFrame([(1,), (2,), (2,), (None,)], "fk int")
     assert rows(op.orphans(child, "fk", parent, "id")) == [(2, 2)]
