@@ -20,6 +20,8 @@ from cardamom.functions.lists import (
 )
 from cardamom.functions.numbers import (
     calculate_tax,
+    cents,
+    exact_sum,
     mean_of,
     money,
     parse_price,
@@ -44,7 +46,9 @@ from cardamom.functions.text import (
 __all__ = [
     "amount_label",
     "calculate_tax",
+    "cents",
     "days_before",
+    "exact_sum",
     "full_match",
     "in_days",
     "in_year",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,20 +15,40 @@ MONEY = "decimal(10,2)"
 def money(c: Column | str) -> Column:
     """Amount as exact cents.
 
-    Tables keep ``amount`` as read so filters on it reach the parquet scan;
-    the cast sits inside the aggregate only.
+    Tables keep ``amount`` as read so filters on it reach the parquet scan.
+    Sums go through :func:`exact_sum`, which is faster.
     """
     return _col(c).cast(MONEY)
 
 
+def cents(c: Column | str) -> Column:
+    """Amount as whole cents."""
+    return F.rint(_col(c).cast("double") * 100).cast("bigint")
+
+
+def exact_sum(c: Column | str) -> Column:
+    """Exact sum of an amount with two decimals, as ``decimal(28,2)``.
+
+    Adding decimals costs an object per row; adding integers does not and is
+    about as fast as adding doubles.  One ``bigint`` of cents could overflow on
+    a hot key of a very large table, so the cents are added up in two halves
+    (above and below 2^16) and put together once per group.  That holds for more
+    than 10^13 rows of the largest amount.
+    """
+    whole = cents(c)
+    high = F.sum(F.shiftright(whole, 16)).cast("decimal(20,0)")
+    low = F.sum(whole.bitwiseAND(F.lit(0xFFFF))).cast("decimal(20,0)")
+    return ((high * F.lit(1 << 16) + low) * F.lit(Decimal("0.01"))).cast("decimal(28,2)")
+
+
 def rounded_sum(c: Column | str) -> Column:
     """Exact sum of an amount, handed out as a double with two decimals."""
-    return F.sum(money(c)).cast("double")
+    return exact_sum(c).cast("double")
 
 
 def rounded_mean(c: Column | str) -> Column:
     """Mean of an amount rounded half up to two decimals."""
-    return mean_of(F.sum(money(c)), F.count(_col(c)))
+    return mean_of(exact_sum(c), F.count(_col(c)))
 
 
 def mean_of(total: Column, n: Column, scale: int = 2) -> Column:
@@ -35,7 +57,8 @@ def mean_of(total: Column, n: Column, scale: int = 2) -> Column:
     Taking both parts lets a plan add up per key first and average later,
     after the join, without changing a cent.
     """
-    return F.round(total / n.cast("decimal(18,0)"), scale).cast("double")
+    exact = total.cast("decimal(28,2)") / n.cast("decimal(18,0)")
+    return F.round(exact, scale).cast("double")
 
 
 def parse_price(c: Column | str, symbol: str = "$") -> Column:

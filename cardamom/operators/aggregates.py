@@ -11,19 +11,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardamom.functions import money
+from cardamom.functions import exact_sum
 
 
 def per_key_totals(
     df: DataFrame, keys: Sequence[str | Column], amount: str = "amount"
 ) -> DataFrame:
     """Exact ``total`` (decimal) and ``n`` per key, ready to be averaged or added up again."""
-    return df.groupBy(*keys).agg(F.sum(money(amount)).alias("total"), F.count(amount).alias("n"))
+    return df.groupBy(*keys).agg(exact_sum(amount).alias("total"), F.count(amount).alias("n"))
 
 
 def daily_totals(df: DataFrame, ts: str = "timestamp", amount: str = "amount") -> DataFrame:
     """Exact amount total per calendar day: columns ``day`` and ``sales`` (decimal)."""
-    return df.groupBy(F.to_date(ts).alias("day")).agg(F.sum(money(amount)).alias("sales"))
+    return df.groupBy(F.to_date(ts).alias("day")).agg(exact_sum(amount).alias("sales"))
 
 
 def top_row(df: DataFrame, by: Sequence[Column]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardamom.functions import mean_of, money
+from cardamom.functions import exact_sum, mean_of, money
 from cardamom.operators import first_n_per_key, group_mean
 from cardamom.plans.sales import sold
 
@@ -39,7 +39,7 @@ def vip_users(tx: DataFrame, users: DataFrame, spent_over: float = 500) -> DataF
         .groupBy("user_id")
         .agg(
             F.count("transaction_id").alias("n_purchases"),
-            F.sum(money("amount")).alias("total"),
+            exact_sum("amount").alias("total"),
             F.count("amount").alias("n_amounts"),
             F.max("amount").alias("max_purchase"),
         )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardamom.functions import money
+from cardamom.functions import exact_sum
 from cardamom.operators import keep_matching
 from cardamom.sources import overwrite_partitions
 
@@ -21,7 +21,7 @@ def _totals(fact: DataFrame) -> DataFrame:
     return (
         fact.filter(~F.col("declined"))
         .groupBy(F.col("tr_date").alias("day"))
-        .agg(F.sum(money("amount")).alias("sales"))
+        .agg(exact_sum("amount").alias("sales"))
     )
 
 
@@ -61,7 +61,7 @@ def refresh_daily_table(
 def read_daily_table(spark: SparkSession, table_path: str) -> DataFrame:
     """``day``, ``sales``; days without sales are left out."""
     return (
-        spark.read.schema("sales decimal(20,2), day date")
+        spark.read.schema("sales decimal(28,2), day date")
         .parquet(table_path)
         .filter(F.col("sales").isNotNull())
         .select("day", "sales")

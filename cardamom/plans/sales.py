@@ -11,7 +11,15 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardamom.functions import in_days, in_year, mean_of, money, on_day, rounded_mean
+from cardamom.functions import (
+    cents,
+    exact_sum,
+    in_days,
+    in_year,
+    mean_of,
+    on_day,
+    rounded_mean,
+)
 from cardamom.operators import (
     daily_totals,
     keep_matching,
@@ -59,10 +67,15 @@ def country_transactions(tx: DataFrame, companies: DataFrame, country: str) -> D
 
 
 def above_average_companies(tx: DataFrame, companies: DataFrame) -> DataFrame:
-    """Companies with sales above the overall mean, and the mean of those sales."""
+    """Companies with sales above the overall mean, and the mean of those sales.
+
+    A whole number of cents exceeds the mean when it exceeds the mean's whole
+    cents, so the test is one of integers.
+    """
     accepted = sold(tx)
-    overall = accepted.agg(F.sum(money("amount")) / F.count("amount").cast("decimal(18,0)"))
-    large = accepted.filter(money("amount") > overall.scalar())
+    mean = exact_sum("amount") * 100 / F.count("amount").cast("decimal(18,0)")
+    overall = accepted.agg(F.floor(mean).cast("bigint"))
+    large = accepted.filter(cents("amount") > overall.scalar())
     totals = per_key_totals(large, [F.col("business_id").alias("company_id")])
     named = totals.join(companies.select("company_id", "company_name"), "company_id", "left")
     return named.select(

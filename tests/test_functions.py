@@ -51,6 +51,21 @@ def test_three_rounding_rules(spark):
     assert frame.select(fn.rounded_mean("a")).first()[0] == 1.01
 
 
+def test_exact_sum(spark):
+    frame = spark.createDataFrame(
+        [(0.1,), (0.2,), (-1000000.55,), (99999999.99,), (None,)], "a double"
+    )
+    got = [str(v) for v in frame.agg(fn.exact_sum("a"), fn.exact_sum(F.col("a").cast("decimal(10,2)"))).first()]
+    assert got == ["98999999.74"] * 2
+    assert frame.filter("a IS NULL").agg(fn.exact_sum("a")).first()[0] is None
+
+
+def test_exact_sum_passes_what_a_bigint_of_cents_holds(spark):
+    # 2 * 10^4 rows of 9 * 10^14 are 1.8 * 10^21 cents.
+    frame = spark.range(20000).select(F.lit(9e14).alias("a"))
+    assert str(frame.agg(fn.exact_sum("a")).first()[0]) == "18000000000000000000.00"
+
+
 def test_mean_from_parts_equals_mean(spark):
     frame = spark.createDataFrame([(0.10,), (0.20,), (0.25,)], "a double")
     whole = frame.select(fn.rounded_mean("a")).first()[0]
