@@ -16,6 +16,7 @@ SINGLE = {
     "p28_report",
     "p31_findings",
     "dq4_row_count",
+    "dq_key_report",
 }
 # These write files while the plan is built, which the other tests cover.
 LAZY = sorted(
