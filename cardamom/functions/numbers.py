@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cardamom.functions.text import _col, strip_text, trim_space
+from cardamom.functions.text import _col, strip_text
 
 MONEY = "decimal(10,2)"
 

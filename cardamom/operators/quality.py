@@ -22,7 +22,7 @@ def missing_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: ``n_repeated`` rows beyond the first of their key, ``n_missing`` with a NULL in it."""
+    """One row: ``n_repeated`` rows beyond the first of their key, ``n_missing`` with a NULL."""
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     per_key = df.groupBy(*keys).agg(F.count("*").alias("n"))
     return per_key.agg(

@@ -38,7 +38,8 @@ def changed_days(changed: DataFrame) -> DataFrame:
     Dynamic partition pruning only looks at a side that carries a filter; the
     comparison is true for every date there is and serves as that filter.
     """
-    return changed.select("tr_date").filter(F.col("tr_date") >= F.lit(FIRST_DATE).cast("date")).distinct()
+    any_date = F.col("tr_date") >= F.lit(FIRST_DATE).cast("date")
+    return changed.select("tr_date").filter(any_date).distinct()
 
 
 def refresh_daily_table(
@@ -52,8 +53,9 @@ def refresh_daily_table(
     36,525 in a century).  A day without sales any more is stored as NULL,
     replacing its old total.
     """
-    days = F.broadcast(changed_days(changed))
-    touched = keep_matching(spark.read.parquet(fact_path), days, "tr_date", unique=True)
+    days = changed_days(changed)
+    fact = spark.read.parquet(fact_path)
+    touched = keep_matching(fact, F.broadcast(days), "tr_date", unique=True)
     rows = days.select(F.col("tr_date").alias("day")).join(_totals(touched), "day", "left")
     overwrite_partitions(rows, table_path, "day")
 

@@ -64,7 +64,8 @@ def key_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     for table, keys in PRIMARY_KEYS.items():
         if table in tables:
             counts = key_counts(tables[table], keys)
-            lines.append(_lines(counts, table, keys, {"repeated": "n_repeated", "missing": "n_missing"}))
+            checks = {"repeated": "n_repeated", "missing": "n_missing"}
+            lines.append(_lines(counts, table, keys, checks))
     for child, column, parent, key in FOREIGN_KEYS:
         if child in tables and parent in tables:
             bad = orphans(tables[child], column, tables[parent], key)

@@ -337,13 +337,9 @@ def p17_tx_clean(spark, sf):
 
 @query
 def p17_users_combined(spark, sf):
-    staged = roles.staging_users(spark, sf)
-    region = roles.table(spark, sf, "region")
-    side = {
-        name: staged.join(region.filter(F.col("r_name") == name), F.expr("n_regionkey = r_regionkey"))
-        for name in ("AMERICA", "EUROPE")
-    }
-    return lake.combine_users(side["AMERICA"], side["EUROPE"])
+    return lake.combine_users(
+        roles.staging_users_of(spark, sf, "AMERICA"), roles.staging_users_of(spark, sf, "EUROPE")
+    )
 
 
 @query
@@ -678,14 +674,11 @@ def src2_csv_semicolon(spark, sf):
 @query
 def src3_two_files(spark, sf):
     """Two user files appended into one staging table."""
-    staged = roles.staging_users(spark, sf)
-    region = roles.table(spark, sf, "region")
-    paths = []
-    for name in ("AMERICA", "EUROPE"):
-        side = staged.join(
-            region.filter(F.col("r_name") == name), F.expr("n_regionkey = r_regionkey")
-        )
-        paths.append(_csv_copy(side.select(SCHEMAS["staging_users"].fieldNames()), name.lower()))
+    columns = SCHEMAS["staging_users"].fieldNames()
+    paths = [
+        _csv_copy(roles.staging_users_of(spark, sf, region).select(columns), region.lower())
+        for region in ("AMERICA", "EUROPE")
+    ]
     both = lake.load_users(src.read_csv(spark, paths, "staging_users"))
     return both.select("id", "name", "birth_date", "country", "signup_date")
 
@@ -698,9 +691,8 @@ def src4_csv_inferred(spark, sf):
 
 @query
 def src5_csv_declared(spark, sf):
-    path = _csv_copy(
-        roles.staging_companies(spark, sf).select(SCHEMAS["companies_raw"].fieldNames()), "companies"
-    )
+    columns = SCHEMAS["companies_raw"].fieldNames()
+    path = _csv_copy(roles.staging_companies(spark, sf).select(columns), "companies")
     return lake.clean_companies(src.read_csv(spark, path, "companies_raw"))
 
 

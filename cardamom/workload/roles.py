@@ -173,6 +173,12 @@ def staging_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def staging_users_of(spark: SparkSession, sf_dir: str, region: str) -> DataFrame:
+    """The users of one region, as one of the raw user files."""
+    wanted = table(spark, sf_dir, "region").filter(F.col("r_name") == region)
+    return staging_users(spark, sf_dir).join(wanted, F.expr("n_regionkey = r_regionkey"))
+
+
 def staging_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return companies(spark, sf_dir).select(
         F.col("company_id").cast("string").alias("company_id"),
