@@ -32,3 +32,31 @@ SELECT t.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0)
        sha256(coalesce(k.text, '')) AS kept_sha256
 FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
 """
+
+_ORACLES["op7_decontaminate"] = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), item_windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(ws[spot:spot + size - 1], ' ') AS run
+    FROM (SELECT item_id, ws, least(len(ws), 13) AS size, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS spot FROM items WHERE len(ws) > 0)
+), doc_windows AS (
+    SELECT doc_id, size, spot, array_to_string(ws[spot:spot + size - 1], ' ') AS run
+    FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS spot
+          FROM texts, (SELECT DISTINCT size FROM item_windows))
+), hits AS (
+    SELECT d.doc_id, d.spot, d.size, i.item_id FROM doc_windows d JOIN item_windows i ON d.size = i.size AND d.run = i.run
+), marked AS (
+    SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(spot, spot + size)) AS pos FROM hits) GROUP BY doc_id
+), listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT t.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM texts t LEFT JOIN marked m ON t.doc_id = m.doc_id LEFT JOIN listed l ON t.doc_id = l.doc_id
+"""

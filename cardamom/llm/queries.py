@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardamom.llm.common import table
+from cardamom.llm.decontaminate import decontaminate
 from cardamom.llm.substring_dedup import dedup_substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +35,16 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         F.sha2(words.cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc.doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
