@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cardamom.llm.common import table
 from cardamom.llm.decontaminate import decontaminate
+from cardamom.llm.near_dedup import near_duplicates
 from cardamom.llm.substring_dedup import dedup_substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +49,8 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
