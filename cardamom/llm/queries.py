@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardamom.llm.common import table
+from cardamom.llm.common import held_out, table
 from cardamom.llm.decontaminate import decontaminate
 from cardamom.llm.near_dedup import near_duplicates
 from cardamom.llm.substring_dedup import dedup_substrings
+from cardamom.llm.toxicity import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,3 +55,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc.doc_id", held_out(F.col("doc.doc_id")).alias("held_out"), "score", "predicted")
