@@ -41,3 +41,17 @@ def text_size(docs: DataFrame, text: str) -> tuple[int, int]:
 def held_out(doc_id: Column) -> Column:
     """True for the rows that nothing is learned from: crc32 of the id's text leaves 1 modulo 3."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def hash_sample(df: DataFrame, key: str, stratum: str, size: int) -> DataFrame:
+    """About ``size`` rows of each stratum, the same ones at every run.
+
+    A row is in if the hash of its key falls below size / rows of its stratum;
+    a stratum with fewer rows is whole.  Nothing is sorted, so no task sees
+    more than its own rows.  The counts are one row per stratum.
+    """
+    counts = {r[stratum]: r["n"] for r in df.groupBy(stratum).agg(F.count("*").alias("n")).toLocalIterator()}
+    share = F.lit(0.0)
+    for value, n in counts.items():
+        share = F.when(F.col(stratum).eqNullSafe(F.lit(value)), F.lit(min(1.0, size / n))).otherwise(share)
+    return df.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) < share * (1 << 30))

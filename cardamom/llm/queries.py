@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 
 from cardamom.llm.common import held_out, table
 from cardamom.llm.decontaminate import decontaminate
+from cardamom.llm.language_id import fit_languages, identify_language
 from cardamom.llm.near_dedup import near_duplicates
 from cardamom.llm.substring_dedup import dedup_substrings
+from cardamom.llm.token_counts import count_tokens, load_vocabulary
 from cardamom.llm.toxicity import fit_toxicity, score_toxicity
 
+# A public unigram-style vocabulary; every vocabulary file is a parameter of its operator.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -63,3 +68,16 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
     scored = score_toxicity(docs, model)
     return scored.select("doc.doc_id", held_out(F.col("doc.doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify_language(docs, fit_languages(docs))
+    return found.select("doc.doc_id", held_out(F.col("doc.doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = count_tokens(table(spark, sf_dir, "documents"), load_vocabulary(VOCABULARY))
+    return found.select("doc.doc_id", "n_tokens")

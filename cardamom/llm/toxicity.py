@@ -25,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from cardamom.llm import words as W
-from cardamom.llm.common import column, held_out, written
+from cardamom.llm.common import column, hash_sample, held_out, written
 from cardamom.llm.folding import fold
 
 SHORTEST, LONGEST = 3, 12  # letters of a stem
@@ -202,7 +202,7 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Learn lexicon, exceptions and curve from labelled rows that are not held out.
 
-    At most ``fit_rows`` rows of each label are used, chosen by a hash of the
+    About ``fit_rows`` rows of each label are used, chosen by a hash of the
     id; ``odds`` and ``evidence`` (a log-likelihood ratio) are what a form
     needs to enter the lexicon.  Rows without id or label teach nothing.
     Without toxic rows the lexicon is empty and every score is the same.
@@ -215,12 +215,9 @@ def fit_toxicity(
         .groupBy("id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    picked = None
-    for label in (0, 1):
-        part = marks.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(fit_rows)
-        picked = part if picked is None else picked.unionByName(part)
+    picked = hash_sample(marks, "id", "toxic", fit_rows)
     rows = docs.select(column(docs, id_col).alias("id"), column(docs, text_col).alias("text"))
-    # At most 2 * fit_rows ids and marks are broadcast.
+    # About 2 * fit_rows ids and marks are broadcast, however many rows there are.
     sample = written(rows.join(F.broadcast(picked), "id").select("toxic", "text"), "labelled")
 
     toxic_rows, clean_rows = (sample.where(F.col("toxic") == x).select("text") for x in (1, 0))
