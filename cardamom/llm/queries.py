@@ -11,6 +11,7 @@ from cardamom.llm.common import held_out, table
 from cardamom.llm.decontaminate import decontaminate
 from cardamom.llm.language_id import fit_languages, identify_language
 from cardamom.llm.near_dedup import near_duplicates
+from cardamom.llm.packing import pack, word_count
 from cardamom.llm.substring_dedup import dedup_substrings
 from cardamom.llm.token_counts import count_tokens, load_vocabulary
 from cardamom.llm.toxicity import fit_toxicity, score_toxicity
@@ -81,3 +82,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = count_tokens(table(spark, sf_dir, "documents"), load_vocabulary(VOCABULARY))
     return found.select("doc.doc_id", "n_tokens")
+
+
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pack(docs, word_count(F.col("text")))
