@@ -60,3 +60,17 @@ SELECT t.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM texts t LEFT JOIN marked m ON t.doc_id = m.doc_id LEFT JOIN listed l ON t.doc_id = l.doc_id
 """
+
+_ORACLES["op5_warc_revisits"] = """
+WITH pages_in AS (
+    SELECT page_id, coalesce(html, '') AS payload FROM pages
+), records AS (
+    SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM pages_in
+), firsts AS (
+    SELECT payload_digest, min(page_id) AS first_page FROM records WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, r.payload_digest,
+       CASE WHEN f.first_page < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_page < page_id THEN f.first_page END AS refers_to
+FROM records r LEFT JOIN firsts f ON r.payload_digest = f.payload_digest
+"""

@@ -15,6 +15,8 @@ from cardamom.llm.packing import pack, word_count
 from cardamom.llm.substring_dedup import dedup_substrings
 from cardamom.llm.token_counts import count_tokens, load_vocabulary
 from cardamom.llm.toxicity import fit_toxicity, score_toxicity
+from cardamom.llm.warc import page_records, read_archives, resolve, write_archives
+from cardamom.session import shared_dir
 
 # A public unigram-style vocabulary; every vocabulary file is a parameter of its operator.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -88,3 +90,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pack(docs, word_count(F.col("text")))
+
+
+@query
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "warc")
+    write_archives(page_records(table(spark, sf_dir, "pages")), path)
+    found = resolve(read_archives(spark, path))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
