@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cardamom.llm.common import held_out, table
 from cardamom.llm.decontaminate import decontaminate
 from cardamom.llm.language_id import fit_languages, identify_language
+from cardamom.llm.mtree import quantized, top_k
 from cardamom.llm.near_dedup import near_duplicates
 from cardamom.llm.packing import pack, word_count
 from cardamom.llm.substring_dedup import dedup_substrings
@@ -98,3 +99,9 @@ def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_archives(page_records(table(spark, sf_dir, "pages")), path)
     found = resolve(read_archives(spark, path))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op4_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = quantized(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, vectors.where(F.col("id") % 20 == 0), k=20)
