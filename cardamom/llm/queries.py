@@ -13,6 +13,7 @@ from cardamom.llm.language_id import fit_languages, identify_language
 from cardamom.llm.mtree import quantized, top_k
 from cardamom.llm.near_dedup import near_duplicates
 from cardamom.llm.packing import pack, word_count
+from cardamom.llm.quality import fit_quality, score_quality
 from cardamom.llm.substring_dedup import dedup_substrings
 from cardamom.llm.token_counts import count_tokens, load_vocabulary
 from cardamom.llm.toxicity import fit_toxicity, score_toxicity
@@ -105,3 +106,10 @@ def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = quantized(table(spark, sf_dir, "embeddings"))
     return top_k(vectors, vectors.where(F.col("id") % 20 == 0), k=20)
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_quality(docs, fit_quality(docs))
+    return scored.select("doc.doc_id", "score", "predicted", "posterior")
