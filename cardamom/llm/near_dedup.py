@@ -176,7 +176,8 @@ def near_duplicates(
     rows_in = docs.select(column(docs, id_col).cast("long").alias("id"), column(docs, text_col).alias("text"))
     signed = written(rows_in.mapInArrow(_sign(width, bands, rows), SIGNATURE), "signatures")
     usable = signed.where("id is not null and k1 is not null")
-    firsts = usable.groupBy("k1", "k2").agg(F.min("id").alias("rep"))
+    # Written, so that the joins below read plain shuffles, whose hot keys Spark can split.
+    firsts = written(usable.groupBy("k1", "k2").agg(F.min("id").alias("rep")), "firsts")
     reps = usable.join(firsts, ["k1", "k2"]).where("id = rep").select("id", F.explode("bands").alias("band"))
     buckets = reps.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
     crowded = written(reps.join(buckets.select("band", "pivot"), "band").select("band", "id", "pivot").distinct(), "buckets")
