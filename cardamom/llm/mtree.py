@@ -221,7 +221,7 @@ def top_k(
     n_pivots = max(1, min(pivots, n // tree_rows))
     # One pivot for each of as many hash classes: the sample is bounded by its parameter.
     picked = vectors.groupBy(F.pmod(F.xxhash64("id"), F.lit(n_pivots)).alias("class")).agg(F.min_by("vector", F.xxhash64(F.lit("pivot"), "id")).alias("vector"))
-    pivot_rows = np.array([r["vector"] for r in picked.orderBy("class").collect()], dtype=np.float64).reshape(-1, size)
+    pivot_rows = np.array([r["vector"] for r in picked.orderBy("class").collect()], dtype=np.float64).reshape(-1, max(1, size))
 
     def nearest(df: DataFrame) -> DataFrame:
         return df.mapInArrow(_nearest(pivot_rows, longest), "id long, vector array<long>, cell long")

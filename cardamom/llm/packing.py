@@ -199,15 +199,17 @@ def pack(
     )
 
 
-def packed_texts(placed: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The sequences themselves: bin_id, capacity, ``used`` and ``text``, words joined by spaces in offset order."""
+def packed_texts(placed: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The sequences themselves: bin_id, capacity, ``used`` and ``text``, words joined by spaces in offset order.
+
+    ``docs`` is the table that was packed, with lengths from ``word_count``.
+    """
     words = F.split(F.trim(F.regexp_replace(column(docs, text_col), r"[\x20\x09-\x0D]+", " ")), " ")
     texts = docs.select(
-        column(docs, id_col).cast("long").alias("id"),
         F.xxhash64(*(column(docs, x) for x in docs.columns)).alias("row"),
         words.alias("words"),
     ).dropDuplicates(["row"])
-    joined = placed.withColumnRenamed(id_col, "id").join(texts, "row").where(placed[id_col].eqNullSafe(texts["id"]))
+    joined = placed.join(texts, "row")
     cut = F.array_join(F.slice("words", (F.col("start") + 1).cast("int"), F.col("length").cast("int")), " ")
     # A bin holds at most its capacity, so the list is bounded.
     return (

@@ -70,7 +70,7 @@ class Chunk:
 
 
 def _chunk(table: pa.Table, s: Sizes) -> Chunk:
-    ids = table.column("id").to_pandas().fillna(NO_ID).to_numpy(np.int64)
+    ids = table.column("id").fill_null(NO_ID).to_numpy()
     words = W.find_words(table.column("text"), W.SPACED)
     owner = W.text_of_word(words)
     at = np.flatnonzero(W.whole_windows(words, s.window))

@@ -46,7 +46,8 @@ def find_revisits(records: DataFrame, min_bytes: int = 100) -> DataFrame:
     """(record_id, refers_to, refers_to_target) of the records whose payload a smaller page has.
 
     Payloads of fewer than ``min_bytes`` are never revisits.  Records without
-    a page id come last; records of the same page are not revisits of each other.
+    a page id come last; records of the same page, or of none, are not revisits
+    of each other.
     """
     headers = records.where(F.col("payload_bytes") >= min_bytes).select("record_id", "page_id", "target", "digest", "payload_bytes")
     firsts = (

@@ -1,0 +1,98 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardamom.llm import queries as Q
+from cardamom.llm.folding import fold
+from cardamom.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
+
+
+@pytest.mark.parametrize(
+    "text, folded",
+    [
+        ("You IDIOT!", " you idiot "),
+        ("1d10t m0r0n 5tup1d tr4$h", " idiot moron stupid trash "),
+        ("іdіоt ѕсum", " idiot scum "),
+        ("ｍｏｒｏｎ", " moron "),
+        ("mo​ron móron", " moron moron "),
+        ("é ünï Ñ", " é ünï ñ "),
+        ("scum$$$ 'scum' scum,scum", " scum scum scum scum "),
+        ("", " "),
+        (None, " "),
+        ("... !!", " "),
+    ],
+)
+def test_fold(text, folded):
+    assert fold(text) == folded
+
+
+def test_matches_weights_and_exceptions():
+    model = ToxicityModel({" scum ": 5.0, " iow": 2.0, " iowest ": 3.0}, exceptions=("pond scum",))
+    found = model.matches(fold("Scum, pond scum; the lower the lowest. scummy slow"))
+    assert [w for *_, w in found] == [5.0, 2.0, 3.0]  # folding turns "l" into "i"
+    assert ToxicityModel({}).matches(fold("anything")) == []
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(6)
+    plain = [f"{a}{b}" for a in ("ba", "ko", "mi", "tu", "re") for b in ("n", "sta", "vel", "dor", "pin", "gar")]
+    docs, labels = [], []
+    for i in range(600):
+        words = [rng.choice(plain) for _ in range(rng.randint(5, 80))]
+        toxic = i % 5 == 0
+        if toxic:
+            for _ in range(1 + len(words) // 25):
+                words.insert(rng.randrange(len(words)), rng.choice(["Grunk", "gr0nk", "zarfen" + rng.choice(plain)]))
+        elif i % 7 == 0:
+            words.insert(rng.randrange(len(words)), "so called grunk")
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    return docs, labels
+
+
+def test_learns_words_stems_and_exceptions(spark, corpus):
+    docs, labels = corpus
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    marks = spark.createDataFrame(labels + [(None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
+    model = fit_toxicity(df, marks)
+    assert {" grunk ", " gronk ", " zarfen"} <= set(model.lexicon)
+    assert "caiied grunk" in model.exceptions
+    truth = {i: t for i, _, t in labels}
+    scored = score_toxicity(df, model).select("doc.doc_id", "score", "predicted", "terms").collect()
+    wrong = [r for r in scored if r.predicted != truth[r.doc_id]]
+    assert len(wrong) <= 6 and all(0 <= r.score <= 1 for r in scored)
+
+
+def test_held_out_labels_teach_nothing(spark, corpus):
+    docs, labels = corpus
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    flipped = marks.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert fit_toxicity(df, marks) == fit_toxicity(df, flipped)
+
+
+def test_odd_rows(spark, corpus):
+    model = ToxicityModel({" grunk ": 6.0}, curve=(-4.0, 1.0, 0.0))
+    rows = [(1, None, "a"), (1, "", "b"), (2, "grunk " * 100_000, "c"), (None, "GRUNK grunk", "d"), (4, "...", "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score string").selectExpr("*", "1 as predicted", "2 as terms")
+    out = score_toxicity(df, model).select("doc.score", F.col("predicted"), "terms", "doc.terms").collect()
+    assert sorted(tuple(r) for r in out) == [("a", 0, [], 2), ("b", 0, [], 2), ("c", 1, ["grunk"], 2), ("d", 1, ["grunk"], 2), ("e", 0, [], 2)]
+    docs = df.select("doc_id", "text")
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert fit_toxicity(docs, none).lexicon == {} and fit_toxicity(docs.where("false"), none).lexicon == {}
+    assert score_toxicity(docs.where("false"), model).count() == 0
+
+
+def test_query_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = [r for r in Q.op6_toxicity(spark, sf).collect()]
+    assert len(got) == 1000
+    judged = [(labels[r.doc_id], r.predicted) for r in got if r.held_out and r.doc_id in labels]
+    clean = [p for t, p in judged if t == 0]
+    toxic = [p for t, p in judged if t == 1]
+    # A few toxic labels of this table are on texts without any marked word.
+    assert sum(clean) <= 0.02 * len(clean) and sum(toxic) >= 0.75 * len(toxic)
