@@ -12,6 +12,7 @@ from cardamom.functions.dates import (
     time_of_day,
 )
 from cardamom.functions.lists import (
+    bad_items,
     is_int_list,
     json_items,
     parse_int_list,
@@ -20,19 +21,21 @@ from cardamom.functions.lists import (
 )
 from cardamom.functions.numbers import (
     calculate_tax,
-    cents,
     exact_sum,
+    floor_mean,
     mean_of,
     money,
     parse_price,
     pct_change,
-    py_round,
     random_day_offset,
     rounded_mean,
     rounded_sum,
+    to_flag,
     to_float,
     to_int,
+    units,
 )
+from cardamom.functions.rounding import py_round
 from cardamom.functions.sql import register_sql_functions
 from cardamom.functions.text import (
     amount_label,
@@ -45,10 +48,11 @@ from cardamom.functions.text import (
 
 __all__ = [
     "amount_label",
+    "bad_items",
     "calculate_tax",
-    "cents",
     "days_before",
     "exact_sum",
+    "floor_mean",
     "full_match",
     "in_days",
     "in_year",
@@ -75,7 +79,9 @@ __all__ = [
     "split_items",
     "strip_text",
     "time_of_day",
+    "to_flag",
     "to_float",
     "to_int",
     "trim_space",
+    "units",
 ]

@@ -23,11 +23,11 @@ def split_items(c: Column | str, sep: str = ",") -> Column:
     return F.split(_col(c).cast("string"), sep if sep.isalnum() else "\\" + sep, -1)
 
 
-def parse_int_list(c: Column | str, sep: str = ",", on_bad: str = "drop") -> Column:
+def parse_int_list(c: Column | str, sep: str = ",", *, on_bad: str) -> Column:
     """``"1, 2, 3"`` -> ``[1, 2, 3]``; NULL or blank text gives an empty array.
 
-    ``on_bad`` says what happens to an item that is no integer: ``drop`` it,
-    keep it as ``null``, or ``fail`` the job.
+    ``on_bad`` says what happens to an item that is no integer: ``drop`` it
+    (:func:`bad_items` lists what goes), keep it as ``null``, or ``fail`` the job.
     """
     empty = F.array().cast("array<bigint>")
     items = split_items(c, sep)
@@ -43,6 +43,12 @@ def parse_int_list(c: Column | str, sep: str = ",", on_bad: str = "drop") -> Col
     return F.when(trim_space(c) != "", numbers).otherwise(empty)
 
 
+def bad_items(c: Column | str, sep: str = ",") -> Column:
+    """The items of a list text that are no integer, as texts; none for NULL or blank text."""
+    bad = F.filter(split_items(c, sep), lambda x: to_int(x).isNull())
+    return F.when(trim_space(c) != "", bad).otherwise(F.array().cast("array<string>"))
+
+
 def is_int_list(c: Column | str) -> Column:
     """True for text that is a well-formed, possibly empty, integer list."""
     return full_match(c, _INT_LIST)

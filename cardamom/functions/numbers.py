@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from cardamom.functions.text import _col, strip_text
 
-MONEY = "decimal(10,2)"
+SCALE = 6  # decimals that amounts are added up with
+MONEY = f"decimal(28,{SCALE})"
 
 
 def money(c: Column | str) -> Column:
-    """Amount as exact cents.
+    """Amount as an exact decimal.
 
     Tables keep ``amount`` as read so filters on it reach the parquet scan.
     Sums go through :func:`exact_sum`, which is faster.
@@ -21,29 +22,40 @@ def money(c: Column | str) -> Column:
     return _col(c).cast(MONEY)
 
 
-def cents(c: Column | str) -> Column:
-    """Amount as whole cents."""
-    return F.rint(_col(c).cast("double") * 100).cast("bigint")
+def _finite(x: Column) -> Column:
+    """``x`` as double; what is no finite number of a size that fits stops the job."""
+    x = x.cast("double")
+    bad = F.raise_error(F.concat(F.lit("amount is no number that can be added up: "), x.cast("string")))
+    return F.when(F.abs(x) < F.lit(9e18), x).when(x.isNotNull(), bad.cast("double"))
 
 
-def exact_sum(c: Column | str) -> Column:
-    """Exact sum of an amount with two decimals, as ``decimal(28,2)``.
+def units(c: Column | str, scale: int = SCALE) -> Column:
+    """Amount as a whole number of units of ``10 ** -scale``, up to 9 * 10^18 of them."""
+    return _finite(F.rint(_col(c).cast("double") * 10**scale)).cast("bigint")
 
-    Adding decimals costs an object per row; adding integers does not and is
-    about as fast as adding doubles.  One ``bigint`` of cents could overflow on
-    a hot key of a very large table, so the cents are added up in two halves
-    (above and below 2^16) and put together once per group.  That holds for more
-    than 10^13 rows of the largest amount.
+
+def exact_sum(c: Column | str, scale: int = SCALE) -> Column:
+    """Sum of an amount, each taken to ``scale`` decimals, as ``decimal(34,scale)``.
+
+    Nothing else is rounded, so reports round once, at the end.  Adding
+    decimals costs an object per row; adding integers does not and is about as
+    fast as adding doubles.  Whole amounts are added up in two halves (above
+    and below 2^16), fractions by themselves, and all are put together once per
+    group.  That holds for more than 10^12 rows of the largest amount.
     """
-    whole = cents(c)
+    x = _finite(_col(c))
+    whole = F.floor(x)
+    part = F.rint((x - whole) * 10**scale).cast("bigint")
     high = F.sum(F.shiftright(whole, 16)).cast("decimal(20,0)")
     low = F.sum(whole.bitwiseAND(F.lit(0xFFFF))).cast("decimal(20,0)")
-    return ((high * F.lit(1 << 16) + low) * F.lit(Decimal("0.01"))).cast("decimal(28,2)")
+    total = (high * F.lit(1 << 16) + low).cast(f"decimal(38,{scale})")
+    parts = F.sum(part).cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))
+    return (total + parts).cast(f"decimal(34,{scale})")
 
 
-def rounded_sum(c: Column | str) -> Column:
-    """Exact sum of an amount, handed out as a double with two decimals."""
-    return exact_sum(c).cast("double")
+def rounded_sum(c: Column | str, scale: int = 2) -> Column:
+    """Sum of an amount, rounded half up once, as a double."""
+    return F.round(exact_sum(c), scale).cast("double")
 
 
 def rounded_mean(c: Column | str) -> Column:
@@ -55,10 +67,22 @@ def mean_of(total: Column, n: Column, scale: int = 2) -> Column:
     """``total / n`` rounded half up, from an exact total and a count.
 
     Taking both parts lets a plan add up per key first and average later,
-    after the join, without changing a cent.
+    after the join.  The quotient is one of whole numbers: a decimal quotient
+    would be rounded to some decimals before it is rounded again.
     """
-    exact = total.cast("decimal(28,2)") / n.cast("decimal(18,0)")
-    return F.round(exact, scale).cast("double")
+    whole = (F.abs(total.cast(f"decimal(34,{SCALE})")) * F.lit(Decimal(10**SCALE))).cast("decimal(36,0)")
+    step = (n.cast("decimal(19,0)") * F.lit(Decimal(10 ** (SCALE - scale)))).cast("decimal(30,0)")
+    mean = F.call_function("div", whole * 2 + step, step * 2)
+    mean = mean.cast("double") / 10**scale
+    return F.when(n > 0, F.when(total < 0, -mean).otherwise(mean))
+
+
+def floor_mean(total: Column, n: Column) -> Column:
+    """The largest whole number of units (see :func:`units`) that does not exceed the mean."""
+    whole = (total * F.lit(Decimal(10**SCALE))).cast("decimal(36,0)")
+    n = n.cast("decimal(19,0)")
+    down = F.when(whole < 0, -F.call_function("div", n - 1 - whole, n)).otherwise(F.call_function("div", whole, n))
+    return F.when(n > 0, down)
 
 
 def parse_price(c: Column | str, symbol: str = "$") -> Column:
@@ -80,14 +104,29 @@ def to_int(c: Column | str) -> Column:
     return F.when(text.rlike(_INTEGER), text.try_cast("bigint"))
 
 
+# A decimal number in text; neither "NaN", "Infinity" nor a type suffix as in "1.5d".
+_NUMBER = r"\A\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"
+
+
 def to_float(c: Column | str) -> Column:
-    """Floating-point number or NULL."""
-    return _col(c).try_cast("double")
+    """Finite floating-point number or NULL."""
+    text = _col(c).cast("string")
+    value = text.try_cast("double")
+    return F.when(text.rlike(_NUMBER) & (F.abs(value) < float("inf")), value)
 
 
-def py_round(c: Column | str, scale: int) -> Column:
-    """Round half to even, as Python's ``round`` does."""
-    return F.bround(_col(c), scale)
+def to_flag(c: Column | str) -> Column:
+    """A flag written 0/1, true/false, t/f, yes/no or y/n, of any type; other texts stop the job.
+
+    NULL and blank are NULL.
+    """
+    text = F.lower(F.trim(_col(c).cast("string")))
+    bad = F.raise_error(F.concat(F.lit("no flag: "), text)).cast("boolean")
+    return (
+        F.when(text.isin("1", "true", "t", "yes", "y"), True)
+        .when(text.isin("0", "false", "f", "no", "n"), False)
+        .when(text != "", bad)
+    )
 
 
 def pct_change(now: Column | str, before: Column | str) -> Column:

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Decimals a tax may be rounded to.  ``round`` needs a constant scale, so each
-# has its branch; with a literal argument only that branch is left in the plan.
-_SCALES = range(7)
-
 
 def register_sql_functions(spark: SparkSession) -> None:
-    """Create the session's SQL functions: ``calculate_tax(base, rate, decimals)``."""
-    branches = " ".join(f"WHEN {d} THEN round(base * rate, {d})" for d in _SCALES)
+    """Create the session's SQL functions: ``calculate_tax(base, rate, decimals)``.
+
+    All in doubles, halves away from zero, any number of decimals (negative
+    ones round before the point); NULL in, NULL out.
+    """
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION calculate_tax"
-        "(base DECIMAL(18,6), rate DECIMAL(9,6), decimals INT) RETURNS DECIMAL(28,6) "
-        f"RETURN CASE decimals {branches} "
-        "ELSE raise_error('decimals must be 0 to 6') END"
+        "(base DOUBLE, rate DOUBLE, decimals INT) RETURNS DOUBLE "
+        # From 2^52 on a double has no decimals left to round.
+        "RETURN CASE WHEN abs(base * rate) * pow(10, decimals) < pow(2, 52) "
+        "THEN signum(base * rate) * floor(abs(base * rate) * pow(10, decimals) + 0.5) / pow(10, decimals) "
+        "WHEN decimals IS NOT NULL THEN base * rate END"
     )

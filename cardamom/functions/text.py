@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cardamom.functions.rounding import py_round
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -36,9 +38,9 @@ def full_match(c: Column | str, pattern: str) -> Column:
 
 def percent_label(share: Column | str) -> Column:
     """0.3 -> ``30%``; halves go to the even neighbour."""
-    return F.format_string("%.0f%%", F.bround(_col(share) * 100, 0))
+    return F.format_string("%.0f%%", py_round(_col(share).cast("double") * 100, 0))
 
 
 def amount_label(amount: Column | str, unit: str = "€") -> Column:
-    """775.0 -> ``775.00 €``."""
-    return F.format_string(f"%.2f {unit}", _col(amount).cast("double"))
+    """775.0 -> ``775.00 €``; 2.675, a little less in binary, -> ``2.67 €``."""
+    return F.format_string(f"%.2f {unit}", py_round(amount, 2))

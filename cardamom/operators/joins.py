@@ -2,8 +2,7 @@
 
 None of these forces a broadcast on a table: Catalyst and AQE broadcast a side
 only after checking its size, otherwise both sides shuffle and AQE splits a
-hot key of the left side.  Only lookup tables built here from literals, whose
-size is fixed in the code, are hinted.
+hot key of the left side.
 """
 
 from __future__ import annotations
@@ -43,19 +42,22 @@ def keep_unmatched(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -
 def left_with_default(
     left: DataFrame, right: DataFrame, on: str | Sequence[str], defaults: Mapping[str, Any]
 ) -> DataFrame:
-    """Left join; columns that found no match take a default."""
-    return left.join(right, _keys(on), "left").fillna(dict(defaults))
+    """Left join; columns that found no match take a default.  A matched NULL stays NULL."""
+    keys = _keys(on)
+    joined = left.join(right.withColumn("_found", F.lit(True)), keys, "left")
+    filled = {
+        c: F.when(F.col("_found"), F.col(c)).otherwise(F.lit(v).cast(right.schema[c].dataType))
+        for c, v in defaults.items()
+    }
+    return joined.withColumns(filled).drop("_found")
 
 
 def lookup_table(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
     """A lookup table from literals in the code.
 
-    It holds as many rows as the code lists, whatever the data size, which is
-    what makes the broadcast safe.
+    It is a local relation, whose size Spark knows; it is broadcast if that is small.
     """
-    if len(rows) > 1000:
-        raise ValueError("lookup_table is for short literal tables; read larger ones as a table")
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    return spark.createDataFrame(list(rows), schema)
 
 
 def lookup(
@@ -79,9 +81,9 @@ def lookup(
         return left_with_default(df, table, keys, defaults or {})
     if on_missing != "fail":
         raise ValueError(f"on_missing: {on_missing!r}")
-    added = [c for c in table.columns if c not in keys]
     joined = df.join(table.withColumn("_found", F.lit(True)), keys, "left")
     shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
     message = F.concat(F.lit(f"no entry in lookup for {', '.join(keys)} = "), shown)
-    checked = {c: F.when(F.col("_found"), F.col(c)).otherwise(F.raise_error(message)) for c in added}
-    return joined.withColumns(checked).drop("_found")
+    # A filter, which is evaluated whatever columns are read later.
+    ok = F.when(F.col("_found"), True).otherwise(F.raise_error(message).cast("boolean"))
+    return joined.filter(ok).drop("_found")

@@ -33,13 +33,17 @@ def insert_rows(df: DataFrame, rows: list[Mapping[str, Any]]) -> DataFrame:
     unknown = {k for r in rows for k in r} - set(df.columns)
     if unknown:
         raise ValueError(f"no such column: {sorted(unknown)}")
-    spark = df.sparkSession
-    for row in rows:
-        one = spark.range(1).select(
-            *[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields]
-        )
-        df = df.unionByName(one)
-    return df
+    if not rows:
+        return df
+    # Of one column the values may be of several Python types; all are cast from text.
+    text = [tuple(None if r.get(c) is None else _text(r[c]) for c in df.columns) for r in rows]
+    fields = ", ".join(f"`{c}` string" for c in df.columns)
+    new = df.sparkSession.createDataFrame(text, fields)
+    return df.unionByName(new.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in df.schema.fields]))
+
+
+def _text(value: Any) -> str:
+    return str(value).lower() if isinstance(value, bool) else str(value)
 
 
 def retype(df: DataFrame, types: Mapping[str, str | Column]) -> DataFrame:

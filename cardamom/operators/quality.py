@@ -42,11 +42,18 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
     return counted.join(parents, key, "left_anti")
 
 
-def row_count_check(tables: Mapping[str, DataFrame], expected: Mapping[str, int]) -> DataFrame:
-    """One row per table: rows found, rows expected, and whether they agree."""
+def row_count_check(
+    tables: Mapping[str, DataFrame], expected: Mapping[str, int | DataFrame]
+) -> DataFrame:
+    """One row per table: rows found, rows expected, and whether they agree.
+
+    What is expected is a number, or the table that was the source.
+    """
     out = None
     for name, df in tables.items():
-        want = F.lit(expected.get(name)).cast("bigint")
+        source = expected.get(name)
+        counted = isinstance(source, DataFrame)
+        want = source.agg(F.count("*")).scalar() if counted else F.lit(source).cast("bigint")
         row = df.agg(F.count("*").alias("n_rows")).select(
             F.lit(name).alias("table_name"),
             "n_rows",

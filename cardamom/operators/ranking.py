@@ -38,7 +38,8 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str = "position")
     by the partition count.  ``order`` must end in a unique column.
 
     The sorted copy is a written table, so a lost executor costs no re-sort
-    and cannot number rows anew.
+    and cannot number rows anew.  It is scratch: it goes with the program, or
+    when the caller is done and calls ``drop_scratch`` on its ``inputFiles``.
     """
     spark = df.sparkSession
     path = shared_dir(spark, "numbered")

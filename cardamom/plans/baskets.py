@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardamom.functions import calculate_tax, is_int_list, json_items, money
-from cardamom.operators import left_with_default, top_k
+from cardamom.operators import keep_matching, left_with_default, top_k
 from cardamom.plans.sales import sold
 
 
@@ -59,7 +59,10 @@ def _item_counts(tx: DataFrame, name: str) -> DataFrame:
 
 
 def sales_ranking(tx: DataFrame, products: DataFrame) -> DataFrame:
-    """Units sold per product, accepted transactions only, unsold products at 0."""
+    """Units sold per product, accepted transactions only, unsold products at 0.
+
+    Counts the lists of the transactions; :func:`ranking_from_lines` counts rows.
+    """
     listed = products.select("product_id", "name", "price", "colour")
     ranked = left_with_default(
         listed, _item_counts(sold(tx), "total_sold"), "product_id", {"total_sold": 0}
@@ -69,6 +72,22 @@ def sales_ranking(tx: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def ranking_from_lines(lines: DataFrame, tx: DataFrame, products: DataFrame) -> DataFrame:
+    """The sales ranking where each item is a row (transaction_id, product_id).
+
+    No list is built or read: lines of accepted transactions are kept by a semi
+    join, counted per product, and only then meet the products.
+    """
+    accepted = sold(tx).select("transaction_id")
+    kept = keep_matching(lines, accepted, "transaction_id", unique=True)
+    counts = kept.groupBy("product_id").agg(F.count("*").alias("total_sold"))
+    listed = products.select("product_id", "name", "price", "colour")
+    ranked = left_with_default(listed, counts, "product_id", {"total_sold": 0})
+    return ranked.select("product_id", "name", "price", "total_sold", "colour").orderBy(
+        F.col("total_sold").desc(), "product_id"
+    )
+
+
 def flat_sales(tx: DataFrame, products: DataFrame, tax_rate: str = "0.21") -> DataFrame:
     """Every basket item with its transaction and product, price with tax.
 

@@ -54,7 +54,7 @@ def vip_users(tx: DataFrame, users: DataFrame, spent_over: float = 500) -> DataF
             "n_purchases",
             mean_of(F.col("total"), F.col("n_amounts")).alias("avg_ticket"),
             "max_purchase",
-            F.col("total").cast("double").alias("total_spent"),
+            F.round("total", 2).cast("double").alias("total_spent"),
         )
         .orderBy(F.col("total_spent").desc(), "user_id")
     )

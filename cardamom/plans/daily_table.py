@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cardamom.functions import exact_sum
 from cardamom.operators import keep_matching
+from cardamom.session import scratch
 from cardamom.sources import overwrite_partitions
 
 FIRST_DATE = "0001-01-01"
@@ -26,7 +27,7 @@ def _totals(fact: DataFrame) -> DataFrame:
 
 
 def build_daily_table(spark: SparkSession, fact_path: str, table_path: str) -> None:
-    """Compute every day."""
+    """Compute every day.  Let ``streaming.start_after`` note the files first, and only later ones are followed."""
     totals = _totals(spark.read.parquet(fact_path))
     # A few hundred bytes per day: one range of days per task, one file per day.
     totals.repartitionByRange("day").write.mode("overwrite").partitionBy("day").parquet(table_path)
@@ -49,13 +50,14 @@ def refresh_daily_table(
 
     The list of days never becomes a driver-side filter: it is joined to the
     fact's partition column, and dynamic partition pruning opens those days
-    only.  It is broadcast because the calendar bounds it (one date per day,
-    36,525 in a century).  A day without sales any more is stored as NULL,
-    replacing its old total.
+    only.  A day without sales any more is stored as NULL, replacing its old
+    total.  After a rewrite of the fact, pass the days that
+    ``rewrite_partitions`` returns: a day without rows left brings no new file
+    that a stream could see.
     """
-    days = changed_days(changed)
+    days = changed_days(scratch(changed.select("tr_date").distinct(), "days"))
     fact = spark.read.parquet(fact_path)
-    touched = keep_matching(fact, F.broadcast(days), "tr_date", unique=True)
+    touched = keep_matching(fact, days, "tr_date", unique=True)
     rows = days.select(F.col("tr_date").alias("day")).join(_totals(touched), "day", "left")
     overwrite_partitions(rows, table_path, "day")
 
@@ -63,7 +65,7 @@ def refresh_daily_table(
 def read_daily_table(spark: SparkSession, table_path: str) -> DataFrame:
     """``day``, ``sales``; days without sales are left out."""
     return (
-        spark.read.schema("sales decimal(28,2), day date")
+        spark.read.schema("sales decimal(34,6), day date")
         .parquet(table_path)
         .filter(F.col("sales").isNotNull())
         .select("day", "sales")

@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardamom.operators import key_counts, orphans
 from cardamom.plans import baskets, customers, daily_table, lake, sales
 from cardamom.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
 from cardamom.sources import publish_view, read_csv, write_parquet, write_partitioned_fact
@@ -26,7 +25,8 @@ def load_star(spark: SparkSession, files: Files, target: str) -> dict[str, DataF
 
     ``files`` names the staging inputs ``users`` (one or more files),
     ``companies``, ``credit_cards``, ``products`` and ``transactions``, the
-    last one separated by semicolons.
+    last one separated by semicolons.  A basket whose list text is malformed
+    has no bridge rows; it is in ``rejected_baskets`` with its text.
     """
 
     def staged(name: str, sep: str = ",") -> DataFrame:
@@ -50,6 +50,7 @@ def load_star(spark: SparkSession, files: Files, target: str) -> dict[str, DataF
     )
     status = customers.card_status(fact).select("card_id", "status")
     star["transaction_products"] = store("transaction_products", bridge)
+    star["rejected_baskets"] = store("rejected_baskets", baskets.malformed_lists(fact))
     star["card_status"] = store("card_status", status)
     return star
 
@@ -58,36 +59,46 @@ def key_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows that break a declared key: one line per constraint, 0 where it holds.
 
     Covers the primary keys (repeated and missing) and the foreign keys of
-    those registered tables that are given.
+    those registered tables that are given.  Each table is read once and emits
+    one row per constraint it takes part in; all constraints are then counted
+    by key in a single shuffle, where a hot key is one row per task.
     """
-    lines = []
+    lines, passes = [], {}
     for table, keys in PRIMARY_KEYS.items():
         if table in tables:
-            counts = key_counts(tables[table], keys)
-            checks = {"repeated": "n_repeated", "missing": "n_missing"}
-            lines.append(_lines(counts, table, keys, checks))
-    for child, column, parent, key in FOREIGN_KEYS:
+            key = F.to_json(F.struct(*[F.col(k).cast("string") for k in keys]))
+            missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+            own = F.struct(F.lit(len(lines)).alias("line"), F.when(~missing, key).alias("key"), F.lit(True).alias("own"))
+            passes.setdefault(table, []).append(own)
+            lines += [(table, "repeated", keys), (table, "missing", keys)]
+    for child, column, parent, parent_key in FOREIGN_KEYS:
         if child in tables and parent in tables:
-            bad = orphans(tables[child], column, tables[parent], key)
-            counts = bad.agg(F.sum("n_rows").alias("n"))
-            lines.append(_lines(counts, child, [column], {f"not in {parent}": "n"}))
-    return reduce(DataFrame.unionAll, lines)
-
-
-def _lines(
-    counts: DataFrame, table: str, columns: Sequence[str], checks: Mapping[str, str]
-) -> DataFrame:
-    """The one row of ``counts`` as a line per check."""
-    line = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(check).alias("check"),
-            F.lit(", ".join(columns)).alias("key"),
-            F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias("n_bad"),
-        )
-        for check, n in checks.items()
-    ]
-    return counts.select(F.inline(F.array(*line)))
+            for table, name, own in ((parent, parent_key, True), (child, column, False)):
+                row = F.struct(F.lit(len(lines)).alias("line"), F.col(name).cast("string").alias("key"), F.lit(own).alias("own"))
+                passes.setdefault(table, []).append(row)
+            lines.append((child, f"not in {parent}", [column]))
+    rows = [tables[t].select(F.explode(F.array(*made)).alias("r")).select("r.*") for t, made in passes.items()]
+    counts = (
+        reduce(DataFrame.unionAll, rows)
+        .groupBy("line", "key")
+        .agg(F.count_if("own").alias("owners"), F.count_if(~F.col("own")).alias("children"))
+    )
+    there = F.col("key").isNotNull()
+    found = counts.groupBy("line").agg(
+        F.sum(F.when(there, F.col("owners") - 1).otherwise(0)).alias("repeated"),
+        F.sum(F.when(there, 0).otherwise(F.col("owners"))).alias("missing"),
+        F.sum(F.when(there & (F.col("owners") == 0), F.col("children")).otherwise(0)).alias("orphaned"),
+    )
+    spark = counts.sparkSession
+    declared = spark.createDataFrame(
+        [
+            (i - (check == "missing"), check if check in ("repeated", "missing") else "orphaned", table, check, ", ".join(keys))
+            for i, (table, check, keys) in enumerate(lines)
+        ],
+        "line int, kind string, table_name string, check string, key string",
+    )
+    n = F.when(F.col("kind") == "repeated", F.col("repeated")).when(F.col("kind") == "missing", F.col("missing")).otherwise(F.col("orphaned"))
+    return declared.join(found, "line", "left").select("table_name", "check", "key", F.coalesce(n, F.lit(0)).cast("bigint").alias("n_bad"))
 
 
 def build_lake(
@@ -98,6 +109,7 @@ def build_lake(
     ``files`` names ``american_users``, ``european_users``, ``companies``,
     ``credit_cards``, ``products`` and ``transactions`` (semicolons).  Types
     are inferred except for the companies, as the raw layer declares them.
+    Basket items that are no integers go to ``rejected_items``.
     """
     out: dict[str, DataFrame] = {}
 
@@ -113,7 +125,8 @@ def build_lake(
     raw_tx = bronze("transactions", sep=";")
 
     products = store("silver", "products_clean", lake.clean_products(raw["products"]))
-    tx = store("silver", "transactions_clean", lake.clean_transactions(raw_tx))
+    tx = store("silver", "transactions_clean", lake.clean_transactions(raw_tx, "drop"))
+    store("silver", "rejected_items", lake.rejected_items(raw_tx))
     store(
         "silver",
         "users_combined",

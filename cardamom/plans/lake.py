@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardamom.functions import (
+    bad_items,
     days_before,
     parse_int_list,
     parse_iso_date,
@@ -18,6 +19,7 @@ from cardamom.functions import (
     since,
     strip_text,
     time_of_day,
+    to_flag,
     to_float,
 )
 from cardamom.operators import tagged_union
@@ -42,15 +44,19 @@ def clean_products(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_transactions(raw: DataFrame, on_bad_item: str = "drop") -> DataFrame:
-    """Typed transactions: unreadable amounts 0, list text to an array."""
+def clean_transactions(raw: DataFrame, on_bad_item: str) -> DataFrame:
+    """Typed transactions: unreadable amounts 0, list text to an array, flags to booleans.
+
+    ``on_bad_item`` says what happens to list items that are no integers:
+    ``drop`` (:func:`rejected_items` keeps them), ``null`` or ``fail``.
+    """
     return raw.select(
         F.col("id").alias("transaction_id"),
         "business_id",
         "card_id",
         "timestamp",
         F.coalesce(to_float("amount"), F.lit(0.0)).alias("amount"),
-        "declined",
+        to_flag("declined").alias("declined"),
         parse_int_list("product_ids", on_bad=on_bad_item).alias("product_ids"),
         "user_id",
         to_float("lat").alias("lat"),
@@ -58,6 +64,13 @@ def clean_transactions(raw: DataFrame, on_bad_item: str = "drop") -> DataFrame:
     )
 
 
+def rejected_items(raw: DataFrame) -> DataFrame:
+    """(transaction_id, item) for every list item that is no integer."""
+    items = F.explode(bad_items("product_ids")).alias("item")
+    return raw.select(F.col("id").alias("transaction_id"), items)
+
+
+# The columns of the combined users, in order.
 USER_COLUMNS = [
     "name",
     "surname",
@@ -112,7 +125,12 @@ def load_companies(staging: DataFrame) -> DataFrame:
 
 
 def load_cards(staging: DataFrame) -> DataFrame:
-    return _typed(staging, "dim_credit_card", expiring_date=parse_short_us_date("expiring_date"))
+    return _typed(
+        staging,
+        "dim_credit_card",
+        expiring_date=parse_short_us_date("expiring_date"),
+        card_renewal_flag=to_flag("card_renewal_flag"),
+    )
 
 
 def load_products(staging: DataFrame) -> DataFrame:
@@ -130,6 +148,8 @@ def load_fact(staging: DataFrame) -> DataFrame:
         company_id=F.col("business_id"),
         tr_date=F.to_date("timestamp"),
         tr_time=time_of_day("timestamp"),
+        declined=to_flag("declined"),
+        is_international=to_flag("is_international"),
     )
 
 

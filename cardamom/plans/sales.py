@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardamom.functions import (
-    cents,
     exact_sum,
+    floor_mean,
     in_days,
     in_year,
     mean_of,
     on_day,
     rounded_mean,
+    units,
 )
 from cardamom.operators import (
     daily_totals,
@@ -69,13 +70,12 @@ def country_transactions(tx: DataFrame, companies: DataFrame, country: str) -> D
 def above_average_companies(tx: DataFrame, companies: DataFrame) -> DataFrame:
     """Companies with sales above the overall mean, and the mean of those sales.
 
-    A whole number of cents exceeds the mean when it exceeds the mean's whole
-    cents, so the test is one of integers.
+    A whole number of units exceeds the mean when it exceeds the mean's whole
+    units, so the test is one of integers.
     """
     accepted = sold(tx)
-    mean = exact_sum("amount") * 100 / F.count("amount").cast("decimal(18,0)")
-    overall = accepted.agg(F.floor(mean).cast("bigint"))
-    large = accepted.filter(cents("amount") > overall.scalar())
+    overall = accepted.agg(floor_mean(exact_sum("amount"), F.count("amount")))
+    large = accepted.filter(units("amount") > overall.scalar())
     totals = per_key_totals(large, [F.col("business_id").alias("company_id")])
     named = totals.join(companies.select("company_id", "company_name"), "company_id", "left")
     return named.select(
@@ -142,16 +142,21 @@ def mean_per_account(
     )
 
 
-def top_days(tx: DataFrame, k: int = 5, year: int | None = None) -> DataFrame:
+def top_days(
+    tx: DataFrame, k: int = 5, year: int | None = None, companies: DataFrame | None = None
+) -> DataFrame:
     """The days with the highest revenue, of all time or of one year.
 
-    Every transaction has its company (checked by ``operators.orphans``), so
-    no join is needed to know which rows count.
+    With ``companies`` (the star form) only transactions of a listed company
+    count; the lake form takes all.
     """
     accepted = sold(tx)
+    if companies is not None:
+        known = companies.select(F.col("company_id").alias("business_id"))
+        accepted = keep_matching(accepted, known, "business_id", unique=True)
     if year is not None:
         accepted = accepted.filter(in_year("timestamp", year))
-    days = daily_totals(accepted).select("day", F.col("sales").cast("double").alias("revenue"))
+    days = daily_totals(accepted).select("day", F.round("sales", 2).cast("double").alias("revenue"))
     return top_k(days, [F.col("revenue").desc(), F.col("day")], k)
 
 

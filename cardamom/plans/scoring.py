@@ -134,9 +134,10 @@ def triage(lines: DataFrame, severities: Mapping[str, int] = SEVERITIES) -> Data
     parts = read_pipe_lines(lines)
     symptoms = F.transform(split_items("symptom_text"), snake_case)
     bad_age = F.raise_error(F.concat(F.lit("age is no integer: "), F.col("age_text")))
-    return parts.select(
+    right = F.when(to_int("age_text").isNotNull() | F.col("age_text").isNull(), True)
+    return parts.filter(right.otherwise(bad_age.cast("boolean"))).select(
         "name",
-        F.coalesce(to_int("age_text"), bad_age).alias("age"),
+        to_int("age_text").alias("age"),
         symptoms.alias("symptoms"),
         score_items(symptoms, severities).cast("bigint").alias("risk"),
     )

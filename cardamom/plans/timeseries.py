@@ -16,7 +16,7 @@ def daily_sales(tx: DataFrame) -> DataFrame:
 
 
 def daily_report(daily: DataFrame) -> DataFrame:
-    return daily.select("day", F.col("sales").cast("double").alias("sales")).orderBy(
+    return daily.select("day", F.round("sales", 2).cast("double").alias("sales")).orderBy(
         F.col("day").desc()
     )
 
@@ -28,8 +28,8 @@ def day_over_day(daily: DataFrame) -> DataFrame:
     change = F.round(pct_change(F.col("sales").cast("double"), F.col("before").cast("double")), 2)
     return series.select(
         "day",
-        F.col("sales").cast("double").alias("today"),
-        F.col("before").cast("double").alias("yesterday"),
+        F.round("sales", 2).cast("double").alias("today"),
+        F.round("before", 2).cast("double").alias("yesterday"),
         (change + F.lit(0.0)).alias("diff_pct"),
     ).orderBy("day")
 
@@ -39,6 +39,6 @@ def year_to_date(daily: DataFrame) -> DataFrame:
     series = running_total(daily, [F.year("day")], "day", "sales", "ytd")
     return series.select(
         "day",
-        F.col("sales").cast("double").alias("today"),
-        F.col("ytd").cast("double").alias("ytd"),
+        F.round("sales", 2).cast("double").alias("today"),
+        F.round("ytd", 2).cast("double").alias("ytd"),
     ).orderBy("day")

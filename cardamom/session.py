@@ -6,10 +6,12 @@ the caller passes one.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # One shuffle partition should hold about this much input.
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
@@ -43,7 +45,10 @@ def get_session(
 
     ``shuffle_bytes`` is the size of the largest shuffle expected.  AQE starts
     from that many partitions and merges the ones that turn out small, so one
-    setting serves both a few megabytes and many terabytes.
+    setting serves both a few megabytes and many terabytes.  Without it, and
+    unless ``spark-submit`` or ``conf`` names a number, shuffles start from two
+    partitions for every core of the cluster, 200 at least, and AQE merges them
+    up to ``TARGET_PARTITION_BYTES`` each.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -52,24 +57,70 @@ def get_session(
     if shuffle_bytes is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(shuffle_bytes))
     settings.update(conf)
+    settings.setdefault("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TARGET_PARTITION_BYTES))
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    given = "spark.sql.shuffle.partitions"
+    if given not in settings and spark.sparkContext.getConf().get(given) is None:
+        spark.conf.set(given, max(200, 2 * spark.sparkContext.defaultParallelism))
+    return spark
 
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_MADE: list[str] = []
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path in the folder that every executor can reach.
 
     The cluster names that folder in ``spark.checkpoint.dir``.  Only a local
-    session, whose one machine is the whole cluster, may do without.
+    session, whose one machine is the whole cluster, may do without.  What is
+    written there is scratch: it goes when the driver's program ends, or
+    earlier with :func:`drop_scratch`.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         app = spark.sparkContext.applicationId
-        root = _LOCAL_ROOTS.setdefault(app, tempfile.mkdtemp(prefix="cardamom-"))
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        if app not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="cardamom-")
+        root = _LOCAL_ROOTS[app]
+    if not _MADE:
+        atexit.register(_drop_all)
+    _MADE.append(f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def scratch(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: its lineage ends there."""
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system it is on."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a path that :func:`shared_dir` gave out, once nothing reads it any more."""
+    if path in _MADE:
+        _MADE.remove(path)
+        delete_path(spark, path)
+
+
+def _drop_all() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        for path in list(_MADE):
+            try:
+                drop_scratch(spark, path)
+            except Exception:  # the session may have ended before the program
+                break
+    for root in _LOCAL_ROOTS.values():
+        shutil.rmtree(root, ignore_errors=True)

@@ -2,6 +2,7 @@
 
 from cardamom.sources.readers import (
     read_csv,
+    read_export,
     read_json_documents,
     read_pipe_lines,
     read_tsv_matches,
@@ -12,8 +13,10 @@ from cardamom.sources.writers import (
     create_namespace,
     create_table_as,
     export_csv,
+    external_csv_table,
     overwrite_partitions,
     publish_view,
+    read_partitioned,
     rewrite_partitions,
     write_csv,
     write_parquet,
@@ -25,10 +28,13 @@ __all__ = [
     "create_namespace",
     "create_table_as",
     "export_csv",
+    "external_csv_table",
     "overwrite_partitions",
     "publish_view",
     "read_csv",
+    "read_export",
     "read_json_documents",
+    "read_partitioned",
     "read_pipe_lines",
     "read_tsv_matches",
     "records",

@@ -35,16 +35,26 @@ def read_csv(
     return reader.option("mode", "FAILFAST").schema(schema).csv(paths)
 
 
+def read_export(
+    spark: SparkSession, path: str, schema: str | StructType, sep: str = ";"
+) -> DataFrame:
+    """The rows of a report that ``export_csv`` wrote; its header is a file of its own."""
+    reader = spark.read.option("sep", sep).option("quote", '"').option("escape", '"')
+    return reader.option("mode", "FAILFAST").option("pathGlobFilter", "part-*").schema(schema).csv(path)
+
+
 def read_tsv_matches(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated match lines without a header: home, result, away."""
-    return (
-        spark.read.option("sep", "\t")
-        .option("mode", "FAILFAST")
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .schema(SCHEMAS["matches"])
-        .csv(path)
-    )
+    """Tab-separated match lines without a header: home, result, away.
+
+    The line is stripped and split on tabs; quotes and blanks inside it belong
+    to the names, and an empty name is an empty text.  Blank lines are left out;
+    a line without exactly three parts stops the job.
+    """
+    lines = spark.read.text(path).select(trim_space("value").alias("line")).filter("line <> ''")
+    parts = F.split("line", "\t", -1)
+    bad = F.raise_error(F.concat(F.lit("line needs three parts: "), F.col("line")))
+    whole = lines.filter(F.when(F.size(parts) == 3, True).otherwise(bad.cast("boolean")))
+    return whole.select(*[parts[i].alias(c) for i, c in enumerate(SCHEMAS["matches"].fieldNames())])
 
 
 def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -65,8 +75,10 @@ def read_pipe_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     """
     parts = F.split(F.col(column), r"\|", -1)
     short = F.raise_error(F.concat(F.lit("line needs three parts: "), F.col(column)))
-    part = lambda i: trim_space(F.when(F.size(parts) >= 3, parts[i]).otherwise(short))
-    return lines.select(
+    # A filter, which is evaluated whatever columns are read later.  A NULL line has NULL parts.
+    whole = F.when((F.size(parts) >= 3) | F.col(column).isNull(), True).otherwise(short.cast("boolean"))
+    part = lambda i: trim_space(parts[i])
+    return lines.filter(whole).select(
         part(0).alias("name"), part(1).alias("age_text"), part(2).alias("symptom_text")
     )
 

@@ -6,6 +6,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from cardamom.session import delete_path, scratch, shared_dir
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
@@ -42,24 +45,39 @@ def write_partitioned_fact(
     day: str = "tr_date",
     cluster_by: str = "business_id",
     spread_by: str = "transaction_id",
+    mode: str = "overwrite",
+    file_bytes: int = 128 << 20,
 ) -> DataFrame:
     """Write a fact table partitioned by day and clustered inside each day.
 
-    The rows are range-partitioned by (day, cluster key, row key) rather than
-    hashed by day: a day that holds a third of all rows is cut into many tasks,
-    and each file covers a short range of the cluster key, so parquet min/max
-    statistics skip files on that key.
+    The rows are range-partitioned by (day, cluster key, row key) into as many
+    parts as their number asks for: a day that holds a third of all rows is cut
+    into many tasks, small days share one, and each file covers a short range
+    of the cluster key, so parquet min/max statistics skip files on that key.
+    ``mode="append"`` adds the rows of a daily arrival the same way.
     """
     dated = df.withColumn(day, F.to_date(ts))
     order = [day, cluster_by, spread_by]
+    files = max(1, -(-dated.count() * _row_bytes(dated.schema) // file_bytes))
     (
-        dated.repartitionByRange(*order)
+        dated.repartitionByRange(files, *order)
         .sortWithinPartitions(*order)
-        .write.mode("overwrite")
+        .write.mode(mode)
         .partitionBy(day)
         .parquet(path)
     )
-    return df.sparkSession.read.parquet(path)
+    return read_partitioned(df.sparkSession, path, dated, day)
+
+
+def _row_bytes(schema: StructType) -> int:
+    """A rough size of a stored row: 8 bytes a column, 24 for texts and lists."""
+    return sum(8 if f.dataType.typeName() not in ("string", "array", "struct", "map", "binary") else 24 for f in schema.fields)
+
+
+def read_partitioned(spark: SparkSession, path: str, like: DataFrame, by: str) -> DataFrame:
+    """A partitioned table with a known schema: nothing is inferred, the partition column comes last."""
+    schema = StructType([f for f in like.schema.fields if f.name != by] + [like.schema[by]])
+    return spark.read.schema(schema).parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: str) -> None:
@@ -82,26 +100,50 @@ def rewrite_partitions(
     by: str,
     where: Column,
     change: Callable[[DataFrame], DataFrame],
-) -> None:
+) -> DataFrame:
     """Update or delete rows of a partitioned table, rewriting the least of it.
 
-    Partitions (column ``by``) without a row that matches ``where`` are not
-    written, and read only to find that out.  ``change`` gets the whole content
-    of the others and returns what they should hold.  What reaches the driver
-    is at most one value per partition of the table; a partition left without
-    rows is replaced by an empty file.
+    ``change`` gets the whole content of the partitions (column ``by``) that
+    have a row matching ``where``, and returns what should become of those rows.
+    They may move to other partitions, whose rows stay.  The new content of all
+    partitions concerned is staged in the shared folder before the table is
+    touched; a failure while staging leaves the table as it was.  Returns the
+    touched partition values (one column, ``by``), emptied ones included.
+
+    Rows without a partition value are matched like any other.  No partition
+    value reaches the driver but those of emptied partitions, one at a time,
+    whose folders are deleted.
     """
     table = spark.read.parquet(path)
-    values = lambda df: {r[0] for r in df.select(by).distinct().collect()}
-    hit = values(table.filter(where))
-    if not hit:
-        return
-    new = change(table.filter(F.col(by).isin(list(hit))))
-    emptied = hit - values(new)
-    overwrite_partitions(new, path, by)
-    nothing = spark.createDataFrame([], new.drop(by).schema)
-    for value in emptied:
-        nothing.write.mode("overwrite").parquet(f"{path}/{by}={value}")
+    hit = scratch(table.filter(where).select(by).distinct(), "hit")
+    changed = scratch(change(_of_partitions(table, hit, by)), "changed").select(table.columns)
+    landed = scratch(changed.select(by).distinct(), "landed")
+    others = _minus(landed, hit, by)
+    staged = scratch(changed.unionByName(_of_partitions(table, others, by)), "staged")
+    overwrite_partitions(staged, path, by)
+    for row in _minus(hit, landed, by).toLocalIterator():
+        name = HIVE_NULL if row[0] is None else str(row[0])
+        delete_path(spark, f"{path}/{by}={name}")
+    return scratch(hit.unionByName(landed).distinct(), "touched")
+
+
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"  # fixed value: where rows without a partition value are stored
+
+
+def _minus(a: DataFrame, b: DataFrame, by: str) -> DataFrame:
+    return a.alias("a").join(b.alias("b"), F.col(f"a.{by}").eqNullSafe(F.col(f"b.{by}")), "left_anti").select(f"a.{by}")
+
+
+def _of_partitions(table: DataFrame, values: DataFrame, by: str) -> DataFrame:
+    """The rows of some partitions.
+
+    An equality join lets Spark prune partitions while it runs; rows without a
+    value are a partition of their own, read only if it is asked for.
+    """
+    some = table.filter(F.col(by).isNotNull()).join(values.filter(F.col(by).isNotNull()), by, "left_semi")
+    asked = values.filter(F.col(by).isNull()).limit(1).select(F.lit(1).alias("_asked"))
+    none = table.filter(F.col(by).isNull()).withColumn("_one", F.lit(1))
+    return some.select(table.columns).unionByName(none.join(asked, F.col("_one") == F.col("_asked"), "left_semi").select(table.columns))
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
@@ -117,9 +159,32 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) ->
 
 
 def export_csv(df: DataFrame, path: str, order: Sequence[Column], sep: str = ";") -> None:
-    """Ordered report as CSV with a header.
+    """Ordered report as CSV.
 
-    The sorted partitions are written in parallel; file names follow the
-    order, so the report is the files read one after the other.
+    The sorted partitions are written in parallel without headers; file names
+    follow the order.  The header is a file of its own that sorts before them,
+    so the files read one after the other are the report with one header.
     """
-    write_csv(df.orderBy(*order), path, sep=sep)
+    write_csv(df.orderBy(*order), path, sep=sep, header=False)
+    names = df.sparkSession.createDataFrame([tuple(df.columns)], ", ".join(f"`{c}` string" for c in df.columns))
+    place = shared_dir(df.sparkSession, "header")
+    write_csv(names.coalesce(1), place, sep=sep, header=False)
+    move_part(df.sparkSession, place, f"{path}/header.csv")
+
+
+def move_part(spark: SparkSession, folder: str, target: str) -> None:
+    """Give the only part file of a folder a name of its own."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.hadoop.fs.Path(folder)
+    files = source.getFileSystem(conf).globStatus(jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*"))
+    jvm.org.apache.hadoop.fs.FileUtil.copy(
+        source.getFileSystem(conf), files[0].getPath(), jvm.org.apache.hadoop.fs.Path(target).getFileSystem(conf), jvm.org.apache.hadoop.fs.Path(target), True, conf
+    )
+
+
+def external_csv_table(spark: SparkSession, table: str, path: str, schema: str, sep: str = ",") -> DataFrame:
+    """A catalog table over CSV files that stay where they are; dropping it leaves them."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    options = f"header 'true', sep '{sep}', quote '\"', escape '\"', mode 'FAILFAST'"
+    spark.sql(f"CREATE TABLE {table} ({schema}) USING csv OPTIONS ({options}) LOCATION '{path}'")
+    return spark.table(table)

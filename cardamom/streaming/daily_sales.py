@@ -15,6 +15,26 @@ from pyspark.sql.streaming import StreamingQuery
 from cardamom.plans.daily_table import refresh_daily_table
 
 
+def _writer(spark, fact_path, checkpoint, each, max_files_per_batch=None):
+    reader = spark.readStream.schema(spark.read.parquet(fact_path).schema)
+    reader = reader.option("ignoreMissingFiles", "true")
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    rows = reader.parquet(fact_path).select("tr_date")
+    return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+
+
+def start_after(spark: SparkSession, fact_path: str, checkpoint: str) -> None:
+    """Note the fact's present files as seen, without reading them.
+
+    Call it right before ``build_daily_table``: the build reads all of these
+    files, and ``follow_fact_table`` with the same checkpoint starts from the
+    files that come later.
+    """
+    nothing = lambda batch, _: None
+    _writer(spark, fact_path, checkpoint, nothing).trigger(availableNow=True).start().awaitTermination()
+
+
 def follow_fact_table(
     spark: SparkSession,
     fact_path: str,
@@ -23,21 +43,17 @@ def follow_fact_table(
     max_files_per_batch: int | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Start the refresh; without ``interval`` it stops once it has caught up."""
-    reader = spark.readStream.schema(spark.read.parquet(fact_path).schema)
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    """Start the refresh; without ``interval`` it stops once it has caught up.
+
+    Rewrites of the fact remove files; those the stream has listed but not read
+    yet are passed over, as the rewritten ones are new files of their own.
+    """
 
     def refresh(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
         refresh_daily_table(session, fact_path, table_path, batch.select("tr_date"))
 
-    writer = (
-        reader.parquet(fact_path)
-        .select("tr_date")
-        .writeStream.foreachBatch(refresh)
-        .option("checkpointLocation", checkpoint)
-    )
+    writer = _writer(spark, fact_path, checkpoint, refresh, max_files_per_batch)
     if interval:
         return writer.trigger(processingTime=interval).start()
     return writer.trigger(availableNow=True).start()

@@ -160,7 +160,14 @@ CAND = """cand AS (
   SELECT seq, name AS candidate, bad[1] AS field, bad[2] AS value, bad[3] AS reason
   FROM verdict WHERE bad IS NOT NULL)"""
 
-RISK = """risks AS (
+# The products of the fixed factors, each rounded as Python does.
+_RISKS = "CASE " + " ".join(
+    f"WHEN code = {code} AND age_group = '{group}' THEN {round(factor * of_age, 3)!r}::DOUBLE"
+    for code, factor in enumerate([0.10, 0.25, 0.50, 0.75, 0.90])
+    for group, of_age in [("18-25", 1.20), ("26-40", 1.00), ("41-60", 0.85), ("60+", 0.70)]
+) + " END"
+
+RISK = f"""risks AS (
   SELECT c_custkey AS client_id, c_name AS name, 18 + c_custkey % 60 AS age,
     CASE WHEN c_custkey % 60 <= 7 THEN '18-25' WHEN c_custkey % 60 <= 22 THEN '26-40'
          WHEN c_custkey % 60 <= 42 THEN '41-60' ELSE '60+' END AS age_group,
@@ -178,7 +185,7 @@ RISK = """risks AS (
     CASE WHEN c_custkey % 60 <= 7 THEN 1.2::DOUBLE WHEN c_custkey % 60 <= 22 THEN 1.0::DOUBLE
          WHEN c_custkey % 60 <= 42 THEN 0.85::DOUBLE ELSE 0.7::DOUBLE END AS age_factor
   FROM customer),
-  scored AS (SELECT *, round_even(code_factor * age_factor, 3) AS risk FROM risks)"""
+  scored AS (SELECT *, {_RISKS} AS risk FROM risks)"""
 
 PRICED = """priced AS (
   SELECT c_custkey AS client_id, c_name AS name, 18 + c_custkey % 60 AS age,
@@ -205,6 +212,16 @@ LINES = """lines AS (
   SELECT p_name || ' ' || p_partkey AS name, p_size, upper(replace(p_name, ' ', ' , ')) AS words
   FROM part)"""
 
+SUB = """sub AS (
+  SELECT l_orderkey * 10 + l_linenumber AS transaction_id, l_suppkey AS user_id, l_shipdate AS timestamp,
+         l_extendedprice * l_discount / 1000 AS amount, l_returnflag = 'R' AS declined,
+         CAST(round(l_extendedprice * l_discount / 1000 * 1000000) AS BIGINT) AS units
+  FROM lineitem)"""
+
+# Sums and means of millionths, rounded half up once.
+_SUB_SUM = "CAST((CAST(sum(units) AS HUGEINT) + 5000) // 10000 AS DOUBLE) / 100.0"
+_SUB_MEAN = "CAST((2 * CAST(sum(units) AS HUGEINT) + 10000 * count(*)) // (20000 * count(*)) AS DOUBLE) / 100.0"
+
 _TEN = "(SELECT max(seq) FROM (SELECT seq FROM ok ORDER BY seq LIMIT 10))"
 
 
@@ -418,10 +435,54 @@ def all_oracles() -> dict[str, str]:
             AS amount, declined, CAST(timestamp AS DATE) AS tr_date FROM ev
             WHERE day(timestamp) <> 3 AND NOT (day(timestamp) = 5 AND declined)""",
         "udf1_tax_sql": """SELECT p_partkey,
-            CAST(round(CAST(p_retailprice AS DECIMAL(10,2)) * CAST('0.21' AS DECIMAL(2,2)), 2)
-              AS DOUBLE) AS tax,
-            CAST(round(CAST(p_retailprice AS DECIMAL(10,2)) * CAST('0.21' AS DECIMAL(2,2)), 0)
-              AS DOUBLE) AS whole_tax FROM part""",
+            floor(p_retailprice * 0.21::DOUBLE * 100 + 0.5) / 100 AS tax,
+            floor(p_retailprice * 0.21::DOUBLE + 0.5) AS whole_tax FROM part""",
+        "src2_flags_01": """SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS card_id,
+            props->>'$.k' AS company_id, value AS amount, event_type = 'error' AS declined FROM events""",
+        "src4_flags_01": f"WITH {RAW}, {LISTS} {CLEAN}",
+        "load_star_rejects": f"""WITH {RAW} SELECT CAST(id AS VARCHAR) AS transaction_id, product_ids FROM raw
+            WHERE o_orderpriority = '4-NOT SPECIFIED'""",
+        "src10_records": """SELECT r_regionkey, r_name, CASE WHEN r_name = 'ASIA' THEN 'x' END AS note
+            FROM region WHERE r_name IN ('ASIA', 'EUROPE')""",
+        "src11_external_table": "SELECT c_custkey, c_name, c_nationkey FROM customer",
+        "srt7_preview": """SELECT 'preview' AS table_name, least(10, count(*)) AS n_rows,
+            CAST(10 AS BIGINT) AS n_expected, count(*) >= 10 AS ok FROM orders""",
+        "dml8_namespace": "SELECT * FROM nation",
+        "dml_move_partition": f"""WITH {EV} SELECT transaction_id, business_id, card_id, user_id,
+            CASE WHEN day(timestamp) = 7 AND user_id % 10 = 7 THEN timestamp + INTERVAL 1 DAY
+                 ELSE timestamp END AS timestamp, amount, declined,
+            CAST(CASE WHEN day(timestamp) = 7 AND user_id % 10 = 7 THEN timestamp + INTERVAL 1 DAY
+                 ELSE timestamp END AS DATE) AS tr_date FROM ev""",
+        "dml_delete_null_day": f"""WITH {EV}, lost AS (
+              SELECT * REPLACE (CASE WHEN user_id % 10 <> 3 THEN timestamp END AS timestamp) FROM ev)
+            SELECT *, CAST(timestamp AS DATE) AS tr_date FROM lost
+            WHERE timestamp IS NOT NULL OR NOT declined""",
+        "vw3_after_delete": f"""WITH {EV} SELECT CAST(timestamp AS DATE) AS day,
+            {_sum('amount')} AS sales FROM ev WHERE NOT declined AND day(timestamp) <> 3 GROUP BY 1""",
+        "p21_subcent_days": f"""WITH {SUB} SELECT CAST(timestamp AS DATE) AS day, {_SUB_SUM} AS sales
+            FROM sub WHERE NOT declined GROUP BY 1""",
+        "p06_subcent_mean": f"""WITH {SUB} SELECT {_SUB_MEAN} AS avg_sale, {_SUB_SUM} AS total_sale
+            FROM sub WHERE NOT declined""",
+        "p22_subcent_vip": f"""WITH {SUB}, g AS (
+              SELECT user_id, count(*) AS n_purchases, {_SUB_MEAN} AS avg_ticket,
+                     max(amount) AS max_purchase, {_SUB_SUM} AS total_spent
+              FROM sub WHERE NOT declined GROUP BY user_id HAVING sum(units) > 100000000)
+            SELECT user_id, s_name || ' Ltd' AS full_name, s_suppkey || '@example.com' AS email,
+                   n_purchases, avg_ticket, max_purchase, total_spent
+            FROM g JOIN supplier ON user_id = s_suppkey""",
+        "p16_units_from_text": f"""WITH {ITEMS} SELECT item AS product_id, count(*) AS n_sales,
+            p_name AS product FROM items JOIN raw USING (id) JOIN part ON p_partkey = item
+            WHERE o_orderpriority <> '4-NOT SPECIFIED' GROUP BY item, p_name""",
+        "p18_ranking_from_lines": """WITH n AS (
+              SELECT l_partkey, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+              WHERE o_orderstatus <> 'F' GROUP BY l_partkey)
+            SELECT p_partkey AS product_id, p_name AS name, p_retailprice AS price,
+                   coalesce(n, 0) AS total_sold, p_type AS colour
+            FROM part LEFT JOIN n ON p_partkey = l_partkey""",
+        "p20_recent_random": """SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_transactions,
+            true AS none_before, true AS none_after, true AS recent_share_as_expected,
+            CAST(CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS DOUBLE) AS amounts,
+            'amount,business_id,card_id,declined,timestamp,transaction_id,user_id' AS columns FROM orders""",
         "flt2_point_lookup": f"WITH {TX} SELECT * FROM tx WHERE transaction_id = 7",
         "dq1_pk": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
             GROUP BY ALL HAVING count(*) > 1""",
@@ -457,8 +518,8 @@ def all_oracles() -> dict[str, str]:
               FROM bridge WHERE item NOT IN (SELECT p_partkey FROM part)""",
         "dq4_row_count": """SELECT 'orders' AS table_name, count(*) AS n_rows,
               count(*) AS n_expected, true AS ok FROM orders
-            UNION ALL SELECT 'lineitem', count(*), NULL, NULL FROM lineitem
-            UNION ALL SELECT 'customer', count(*), NULL, NULL FROM customer""",
+            UNION ALL SELECT 'lineitem', count(*), count(*), true FROM lineitem
+            UNION ALL SELECT 'customer', count(*), count(*), true FROM customer""",
         "src1_csv_load": DIM_CARD,
         "src2_csv_semicolon": """SELECT CAST(event_id AS VARCHAR) AS id,
             CAST(user_id AS VARCHAR) AS card_id, props->>'$.k' AS business_id,

@@ -30,7 +30,7 @@ from cardamom.plans import (
 )
 from cardamom.schemas import SCHEMAS
 from cardamom.session import shared_dir
-from cardamom.streaming import follow_fact_table
+from cardamom.streaming import follow_fact_table, start_after
 from cardamom.workload import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,7 +59,7 @@ def all_queries() -> dict[str, Query]:
 
 
 def _clean(spark: SparkSession, sf: str) -> DataFrame:
-    return lake.clean_transactions(roles.raw_transactions(spark, sf))
+    return lake.clean_transactions(roles.raw_transactions(spark, sf), on_bad_item="drop")
 
 
 def _products(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,7 +138,9 @@ def p10_avg_per_account(spark, sf):
 
 @query
 def p11_top_days(spark, sf):
-    return sales.top_days(roles.orders_as_transactions(spark, sf))
+    """The star form: only sales of a listed company count."""
+    companies = roles.companies(spark, sf)
+    return sales.top_days(roles.orders_as_transactions(spark, sf), companies=companies)
 
 
 @query
@@ -384,9 +386,18 @@ def p20_recent_30d(spark, sf):
 
 @query
 def p20_recent_random(spark, sf):
-    """Random re-dating, as the name says: rows differ from run to run of a layout."""
-    return lake.recent(
-        lake.redate_randomly(roles.orders_as_transactions(spark, sf), AS_OF), AS_OF
+    """Random re-dating.  Which rows are recent is chance; these facts about all of them are not."""
+    tx = lake.redate_randomly(roles.orders_as_transactions(spark, sf), AS_OF)
+    offset = F.datediff(F.lit(AS_OF.date()), F.to_date("timestamp"))
+    recent = F.col("timestamp") >= F.lit(AS_OF - dt.timedelta(days=30))
+    return tx.agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct("transaction_id").alias("n_transactions"),
+        (F.min(offset) >= 0).alias("none_before"),
+        (F.max(offset) <= 50).alias("none_after"),
+        (F.abs(F.avg(recent.cast("int")) - 0.61) < 0.05).alias("recent_share_as_expected"),
+        F.sum("amount").cast("decimal(20,2)").cast("double").alias("amounts"),
+        F.lit(",".join(sorted(tx.columns))).alias("columns"),
     )
 
 
@@ -404,10 +415,10 @@ def vw3_daily_table(spark, sf):
     fact_path, table_path = shared_dir(spark, "fact"), shared_dir(spark, "daily")
     early = F.to_date("timestamp") < F.lit(LOAD_BEFORE)
     src.write_partitioned_fact(tx.filter(early), fact_path)
-    daily_table.build_daily_table(spark, fact_path, table_path)
-    late = tx.filter(~early).withColumn("tr_date", F.to_date("timestamp"))
-    late.write.mode("append").partitionBy("tr_date").parquet(fact_path)
     checkpoint = shared_dir(spark, "follow")
+    start_after(spark, fact_path, checkpoint)
+    daily_table.build_daily_table(spark, fact_path, table_path)
+    src.write_partitioned_fact(tx.filter(~early), fact_path, mode="append")
     follow_fact_table(spark, fact_path, table_path, checkpoint).awaitTermination()
     return timeseries.daily_report(daily_table.read_daily_table(spark, table_path))
 
@@ -568,6 +579,72 @@ def dml_rewrite_table(spark, sf):
     return spark.read.parquet(path)
 
 
+@query
+def dml_move_partition(spark, sf):
+    """An update that moves rows of one user from day 7 of a month to day 8, where others are."""
+    path = shared_dir(spark, "fact")
+    src.write_partitioned_fact(roles.events_as_transactions(spark, sf), path)
+    moved = (F.dayofmonth("tr_date") == 7) & (F.col("user_id") % 10 == 7)
+    later = {"timestamp": F.col("timestamp") + F.expr("interval 1 day"), "tr_date": F.date_add("tr_date", 1)}
+    src.rewrite_partitions(spark, path, "tr_date", moved, lambda df: op.set_where(df, moved, later))
+    return spark.read.parquet(path)
+
+
+@query
+def dml_delete_null_day(spark, sf):
+    """Rows without a day are a partition of their own: some are deleted, some stay."""
+    path = shared_dir(spark, "fact")
+    lost = F.when(F.col("user_id") % 10 != 3, F.col("timestamp"))
+    src.write_partitioned_fact(roles.events_as_transactions(spark, sf).withColumn("timestamp", lost), path)
+    gone = F.col("tr_date").isNull() & F.col("declined")
+    src.rewrite_partitions(spark, path, "tr_date", gone, lambda df: op.delete_where(df, gone))
+    return spark.read.parquet(path)
+
+
+@query
+def vw3_after_delete(spark, sf):
+    """The daily table after all rows of some days were deleted from the fact."""
+    fact_path, table_path = shared_dir(spark, "fact"), shared_dir(spark, "daily")
+    src.write_partitioned_fact(roles.events_as_transactions(spark, sf), fact_path)
+    daily_table.build_daily_table(spark, fact_path, table_path)
+    gone = F.dayofmonth("tr_date") == 3
+    touched = src.rewrite_partitions(spark, fact_path, "tr_date", gone, lambda df: op.delete_where(df, gone))
+    daily_table.refresh_daily_table(spark, fact_path, table_path, touched)
+    return timeseries.daily_report(daily_table.read_daily_table(spark, table_path))
+
+
+@query
+def p21_subcent_days(spark, sf):
+    """Days of amounts with fractions of a cent: rounded once, at the end."""
+    return timeseries.daily_report(timeseries.daily_sales(roles.lines_as_transactions(spark, sf)))
+
+
+@query
+def p06_subcent_mean(spark, sf):
+    accepted = sales.sold(roles.lines_as_transactions(spark, sf))
+    return accepted.agg(fn.rounded_mean("amount").alias("avg_sale"), fn.rounded_sum("amount").alias("total_sale"))
+
+
+@query
+def p22_subcent_vip(spark, sf):
+    tx, users = roles.lines_as_transactions(spark, sf), roles.suppliers_as_users(spark, sf)
+    return customers.vip_users(tx, users, spent_over=100)
+
+
+@query
+def p16_units_from_text(spark, sf):
+    """List texts to the bridge, and the bridge to units per product."""
+    tx = roles.raw_transactions(spark, sf).withColumnRenamed("id", "transaction_id")
+    return baskets.units_per_product(baskets.bridge_from_text(tx), _products(spark, sf))
+
+
+@query
+def p18_ranking_from_lines(spark, sf):
+    """The ranking over the order lines themselves."""
+    tx, lines = roles.orders_as_transactions(spark, sf), roles.lineitem_as_bridge(spark, sf)
+    return baskets.ranking_from_lines(lines, tx, _products(spark, sf))
+
+
 @query
 def udf1_tax_sql(spark, sf):
     """The tax function called from SQL."""
@@ -631,9 +708,8 @@ def dq_key_report(spark, sf):
 @query
 def dq4_row_count(spark, sf):
     """Rows written by a load against the rows of its source."""
-    names = ["orders", "lineitem", "customer"]
-    loaded = {n: roles.table(spark, sf, n) for n in names}
-    staged = {"orders": roles.raw_transactions(spark, sf).count()}
+    staged = {n: roles.table(spark, sf, n) for n in ("orders", "lineitem", "customer")}
+    loaded = {n: src.write_parquet(df, shared_dir(spark, n)) for n, df in staged.items()}
     return op.row_count_check(loaded, staged)
 
 
@@ -666,11 +742,56 @@ def src2_csv_semicolon(spark, sf):
         "business_id",
         F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("stamp"),
         F.col("amount").cast("double").alias("amount"),
-        "declined",
+        fn.to_flag("declined").alias("declined"),
         "user_id",
     )
 
 
+@query
+def src2_flags_01(spark, sf):
+    """Flags written as 0 and 1, read with the declared schema and loaded into the fact."""
+    columns = SCHEMAS["staging_transactions"].fieldNames()
+    staged = roles.staging_transactions(spark, sf).withColumn("declined", F.col("declined").cast("int"))
+    path = _csv_copy(staged.select(columns), "transactions", sep=";")
+    fact = lake.load_fact(src.read_csv(spark, path, "staging_transactions", sep=";"))
+    return fact.select("id", "card_id", "company_id", F.col("amount").cast("double").alias("amount"), "declined")
+
+
+@query
+def src4_flags_01(spark, sf):
+    """Flags written as 0 and 1, types inferred, cleaned into the lake."""
+    raw = roles.raw_transactions(spark, sf)
+    path = _csv_copy(raw.withColumn("declined", F.col("declined").cast("int")), "raw", sep=";")
+    clean = lake.clean_transactions(src.read_csv(spark, path, sep=";"), on_bad_item="drop")
+    ids = {c: F.col(c).cast("bigint") for c in ("transaction_id", "business_id", "card_id", "user_id")}
+    return _list_text(clean.withColumns(ids))
+
+
+@query
+def load_star_rejects(spark, sf):
+    """Baskets that the star load could not read: each has its text and no bridge rows."""
+    star = _load_star(spark, sf)
+    bridged = star["transaction_products"].select("transaction_id")
+    return op.keep_unmatched(star["rejected_baskets"], bridged, "transaction_id")
+
+
+def _load_star(spark, sf):
+    staged = {
+        "users": roles.staging_users(spark, sf),
+        "companies": roles.staging_companies(spark, sf),
+        "credit_cards": roles.staging_cards(spark, sf),
+        "products": roles.staging_products(spark, sf),
+        "transactions": roles.staging_baskets(spark, sf),
+    }
+    files = {
+        name: _csv_copy(
+            df.select(SCHEMAS[f"staging_{name}"].fieldNames()), name, ";" if name == "transactions" else ","
+        )
+        for name, df in staged.items()
+    }
+    return jobs.load_star(spark, files, shared_dir(spark, "star"))
+
+
 @query
 def src3_two_files(spark, sf):
     """Two user files appended into one staging table."""
@@ -719,6 +840,39 @@ def src8_pipe_lines(spark, sf):
     return src.read_pipe_lines(roles.symptom_lines(spark, sf))
 
 
+@query
+def src10_records(spark, sf):
+    """Records given in the code, with a declared schema, looked up in a table."""
+    wanted = src.records(spark, [{"r_name": "ASIA", "note": "x"}, {"r_name": "EUROPE", "note": None}], "r_name string, note string")
+    return roles.table(spark, sf, "region").join(wanted, "r_name").select("r_regionkey", "r_name", "note")
+
+
+@query
+def src11_external_table(spark, sf):
+    """A catalog table over CSV files that stay where they are."""
+    customer = roles.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    path = _csv_copy(customer, "external")
+    return src.external_csv_table(spark, "cardamom_external", path, "c_custkey bigint, c_name string, c_nationkey int")
+
+
+@query
+def srt7_preview(spark, sf):
+    """Any ten orders: how many came, and how many of them are orders."""
+    orders = roles.orders_as_transactions(spark, sf)
+    some = op.preview(orders, 10)
+    known = op.keep_matching(some, orders, "transaction_id", unique=True)
+    return op.row_count_check({"preview": known}, {"preview": 10})
+
+
+@query
+def dml8_namespace(spark, sf):
+    """A namespace, created twice without harm, and a table in it."""
+    for _ in range(2):
+        src.create_namespace(spark, "cardamom_layer")
+    nations = roles.table(spark, sf, "nation")
+    return src.create_table_as(nations, "cardamom_layer.nations", shared_dir(spark, "nations"))
+
+
 @query
 def snk1_create_table(spark, sf):
     """Create-or-replace a catalog table from a query, then read it."""
@@ -750,4 +904,4 @@ def snk5_ranking_export(spark, sf):
     ranking = baskets.sales_ranking(_clean(spark, sf), _products(spark, sf))
     src.export_csv(ranking, path, [F.col("total_sold").desc(), F.col("product_id")])
     schema = "product_id bigint, name string, price double, total_sold bigint, colour string"
-    return src.read_csv(spark, path, schema, sep=";")
+    return src.read_export(spark, path, schema)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardamom.schemas import SCHEMAS
+
 
 # Declared so that opening a table costs no job to look at its files first.
 TABLES = {
@@ -96,6 +98,46 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lines_as_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One order line is one transaction of its supplier; amounts have fractions of a cent."""
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
+        F.col("l_suppkey").alias("user_id"),
+        F.col("l_shipdate").alias("timestamp"),
+        (F.col("l_extendedprice") * F.col("l_discount") / 1000).alias("amount"),
+        (F.col("l_returnflag") == "R").alias("declined"),
+    )
+
+
+def suppliers_as_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("user_id"),
+        F.col("s_name").alias("name"),
+        F.lit("Ltd").alias("surname"),
+        F.concat("s_suppkey", F.lit("@example.com")).alias("email"),
+    )
+
+
+def staging_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their basket texts in the full staging layout, flags as 0 and 1."""
+    raw = raw_transactions(spark, sf_dir)
+    known = {
+        "id": F.col("id").cast("string"),
+        "card_id": F.col("card_id").cast("string"),
+        "business_id": F.col("business_id").cast("string"),
+        "timestamp": F.col("timestamp").cast("timestamp"),
+        "declined": F.col("declined").cast("int").cast("string"),
+        "product_ids": F.col("product_ids"),
+        "user_id": F.col("user_id").cast("int"),
+    }
+    return raw.select(
+        *[
+            known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in SCHEMAS["staging_transactions"].fields
+        ]
+    )
+
+
 def lineitem_as_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines are the bridge between transactions and products."""
     return table(spark, sf_dir, "lineitem").select(

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,14 +57,14 @@ def test_exact_sum(spark):
         [(0.1,), (0.2,), (-1000000.55,), (99999999.99,), (None,)], "a double"
     )
     got = [str(v) for v in frame.agg(fn.exact_sum("a"), fn.exact_sum(F.col("a").cast("decimal(10,2)"))).first()]
-    assert got == ["98999999.74"] * 2
+    assert got == ["98999999.740000"] * 2
     assert frame.filter("a IS NULL").agg(fn.exact_sum("a")).first()[0] is None
 
 
 def test_exact_sum_passes_what_a_bigint_of_cents_holds(spark):
     # 2 * 10^4 rows of 9 * 10^14 are 1.8 * 10^21 cents.
     frame = spark.range(20000).select(F.lit(9e14).alias("a"))
-    assert str(frame.agg(fn.exact_sum("a")).first()[0]) == "18000000000000000000.00"
+    assert str(frame.agg(fn.exact_sum("a")).first()[0]) == "18000000000000000000.000000"
 
 
 def test_mean_from_parts_equals_mean(spark):
@@ -73,6 +74,49 @@ def test_mean_from_parts_equals_mean(spark):
     assert parts.select(fn.mean_of(F.col("t"), F.col("n"))).first()[0] == whole == 0.18
 
 
+def test_sums_keep_fractions_of_a_cent(spark):
+    frame = spark.range(1000).select(F.lit(0.004).alias("a"), F.when(F.col("id") > 0, -0.0035).alias("b"))
+    got = frame.select(fn.rounded_sum("a"), fn.rounded_mean("a"), fn.rounded_sum("b")).first()
+    assert tuple(got) == (4.0, 0.0, -3.5)
+    for bad in (float("nan"), float("inf"), 1e300):
+        with pytest.raises(Exception, match="no number that can be added up"):
+            frame.select(fn.exact_sum(F.lit(bad))).collect()
+
+
+def test_means_of_very_many_rows(spark):
+    parts = spark.createDataFrame(
+        [(999999999.99, 10**9), (1000000000.0, 10**9), (-0.01, 3), (0.0, 0), (None, 2)], "t double, n long"
+    ).select(F.col("t").cast("decimal(34,6)").alias("t"), "n")
+    got = parts.select(fn.mean_of(F.col("t"), F.col("n")), fn.floor_mean(F.col("t"), F.col("n"))).collect()
+    assert [tuple(r) for r in got] == [(1.0, 999999), (1.0, 1000000), (-0.0, -3334), (None, None), (None, None)]
+
+
+def test_python_rounding(spark):
+    rng = random.Random(1)
+    values = [2.675, 0.6375, 0.75 * 0.85, -2.675, 0.5, 1.5, 2.5, -0.5, 1e15 + 0.5, 2.0**53, 123456789.125, 1e-9, -0.0]
+    values += [rng.choice([1, 10, 1e4, 1e9]) * rng.random() for _ in range(2000)]
+    values += [round(rng.random() * 1000, 3) / 2 for _ in range(3000)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    for scale in (0, 1, 2, 3, 6):
+        got = [r[0] for r in frame.select(fn.py_round("v", scale)).collect()]
+        assert got == [float(round(v, scale)) for v in values]
+    labels = frame.limit(3).select(fn.amount_label("v"), fn.percent_label("v")).collect()
+    assert [tuple(r) for r in labels] == [(f"{v:.2f} €", f"{v:.0%}") for v in values[:3]]
+
+
+def test_numbers_and_flags_in_text(spark):
+    frame = spark.createDataFrame(
+        [("1.5", "1"), (" -2e3 ", "0"), ("1.5d", "TRUE"), ("NaN", "no"), ("Infinity", " "), ("1e999", None), (".5", "t"), ("", "f")],
+        "n string, f string",
+    )
+    got = frame.select(fn.to_float("n"), fn.to_flag("f")).collect()
+    assert [r[0] for r in got] == [1.5, -2000.0, None, None, None, None, 0.5, None]
+    assert [r[1] for r in got] == [True, False, True, False, None, None, True, False]
+    assert [r[0] for r in spark.createDataFrame([(1,), (0,), (None,)], "f int").select(fn.to_flag("f")).collect()] == [True, False, None]
+    with pytest.raises(Exception, match="no flag: 2"):
+        frame.select(fn.to_flag(F.lit("2"))).collect()
+
+
 def test_pct_change_is_null_on_zero(spark):
     frame = spark.createDataFrame(
         [(3.0, 2.0), (1.0, 0.0), (1.0, None), (None, 1.0)], "now double, before double"

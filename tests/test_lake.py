@@ -5,11 +5,12 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from cardamom import operators as op
 from cardamom import sources as src
 from cardamom.operators import create_empty, duplicate_keys, orphans
 from cardamom.plans import baskets, customers, daily_table, lake, sales, timeseries
 from cardamom.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
-from cardamom.streaming import follow_fact_table
+from cardamom.streaming import follow_fact_table, start_after
 
 USERS = """id,name,surname,phone,email,birth_date,country,city,postal_code,address,signup_date,user_segment,income_band
 1,Ann,"Lee, Jr",1,a@x,"Nov 7, 1985",US,NY,1,"A ""B"" st",2020-01-31,s,b
@@ -35,7 +36,7 @@ def raw(spark, tmp_path):
 
 @pytest.fixture
 def clean(raw):
-    return lake.clean_transactions(raw)
+    return lake.clean_transactions(raw, on_bad_item="drop")
 
 
 PRODUCTS = [(1, "one", 9.99, "#1"), (2, "two", 5.0, "#2"), (3, "three", 1.0, "#3"), (4, "four", 2.0, "#4")]
@@ -101,7 +102,7 @@ def test_fact_splits_time_and_narrows_coordinates(spark):
     row = create_empty(spark, SCHEMAS["staging_transactions"])
     staged = spark.sql(
         "SELECT 't1' id, 'c' card_id, 'b' business_id, timestamp'2022-03-12 08:30:07' timestamp, "
-        "1.5BD amount, false declined, '1' product_ids, 1 user_id, 1.2345675BD lat, -1.2345675BD longitude"
+        "1.5BD amount, '0' declined, '1' product_ids, 1 user_id, 1.2345675BD lat, -1.2345675BD longitude"
     )
     fact = lake.load_fact(row.unionByName(staged, allowMissingColumns=True))
     assert fact.schema == SCHEMAS["fact_transactions"]
@@ -244,7 +245,7 @@ def test_hot_day_is_spread_over_files(spark, tmp_path):
     fact = fact_rows(spark, 4000, 1)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        stored = src.write_partitioned_fact(fact, str(tmp_path / "fact"))
+        stored = src.write_partitioned_fact(fact, str(tmp_path / "fact"), file_bytes=48_000)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(stored.inputFiles()) == 4
@@ -324,9 +325,9 @@ def test_export_is_ordered(spark, tmp_path, clean, products):
     src.export_csv(
         baskets.sales_ranking(clean, products), path, [F.col("total_sold").desc(), F.col("product_id")]
     )
-    files = sorted((tmp_path / "out").glob("part-*.csv"))
-    lines = [line for f in files for line in f.read_text().splitlines()[1:]]
-    assert files[0].read_text().splitlines()[0] == "product_id;name;price;total_sold;colour"
+    files = sorted((tmp_path / "out").glob("*.csv"))
+    header, *lines = [line for f in files for line in f.read_text().splitlines()]
+    assert header == "product_id;name;price;total_sold;colour"
     assert [int(line.split(";")[0]) for line in lines] == [2, 1, 3, 4]
 
 
@@ -346,3 +347,81 @@ def test_records_and_random_redating(spark):
     first, last = moved.agg(F.min("timestamp"), F.max("timestamp")).first()
     assert AS_OF - dt.timedelta(days=50) <= first < last <= AS_OF
     assert moved.columns == ["transaction_id", "timestamp"] and moved.count() == 500
+
+
+def test_external_table_and_append(spark, tmp_path, rows):
+    src.write_csv(spark.createDataFrame([(1, 'a "b"')], "id int, name string"), str(tmp_path / "csv"))
+    table = src.external_csv_table(spark, "ext_test", str(tmp_path / "csv"), "id int, name string")
+    assert rows(table) == [(1, 'a "b"')]
+    spark.sql("DROP TABLE ext_test")
+    assert (tmp_path / "csv").exists()
+    path = str(tmp_path / "fact")
+    src.write_partitioned_fact(fact_rows(spark, 100, 5), path)
+    stored = src.write_partitioned_fact(fact_rows(spark, 40, 8), path, mode="append")
+    assert stored.count() == 140 and stored.select("tr_date").distinct().count() == 8
+
+
+def test_rewrite_moves_rows_between_days(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    fact = fact_rows(spark, 300, 3)
+    src.write_partitioned_fact(fact.withColumn("timestamp", F.when(F.col("transaction_id") % 10 != 9, F.col("timestamp"))), path)
+    before = spark.read.parquet(path)
+    kinds = before.dtypes
+    days = sorted(r[0] for r in before.select("tr_date").distinct().collect() if r[0])
+    moved = F.col("tr_date") == F.lit(days[0])
+    n_moved, n_there = before.filter(moved).count(), before.filter(F.col("tr_date") == F.lit(days[1])).count()
+    later = {"tr_date": F.lit(days[1])}
+    touched = src.rewrite_partitions(spark, path, "tr_date", moved, lambda df: op.set_where(df, moved, later))
+    assert sorted(r[0] for r in touched.collect()) == days[:2]
+    after = spark.read.parquet(path)
+    assert after.count() == 300 and after.dtypes == kinds
+    assert after.filter(F.col("tr_date") == F.lit(days[1])).count() == n_moved + n_there
+    gone = F.col("tr_date").isNull() & (F.col("transaction_id") < 150)
+    touched = src.rewrite_partitions(spark, path, "tr_date", gone, lambda df: op.delete_where(df, gone))
+    assert [r[0] for r in touched.collect()] == [None]
+    after = spark.read.parquet(path)
+    assert after.dtypes == kinds and after.count() == 285 and after.filter("tr_date IS NULL").count() == 15
+    everything = F.lit(True)
+    src.rewrite_partitions(spark, path, "tr_date", everything, lambda df: df.filter("transaction_id = 0"))
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_follow_rewrites_only_new_days(spark, tmp_path):
+    fact_path, table_path, marks = (str(tmp_path / x) for x in ("fact", "daily", "marks"))
+    src.write_partitioned_fact(fact_rows(spark, 200, 10), fact_path)
+    start_after(spark, fact_path, marks)
+    daily_table.build_daily_table(spark, fact_path, table_path)
+
+    def files():
+        return {str(f.parent.name): f.name for f in (tmp_path / "daily").glob("day=*/*.parquet")}
+
+    def follow():
+        before = files()
+        follow_fact_table(spark, fact_path, table_path, marks).awaitTermination()
+        return {d for d, f in files().items() if before.get(d) != f}
+
+    assert follow() == set()
+    day = spark.read.parquet(fact_path).agg(F.min("tr_date")).first()[0]
+    late = fact_rows(spark, 200, 10).filter(F.to_date("timestamp") == F.lit(day)).limit(1)
+    src.write_partitioned_fact(late, fact_path, mode="append")
+    assert follow() == {f"day={day}"}
+    # A rewrite: its files are new, the old ones are gone, and emptied days come from the rewrite itself.
+    gone = F.col("tr_date") == F.lit(day)
+    touched = src.rewrite_partitions(spark, fact_path, "tr_date", gone, lambda df: op.delete_where(df, gone))
+    assert follow() == set()
+    daily_table.refresh_daily_table(spark, fact_path, table_path, touched)
+    assert stored_daily(spark, table_path) == pytest.approx(expected_daily(spark.read.parquet(fact_path)))
+
+
+def test_rejected_items_and_tsv(spark, tmp_path, rows):
+    raw = spark.createDataFrame([(1, "1, x,2"), (2, None), (3, ""), (4, "a,,b")], "id int, product_ids string")
+    assert rows(lake.rejected_items(raw)) == [(1, " x"), (4, ""), (4, "a"), (4, "b")]
+    path = tmp_path / "m.tsv"
+    path.write_text('"A"\t1-0\tC d \n\n  B \t2-2\t\tX\n'.replace("\t\tX", "\tE"), encoding="utf-8")
+    assert rows(src.read_tsv_matches(spark, str(path))) == [('"A"', "1-0", "C d"), ("B ", "2-2", "E")]
+    path.write_text("A\t1-0\n", encoding="utf-8")
+    with pytest.raises(Exception, match="three parts"):
+        src.read_tsv_matches(spark, str(path)).count()
+    short = spark.createDataFrame([("a|1",)], "line string")
+    with pytest.raises(Exception, match="three parts"):
+        src.read_pipe_lines(short).count()

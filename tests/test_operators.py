@@ -35,9 +35,25 @@ def test_lookup_policies(spark, rows):
         op.lookup(good, table, "code", on_missing="skip")
 
 
-def test_lookup_table_stays_small(spark):
-    with pytest.raises(ValueError, match="short literal tables"):
-        op.lookup_table(spark, [(i,) for i in range(1001)], "code int")
+def test_lookup_stops_whatever_is_read(spark):
+    table = op.lookup_table(spark, [(i, i) for i in range(3000)], "code int, f int")
+    bad = spark.createDataFrame([(1, 1), (2, 9999)], "id int, code int")
+    for read in (lambda d: d.count(), lambda d: d.select("id").collect()):
+        with pytest.raises(Exception, match="no entry in lookup for code = 9999"):
+            read(op.lookup(bad, table, "code"))
+
+
+def test_defaults_leave_matched_nulls(spark, rows):
+    left = spark.createDataFrame([(1,), (2,)], "code int")
+    right = spark.createDataFrame([(1, None)], "code int, n int")
+    assert rows(op.left_with_default(left, right, "code", {"n": 0})) == [(1, None), (2, 0)]
+
+
+def test_many_new_rows_are_one_relation(spark):
+    table = spark.createDataFrame([(1, 1.5, True)], "id int, lat float, declined boolean")
+    added = op.insert_rows(table, [{"id": i, "declined": i % 2 == 0} for i in range(50)])
+    assert added.count() == 51 and added.filter("declined").count() == 26
+    assert added._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 2
 
 
 def test_first_n_per_key_with_ties(spark, rows):
