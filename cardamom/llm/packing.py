@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardamom.llm.common import column
+from cardamom.llm.common import column, written
 
 PLACED = "shard long, id long, row long, piece long, start long, length long, bin long, capacity long, offset long"
 
@@ -175,6 +175,8 @@ def pack(
         F.xxhash64(*(column(docs, x) for x in docs.columns)).alias("row"),
         lengths.cast("long").alias("total"),
     ).where("total > 0")
+    # A few bytes a row; measuring a text is most of the work and is done once.
+    rows = written(rows, "lengths")
     total = rows.agg(F.coalesce(F.sum(F.ceil(F.col("total") / top)), F.lit(0))).first()[0]
     shards = max(1, -(-int(total) // shard_pieces))
     pieces = rows.select("id", "row", "total", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("total") / top) - 1)).alias("piece"))
