@@ -90,7 +90,7 @@ def p02_n_countries(spark, sf):
 
 @query
 def p03_top_company(spark, sf):
-    return sales.top_company(roles.orders_as_transactions(spark, sf), roles.companies(spark, sf))
+    return sales.top_company(roles.orders_as_transactions(spark, sf), roles.company_names(spark, sf))
 
 
 @query
@@ -103,7 +103,7 @@ def p04_country_tx_semi(spark, sf):
 @query
 def p05_above_avg(spark, sf):
     return sales.above_average_companies(
-        roles.orders_as_transactions(spark, sf), roles.companies(spark, sf)
+        roles.orders_as_transactions(spark, sf), roles.company_names(spark, sf)
     )
 
 
@@ -139,7 +139,7 @@ def p10_avg_per_account(spark, sf):
 @query
 def p11_top_days(spark, sf):
     """The star form: only sales of a listed company count."""
-    companies = roles.companies(spark, sf)
+    companies = roles.company_names(spark, sf)
     return sales.top_days(roles.orders_as_transactions(spark, sf), companies=companies)
 
 
@@ -158,7 +158,7 @@ def p12_range_dates(spark, sf):
 @query
 def p13_volume_band(spark, sf):
     return sales.volume_band(
-        roles.orders_as_transactions(spark, sf), roles.companies(spark, sf), VOLUME
+        roles.orders_as_transactions(spark, sf), roles.company_names(spark, sf), VOLUME
     )
 
 
@@ -167,7 +167,7 @@ def p13_volume_band_strict(spark, sf):
     """The literal test ``>`` under the label ``>=``."""
     return sales.volume_band(
         roles.orders_as_transactions(spark, sf),
-        roles.companies(spark, sf),
+        roles.company_names(spark, sf),
         VOLUME,
         inclusive=False,
     )

@@ -162,6 +162,13 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def company_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies where neither country nor contact is asked for: no join with the nations."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("company_id"), F.col("c_name").alias("company_name")
+    )
+
+
 def event_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as the companies that events refer to."""
     return table(spark, sf_dir, "supplier").select(
