@@ -180,6 +180,7 @@ def near_duplicates(
     firsts = written(usable.groupBy("k1", "k2").agg(F.min("id").alias("rep")), "firsts")
     reps = usable.join(firsts, ["k1", "k2"]).where("id = rep").select("id", F.explode("bands").alias("band"))
     buckets = reps.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
+    buckets = written(buckets, "pivots")
     crowded = written(reps.join(buckets.select("band", "pivot"), "band").select("band", "id", "pivot").distinct(), "buckets")
     texts = written(rows_in.join(crowded.select("id").distinct(), "id", "left_semi"), "texts")
 
@@ -189,6 +190,7 @@ def near_duplicates(
 
     members = crowded.select("band", "id").join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id"))
     mixed = members.groupBy("band").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("n")).where("least < most and n > 2")
+    mixed = written(mixed, "mixed")
     open_rows = written(members.join(mixed.select("band", "n"), "band").select("band", "id", "comp", "n"), "open")
     if not open_rows.isEmpty():
         fine = texts.join(open_rows.select("id").distinct(), "id", "left_semi").mapInArrow(_fine(width), "id long, fine binary")
