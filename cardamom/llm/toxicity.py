@@ -199,12 +199,16 @@ def fit_toxicity(
     odds: float = 5.0,
     evidence: float = 30.0,
     exceptions: tuple[str, ...] = (),
+    max_forms: int = 500_000,
+    max_exceptions: int = 10_000,
 ) -> ToxicityModel:
     """Learn lexicon, exceptions and curve from labelled rows that are not held out.
 
     About ``fit_rows`` rows of each label are used, chosen by a hash of the
     id; ``odds`` and ``evidence`` (a log-likelihood ratio) are what a form
     needs to enter the lexicon.  Rows without id or label teach nothing.
+    ``max_forms`` and ``max_exceptions`` bound what the driver looks at: the
+    commonest forms of toxic rows, and the exceptions most clean rows have.
     Without toxic rows the lexicon is empty and every score is the same.
     """
     spark = docs.sparkSession
@@ -228,7 +232,7 @@ def fit_toxicity(
     got = by_word.select(F.explode(forms).alias("form"), "n").groupBy("form").agg(F.sum("n").alias("n"))
     n_toxic = by_word.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # A form needs evidence / (2 ln(1 / rate of toxic words)) occurrences; 5 is far below that.
-    toxic = {r["form"]: r["n"] for r in got.where("n >= 5").orderBy(F.desc("n"), "form").limit(500_000).toLocalIterator()}
+    toxic = {r["form"]: r["n"] for r in got.where("n >= 5").orderBy(F.desc("n"), "form").limit(max_forms).toLocalIterator()}
     sent = spark.sparkContext.broadcast(frozenset(toxic))
     counted = clean_rows.mapInArrow(_clean_counts(sent), "form string, n long").groupBy("form").agg(F.sum("n").alias("n"))
     clean = {r["form"]: r["n"] for r in counted.toLocalIterator()}
@@ -242,7 +246,7 @@ def fit_toxicity(
         .agg(F.sum(F.lit(1) - F.col("toxic")).alias("clean"), F.sum("toxic").alias("toxic"))
         .where("clean >= 3 and clean >= 10 * toxic")
     )
-    learned = tuple(r["phrase"] for r in around.orderBy(F.desc("clean"), "phrase").limit(10_000).collect())
+    learned = tuple(r["phrase"] for r in around.orderBy(F.desc("clean"), "phrase").limit(max_exceptions).collect())
     if learned:
         model = ToxicityModel(model.lexicon, (*exceptions, *learned))
         totals = sample.mapInArrow(_totals(model), "toxic int, weight double, n_words long, phrases array<string>")
