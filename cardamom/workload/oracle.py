@@ -117,6 +117,7 @@ KPIS = f"""{TX}, {CO}, kpi AS (
   FROM co JOIN tx ON company_id = business_id WHERE NOT declined
   GROUP BY company_id, company_name, phone, country)"""
 
+# The texts of messages, levels and bands below, as in plans/candidates.py.
 CAND = """cand AS (
   SELECT c_custkey AS seq, c_nationkey AS n,
     CASE c_nationkey WHEN 0 THEN '  ' WHEN 1 THEN c_name ELSE ' ' || c_mktsegment END AS name,
@@ -167,6 +168,7 @@ _RISKS = "CASE " + " ".join(
     for group, of_age in [("18-25", 1.20), ("26-40", 1.00), ("41-60", 0.85), ("60+", 0.70)]
 ) + " END"
 
+# The texts and factors below, as in plans/scoring.py.
 RISK = f"""risks AS (
   SELECT c_custkey AS client_id, c_name AS name, 18 + c_custkey % 60 AS age,
     CASE WHEN c_custkey % 60 <= 7 THEN '18-25' WHEN c_custkey % 60 <= 22 THEN '26-40'
