@@ -21,8 +21,6 @@ trees with that bound, and the best k of all trees are kept.
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,7 +28,7 @@ from pyspark.sql import functions as F
 
 from cardamom.llm.common import column, written
 
-SLACK = 1e-6  # distances are doubles; scores are exact integers
+SLACK = 1e-6  # distances are doubles, scores exact integers; for long vectors 1e-9 of the length more
 PAGE = "tree long, node int, parent int, centre binary, radius double, parent_distance double, ids binary, vectors binary, distances binary"
 FOUND = "query_id long, vec_id long, score long"
 
@@ -96,6 +94,9 @@ def _matrix(vectors) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(np.int64) if n else np.zeros((0, 0), np.int64)
 
 
+NOTHING = -(1 << 62)  # lower than any score
+
+
 class Tree:
     """The pages of a tree, ready to search."""
 
@@ -103,7 +104,8 @@ class Tree:
         self.longest = longest
         rows = sorted(pages.to_pylist(), key=lambda r: r["node"])
         dim = len(rows[0]["centre"]) // 8
-        self.centre = np.stack([np.frombuffer(r["centre"]) for r in rows])
+        # Without the last coordinate a centre is the vector it was made from.
+        self.centre = np.rint(np.stack([np.frombuffer(r["centre"]) for r in rows])[:, :-1]).astype(np.int64)
         self.radius = np.array([r["radius"] for r in rows])
         self.parent_distance = np.array([r["parent_distance"] for r in rows])
         parent = np.array([r["parent"] for r in rows])
@@ -112,70 +114,88 @@ class Tree:
             None if r["ids"] is None else (np.frombuffer(r["ids"], np.int64), np.frombuffer(r["vectors"], np.int64).reshape(-1, dim - 1), np.frombuffer(r["distances"]))
             for r in rows
         ]
-        largest = max((int(np.abs(x[1]).max()) for x in self.leaves if x is not None and x[1].size), default=0)
-        self.exact = largest * largest * dim < 1 << 52  # then doubles add up inner products exactly
-        if self.exact:
-            self.leaves = [x and (x[0], x[1].astype(np.float64), x[2]) for x in self.leaves]
-
-    def search(self, own_id: int, vector: np.ndarray, k: int, floor: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the best ``k`` (ties to smaller ids) with at least the score ``floor``."""
-        query = np.append(vector.astype(np.float64), 0.0)
-        square = int((vector * vector).sum()) + self.longest
-        wanted = query[:-1] if self.exact and np.abs(query).max(initial=0) ** 2 * len(query) < 1 << 52 else vector
-
-        def reach(score: int) -> float:
-            return max(0.0, square - 2.0 * score) ** 0.5 + SLACK
-
-        ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        limit = np.inf if floor is None else reach(floor)
-        start = float(np.linalg.norm(query - self.centre[0]))
-        queue = [(max(0.0, start - self.radius[0]), 0, start)]
-        while queue:
-            least, node, away = heapq.heappop(queue)
-            if least > limit:
-                break
-            leaf = self.leaves[node]
-            if leaf is None:
-                below = self.children[node]
-                # Without computing: a child is at least this far.
-                below = below[np.abs(away - self.parent_distance[below]) - self.radius[below] <= limit]
-                distance = _distances(query, self.centre[below])
-                for child, d in zip(below.tolist(), distance.tolist()):
-                    bound = max(0.0, d - self.radius[child])
-                    if bound <= limit:
-                        heapq.heappush(queue, (bound, child, d))
-                continue
-            leaf_ids, vectors, distances = leaf
-            near = np.abs(away - distances) <= limit
-            near &= leaf_ids != own_id
-            if not near.any():
-                continue
-            got = (vectors[near] @ wanted).astype(np.int64)
-            new_ids = leaf_ids[near]
-            if limit < np.inf:
-                good = got * 2.0 >= square - limit * limit
-                got, new_ids = got[good], new_ids[good]
-            ids, scores = np.concatenate((ids, new_ids)), np.concatenate((scores, got))
-            if len(ids) > k:
-                keep = np.lexsort((ids, -scores))[:k]
-                ids, scores = ids[keep], scores[keep]
-            if len(ids) == k:
-                limit = min(limit, reach(int(scores.min())))
-        return ids, scores
+        self.largest = max((int(np.abs(x[1]).max()) for x in self.leaves if x is not None and x[1].size), default=0)
+
+    def search(self, own: np.ndarray, vectors: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Best ``k`` of the tree for each query: ids and scores, (queries, k), NOTHING where there are fewer.
+
+        Ties go to smaller ids; ``floor`` are scores below which nothing is
+        wanted.  Every query has a queue of its own and takes its nearest node
+        from it; queries that take the same node are served together.
+        """
+        n, dim = vectors.shape
+        # Doubles multiply matrices faster, and add up whole numbers exactly below 2**53.
+        kind = np.float64 if max(self.largest, int(np.abs(vectors).max(initial=0))) ** 2 * dim < 1 << 52 else np.int64
+        asked, centre = vectors.astype(kind), self.centre.astype(kind)
+        leaves = [x and (x[0], x[1].astype(kind), x[2]) for x in self.leaves] if kind is np.float64 else self.leaves
+        square = (asked * asked).sum(axis=1) + self.longest
+
+        def distance(queries: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+            """From whole numbers, as all centres have the same length; only the root is rounded."""
+            return np.sqrt(np.maximum(0.0, square[queries, None] - 2.0 * (asked[queries] @ centre[nodes].T)))
+
+        def reach(queries: np.ndarray, score: np.ndarray) -> np.ndarray:
+            return np.sqrt(np.maximum(0.0, square[queries] - 2.0 * score)) + SLACK + 1e-9 * self.longest**0.5
+
+        everyone = np.arange(n)
+        ids, scores = np.full((n, k), np.iinfo(np.int64).max), np.full((n, k), NOTHING)
+        least_wanted = floor.astype(np.int64)
+        limit = np.where(least_wanted > NOTHING, reach(everyone, np.maximum(least_wanted, -(1 << 52))), np.inf)
+        away = np.full((n, len(centre)), np.inf)
+        queue = np.full((n, len(centre)), np.inf)
+        root = np.zeros(1, np.int64)
+        away[:, :1] = distance(everyone, root)
+        queue[:, 0] = np.maximum(0.0, away[:, 0] - self.radius[0])
+        while True:
+            node = queue.argmin(axis=1)
+            bound = queue[everyone, node]
+            going = everyone[(bound <= limit) & (bound < np.inf)]
+            if not len(going):
+                return ids, scores
+            queue[going, node[going]] = np.inf
+            order = going[np.argsort(node[going], kind="stable")]
+            for who in np.split(order, np.flatnonzero(np.diff(node[order])) + 1):
+                at = node[who[0]]
+                if leaves[at] is None:
+                    below = self.children[at]
+                    # Without computing: a child is at least this far.
+                    could = np.abs(away[who, at][:, None] - self.parent_distance[below]) - self.radius[below] <= limit[who, None]
+                    below = below[could.any(axis=0)]
+                    if len(below):
+                        d = distance(who, below)
+                        away[np.ix_(who, below)] = d
+                        queue[np.ix_(who, below)] = np.maximum(0.0, d - self.radius[below])
+                    continue
+                leaf_ids, rows, distances = leaves[at]
+                near = np.abs(away[who, at][:, None] - distances) <= limit[who, None]
+                near &= leaf_ids != own[who, None]
+                need = near.any(axis=0)
+                if not need.any():
+                    continue
+                got = (asked[who] @ rows[need].T).astype(np.int64)
+                near = near[:, need] & (got >= np.maximum(scores[who, -1], least_wanted[who])[:, None])
+                use, better = near.any(axis=1), near.any(axis=0)
+                if not use.any():
+                    continue
+                who, got, near = who[use], got[np.ix_(use, better)], near[np.ix_(use, better)]
+                all_scores = np.hstack([scores[who], np.where(near, got, NOTHING)])
+                all_ids = np.hstack([ids[who], np.where(near, leaf_ids[need][better], np.iinfo(np.int64).max)])
+                best = np.lexsort((all_ids, -all_scores), axis=-1)[:, :k]
+                ids[who], scores[who] = np.take_along_axis(all_ids, best, 1), np.take_along_axis(all_scores, best, 1)
+                full = who[scores[who, -1] > NOTHING]
+                limit[full] = np.minimum(limit[full], reach(full, scores[full, -1]))
 
 
 def _search(longest: int, k: int):
     def run(key: tuple[pa.Scalar, ...], pages: pa.Table, queries: pa.Table) -> pa.Table:
-        out = [[], [], []]
+        ids, scores, own = (np.zeros((0, k), np.int64),) * 2 + (np.zeros(0, np.int64),)
         if pages.num_rows and queries.num_rows:
-            tree = Tree(pages, longest)
-            vectors = _matrix(queries.column("vector"))
-            for own, vector, floor in zip(queries.column("id").to_pylist(), vectors, queries.column("floor").to_pylist()):
-                ids, scores = tree.search(own, vector, k, floor)
-                out[0].append(np.full(len(ids), own))
-                out[1].append(ids)
-                out[2].append(scores)
-        return pa.table([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in out], names=["query_id", "vec_id", "score"])
+            own = queries.column("id").to_numpy()
+            floor = queries.column("floor").fill_null(NOTHING).to_numpy()
+            ids, scores = Tree(pages, longest).search(own, _matrix(queries.column("vector")), k, floor)
+        there = scores > NOTHING
+        query = np.repeat(own, there.sum(axis=1))
+        return pa.table([pa.array(query, pa.int64()), pa.array(ids[there]), pa.array(scores[there])], names=["query_id", "vec_id", "score"])
 
     return run
 

@@ -54,8 +54,8 @@ def test_tree_bounds_and_fewer_distances():
     tree = mtree.Tree(pages, longest)
     computed = []
     tree.leaves = [x and (x[0], _Counted(x[1], computed), x[2]) for x in tree.leaves]
-    ids, scores = tree.search(5, vectors[5], 10, None)
-    assert set(zip(ids.tolist(), scores.tolist())) == {(i, s) for _, _, i, s in brute(np.arange(2000), vectors, 10, [5])}
+    ids, scores = tree.search(np.array([5]), vectors[5:6], 10, np.array([mtree.NOTHING]))
+    assert set(zip(ids[0].tolist(), scores[0].tolist())) == {(i, s) for _, _, i, s in brute(np.arange(2000), vectors, 10, [5])}
     assert sum(computed) < 1000  # of 2000 vectors
 
 
@@ -63,11 +63,22 @@ class _Counted:
     def __init__(self, rows, log):
         self.rows, self.log = rows, log
 
+    def astype(self, kind):
+        return _Counted(self.rows.astype(kind), self.log)
+
     def __getitem__(self, near):
         self.log.append(int(near.sum()))
         return self.rows[near]
 
 
+def test_very_large_components(spark):
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(-(1 << 28), 1 << 28, (300, 4))
+    df = frame(spark, np.arange(300), vectors)
+    got = rows(top_k(df, df.where("id % 20 = 0"), k=5, tree_rows=64, leaf=8, fanout=4, block=4))
+    assert got == brute(np.arange(300), vectors, 5, range(0, 300, 20))
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     raw = [(0, [0.5, -0.01]), (20, [nan, 1.0]), (40, [inf, 1.0]), (60, None), (80, [None, 1.0]), (100, [1.0, 0.99]), (3, [0.25, 0.25]), (None, [1.0, 1.0]), (7, [1.0]), (9, []), (3, [9.0, 9.0])]
