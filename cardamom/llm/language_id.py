@@ -33,7 +33,7 @@ _LETTER[128:] = np.arange(128, 256)
 
 
 def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(text, n-gram) for every n-gram with at most one space, and that at an end."""
+    """(text, n-gram) for every n-gram that starts with a character and has at most one space, at an end."""
     data, at = W.text_bytes(texts)
     letters = _LETTER[data]
     n = len(letters) - GRAM + 1
@@ -47,6 +47,8 @@ def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     for i in range(1, GRAM - 1):
         inner |= space[i : i + n]
     good = ~inner & ~(space[:n] & space[GRAM - 1 :])
+    # One for each character, so that letters of two bytes do not count twice.
+    good &= (letters[:n] & 0xC0) != 0x80
     for i in range(1, GRAM):  # across the end of a text
         edge = at[1:-1] - i
         good[edge[(edge >= 0) & (edge < n)]] = False
