@@ -137,10 +137,13 @@ def _minus(a: DataFrame, b: DataFrame, by: str) -> DataFrame:
 def _of_partitions(table: DataFrame, values: DataFrame, by: str) -> DataFrame:
     """The rows of some partitions.
 
-    An equality join lets Spark prune partitions while it runs; rows without a
-    value are a partition of their own, read only if it is asked for.
+    An equality join lets Spark prune partitions while it runs, which it does
+    for a side with a filter that may be selective; this one is true for every
+    value.  Rows without a value are a partition of their own, read only if it
+    is asked for.
     """
-    some = table.filter(F.col(by).isNotNull()).join(values.filter(F.col(by).isNotNull()), by, "left_semi")
+    any_value = F.col(by).cast("string") >= F.lit("")
+    some = table.filter(F.col(by).isNotNull()).join(values.filter(any_value), by, "left_semi")
     asked = values.filter(F.col(by).isNull()).limit(1).select(F.lit(1).alias("_asked"))
     none = table.filter(F.col(by).isNull()).withColumn("_one", F.lit(1))
     return some.select(table.columns).unionByName(none.join(asked, F.col("_one") == F.col("_asked"), "left_semi").select(table.columns))

@@ -425,3 +425,16 @@ def test_rejected_items_and_tsv(spark, tmp_path, rows):
     short = spark.createDataFrame([("a|1",)], "line string")
     with pytest.raises(Exception, match="three parts"):
         src.read_pipe_lines(short).count()
+
+
+def test_rewrites_read_only_the_partitions_concerned(spark, tmp_path):
+    from cardamom.sources.writers import _of_partitions
+
+    path = str(tmp_path / "fact")
+    src.write_partitioned_fact(fact_rows(spark, 300, 30), path)
+    table = spark.read.parquet(path)
+    days = table.filter(F.dayofmonth("tr_date") == 3).select("tr_date").distinct()
+    days.write.parquet(str(tmp_path / "days"))
+    some = _of_partitions(table, spark.read.parquet(str(tmp_path / "days")), "tr_date")
+    assert some.count() == table.filter(F.dayofmonth("tr_date") == 3).count() > 0
+    assert "dynamicpruning" in some._jdf.queryExecution().executedPlan().toString()
