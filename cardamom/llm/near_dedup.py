@@ -1,8 +1,9 @@
 """Near-duplicate classes of documents by ProbMinHash, banding and exact verification.
 
-1. One pass computes a ProbMinHash signature of each document's weighted word
-   shingles, its band keys, and a 128-bit hash of its word sequence.  Documents
-   with the same words are one representative from here on.
+1. One pass computes ProbMinHash signatures of each document's word shingles,
+   weighted and with unit weights, their band keys, and a 128-bit hash of its
+   word sequence.  Documents with the same words are one representative from
+   here on.
 2. Representatives that share a band key are a bucket.  Each is compared with
    its bucket's smallest member, exactly, on the texts.  Verified links give
    first components.
@@ -14,9 +15,11 @@
    so a large group of copies is not compared with itself.
 4. Components of all verified links are the classes.
 
-Which pairs share a bucket is the only thing left to chance: with 24 bands of
-4 registers a pair at similarity 0.8 has none in common in 3 of a million
-cases, and the finer signature turns away a like share.
+Which pairs share a bucket is the only thing left to chance: registers of unit
+weight agree with the similarity that is verified, however often a document
+repeats a passage.  With 24 bands of 4 of them a pair at similarity 0.8 has
+none in common in 3 of a million cases, and the finer signature turns away a
+like share.
 """
 
 from __future__ import annotations
@@ -39,18 +42,36 @@ BLOCK = 512  # bucket members compared with each other in one go
 SIGNATURE = "id long, k1 long, k2 long, bands array<long>"
 
 
+def _bands(n: int, text: np.ndarray, shingle: np.ndarray, times: np.ndarray, bands: int, rows: int) -> pa.ListArray:
+    """Band keys of each text: of its weighted signature, and those that differ of the one with unit weights.
+
+    Both kinds are keys of the same buckets.  Where no shingle occurs twice
+    the signatures are the same one.
+    """
+    keys = P.band_keys(P.signatures(n, text, shingle, 1 + np.log(times), bands * rows), bands)
+    owner, values = np.repeat(np.arange(n), bands), keys.ravel()
+    repeats = np.bincount(text[times > 1], minlength=n) > 0
+    if repeats.any():
+        of = np.flatnonzero(repeats)
+        mine = repeats[text]
+        unit = P.signatures(len(of), np.searchsorted(of, text[mine]), shingle[mine], np.ones(mine.sum()), bands * rows)
+        unit = P.band_keys(unit, bands)
+        other = unit != keys[of]
+        owner = np.concatenate((owner, np.repeat(of, other.sum(axis=1))))
+        order = np.argsort(owner, kind="stable")
+        owner, values = owner[order], np.concatenate((values, unit[other]))[order]
+    at = np.searchsorted(owner, np.arange(n + 1))
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int64)), mask=pa.array(np.bincount(text, minlength=n) == 0))
+
+
 def _sign(width: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch, "text"):
                 words = W.find_words(part.column("text"), W.FOLDED)
                 text, shingle, times = P.shingle_sets(words, width)
-                signature = P.signatures(part.num_rows, text, shingle, 1 + np.log(times), bands * rows)
-                keys = P.band_keys(signature, bands).view(np.int64)
                 none = words.counts == 0
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.arange(0, (part.num_rows + 1) * bands, bands), pa.int32()), pa.array(keys.ravel()), mask=pa.array(none)
-                )
+                lists = _bands(part.num_rows, text, shingle, times, bands, rows)
                 h1, h2 = (pa.array(P.sequence_hash(words, x).view(np.int64), mask=none) for x in (0, 1))
                 yield pa.record_batch([part.column("id"), h1, h2, lists], names=["id", "k1", "k2", "bands"])
 
@@ -164,8 +185,8 @@ def near_duplicates(
 
     Words are lower-cased runs of letters, digits and non-ASCII characters;
     similarity is the Jaccard similarity of the sets of distinct shingles of
-    ``width`` words.  In the signatures a shingle weighs 1 + ln(times), so that
-    a line repeated a thousand times does not outvote the text.
+    ``width`` words.  Candidates share a band of signatures with unit weights,
+    or of signatures in which a shingle weighs 1 + ln(times).
 
     Returns (id_col, class_id, copy_of) for every input row: the smallest id of
     the class, and the smallest id with exactly the same words.  A text of

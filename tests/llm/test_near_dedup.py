@@ -61,6 +61,18 @@ def test_against_brute_force(spark, monkeypatch):
     assert as_classes(near_duplicates(df)) == expected
 
 
+def test_passages_repeated_on_one_side(spark):
+    rng = random.Random(5)
+    docs = []
+    for i in range(0, 160, 2):
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(100)]
+        end = [[f"w{rng.randint(0, 10**6)}" for _ in range(n)] for n in (6, 10)]
+        docs += [(i, " ".join(base[:33] * 100 + base[33:] + end[0])), (i + 1, " ".join(base + end[1]))]
+    expected = classes(docs)
+    assert all(expected[i + 1] == i for i in range(0, 160, 2))
+    assert as_classes(near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))) == expected
+
+
 def test_odd_rows(spark):
     long = " ".join(f"z{i}" for i in range(40_000))
     docs = [
