@@ -36,7 +36,7 @@ LABELLERS = (
     ("capitals", None, 0.35, None, None),  # share of capitals among letters
     ("shouts", None, 0.25, None, None),  # "!" for each word
     ("repeats", None, 0.10, None, None),  # words equal to the word before
-    ("variety", 0.15, None, None, None),  # distinct words among the first hundred, for each of them
+    ("variety", 0.15, None, None, None),  # distinct words in each hundred, for each word of the text
     ("lines", None, 0.30, None, None),  # lines that occurred before in the text
     ("sentence", 1.0, 60.0, 4.0, 40.0),  # words for each sentence end
     ("prose", None, None, 0.5, None),  # 1 if none of the defects above is there in a lesser degree
@@ -73,8 +73,10 @@ def statistics(texts: pa.Array) -> dict[str, np.ndarray]:
     stops = _per_text((data == 46) | (data == 33) | (data == 63), at)
     same = np.zeros(len(owner), bool)
     same[1:] = (words.hash[1:] == words.hash[:-1]) & (owner[1:] == owner[:-1])
-    nth = np.arange(len(owner)) - words.first[owner]
-    early = nth < 100
+    # Blocks of a hundred words, so that the share does not fall with the length of a text.
+    block = (np.arange(len(owner)) - words.first[owner]) // 100 + np.concatenate(([0], np.cumsum(-(-count // 100))))[owner]
+    starts = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else block
+    again = np.bincount(owner[starts], _repeated(block, words.hash, len(starts)), minlength=n)
     line_at = np.flatnonzero(np.concatenate(([True], data[:-1] == 10)) | np.isin(np.arange(len(data)), at[:-1])) if len(data) else np.zeros(0, np.int64)
     line_text = np.searchsorted(at, line_at, "right") - 1
     line_hash = W._word_hashes(data, W.SPACED[1], line_at, np.append(line_at[1:], len(data))) if len(line_at) else np.zeros(0, np.uint64)
@@ -89,7 +91,7 @@ def statistics(texts: pa.Array) -> dict[str, np.ndarray]:
             "signed": np.bincount(owner[_SIGN[data[words.ends - 1]]], minlength=n) / np.where(count, count, np.nan),
             "sentence": count / np.where(stops, stops, 0.5) * np.where(count, 1, np.nan),
             "lines": _repeated(line_text, line_hash, n) / np.where(lines > 1, lines, np.nan),
-            "variety": 1 - _repeated(owner[early], words.hash[early], n) / np.where(count, np.minimum(count, 100), np.nan),
+            "variety": 1 - again / np.where(count, count, np.nan),
             "length": count.astype(float),
         }
         clean = [~(found[x] >= most) for x, most in (("symbols", 0.03), ("signed", 0.05), ("bars", 0.02), ("capitals", 0.2), ("shouts", 0.1), ("repeats", 0.03), ("lines", 0.1))]

@@ -32,6 +32,20 @@ def test_statistics_and_votes():
     assert all(v[6] == ABSTAIN for k, v in vote.items() if k != "length")
 
 
+def test_variety_of_whole_texts():
+    opening = ". ".join(" ".join(f"word{10 * i + k}" for k in range(10)) for i in range(12)) + "."
+    menu = " ".join(["home", "news", "shop", "about"] * 25)
+    good = " ".join(f"w{i}" + "." * (i % 10 == 9) for i in range(1900))
+    short = " ".join(f"w{i % 40}" for i in range(50))
+    texts = [f"{opening} " + "buy this now here today. " * 1000, f"{menu} {good}", opening, None, short, menu, " ".join(f"w{i}" for i in range(250))]
+    stats = statistics(pa.array(texts))
+    names = [x[0] for x in LABELLERS]
+    vote = dict(zip(names, votes(stats).T.tolist()))
+    assert vote["variety"] == [BAD, ABSTAIN, ABSTAIN, ABSTAIN, ABSTAIN, BAD, ABSTAIN]
+    assert vote["prose"][:3] == [ABSTAIN, GOOD, GOOD]
+    assert np.isnan(stats["variety"][3]) and np.allclose(stats["variety"][[1, 2, 4, 5, 6]], [(4 + 1900) / 2000, 1, 0.8, 0.04, 1])
+
+
 def test_odd_rows(spark):
     plain = "The river runs past the old mill and the children play there. It was late when they went home again."
     rows = [(i, f"{plain} Number {i} of them.") for i in range(60)] + [(100 + i, f"BUY{i}### NOW$$$ | " * 20) for i in range(20)]
