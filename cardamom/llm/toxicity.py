@@ -116,6 +116,13 @@ def _clean_counts(sent):
     return run
 
 
+def _least(n_toxic: int, n_clean: int, evidence: float) -> int:
+    """Toxic contexts without which no form can be worth ``evidence``, not even one that no clean row has."""
+    if not n_toxic or not n_clean:
+        return 1
+    return max(1, math.ceil(evidence / (2 * math.log((n_toxic + n_clean) / n_toxic)) - 1e-9))
+
+
 def _select(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, odds: float, evidence: float) -> dict[str, float]:
     """Forms to keep, with weights.
 
@@ -231,12 +238,12 @@ def fit_toxicity(
     forms = F.concat(F.array(F.concat(F.lit(" "), "word", F.lit(" "))), stems)
     got = by_word.select(F.explode(forms).alias("form"), "n").groupBy("form").agg(F.sum("n").alias("n"))
     n_toxic = by_word.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    # A form needs evidence / (2 ln(1 / rate of toxic words)) occurrences; 5 is far below that.
-    toxic = {r["form"]: r["n"] for r in got.where("n >= 5").orderBy(F.desc("n"), "form").limit(max_forms).toLocalIterator()}
+    n_clean = clean_rows.select(F.coalesce(F.sum(F.size(F.split("text", r"\s+")).cast("long")), F.lit(0))).first()[0]
+    least = _least(n_toxic, n_clean, evidence)
+    toxic = {r["form"]: r["n"] for r in got.where(F.col("n") >= least).orderBy(F.desc("n"), "form").limit(max_forms).toLocalIterator()}
     sent = spark.sparkContext.broadcast(frozenset(toxic))
     counted = clean_rows.mapInArrow(_clean_counts(sent), "form string, n long").groupBy("form").agg(F.sum("n").alias("n"))
     clean = {r["form"]: r["n"] for r in counted.toLocalIterator()}
-    n_clean = clean_rows.select(F.coalesce(F.sum(F.size(F.split("text", r"\s+")).cast("long")), F.lit(0))).first()[0]
     model = ToxicityModel(_select(toxic, clean, n_toxic, n_clean, odds, evidence), exceptions)
 
     totals = sample.mapInArrow(_totals(model), "toxic int, weight double, n_words long, phrases array<string>")

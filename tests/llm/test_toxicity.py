@@ -1,4 +1,5 @@
 import random
+from zlib import crc32
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,17 @@ def test_learns_words_stems_and_exceptions(spark, corpus):
     assert len(wrong) <= 6 and all(0 <= r.score <= 1 for r in scored)
 
 
+def test_learns_rare_words_from_few_toxic_rows(spark):
+    rng = random.Random(8)
+    plain = [f"{a}{b}" for a in ("ba", "ko", "mi", "tu", "re") for b in ("n", "sta", "vel", "dor", "pin", "gar")]
+    learned = [i for i in range(2000) if crc32(str(i).encode()) % 3 != 1]
+    docs = [(i, " ".join(rng.choice(plain) for _ in range(40 if n >= 12 else 6))) for n, i in enumerate(learned)]
+    docs[:4] = [(i, f"{a} brunk {b}") for (i, _), a, b in zip(docs[:4], plain, plain[7:])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(n < 12)) for n, i in enumerate(learned)], "doc_id long, toxic int")
+    assert set(fit_toxicity(df, marks).lexicon) == {" brunk "}
+
+
 def test_held_out_labels_teach_nothing(spark, corpus):
     docs, labels = corpus
     df = spark.createDataFrame(docs, "doc_id long, text string")
