@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cardamom.llm.common import held_out, table
 from cardamom.llm.decontaminate import decontaminate
+from cardamom.llm.fill_middle import fill_in_middle, restored
 from cardamom.llm.language_id import fit_languages, identify_language
 from cardamom.llm.mtree import quantized, top_k
 from cardamom.llm.near_dedup import near_duplicates
@@ -113,3 +114,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_quality(docs, fit_quality(docs))
     return scored.select("doc.doc_id", "score", "predicted", "posterior")
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
