@@ -55,3 +55,20 @@ def hash_sample(df: DataFrame, key: str, stratum: str, size: int) -> DataFrame:
     for value, n in counts.items():
         share = F.when(F.col(stratum).eqNullSafe(F.lit(value)), F.lit(min(1.0, size / n))).otherwise(share)
     return df.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) < share * (1 << 30))
+
+
+def attach(rows: DataFrame, found: DataFrame, key: str, times: str, total: int, most: int = 1000) -> DataFrame:
+    """Rows with the columns that ``found`` has for their key; keys are unique there and never NULL.
+
+    ``times`` counts the rows of each key, ``total`` those of all.  Keys with
+    more than one in ``most`` of the rows are fewer than ``most``: they are
+    broadcast, so their rows are not shuffled into one task.  All other keys
+    are joined through a shuffle.
+    """
+    heavy = F.col(times) > total / most
+    hot = found.where(heavy).drop(times).withColumn("_hot", F.lit(True))
+    marked = rows.join(F.broadcast(hot), key, "left")
+    names = [x for x in found.columns if x not in (key, times)]
+    done = marked.where("_hot").drop("_hot")
+    rest = marked.where("_hot is null").drop("_hot", *names).join(found.where(~heavy).drop(times), key, "left")
+    return done.unionByName(rest)

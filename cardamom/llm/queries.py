@@ -15,6 +15,7 @@ from cardamom.llm.mtree import quantized, top_k
 from cardamom.llm.near_dedup import near_duplicates
 from cardamom.llm.packing import pack, word_count
 from cardamom.llm.quality import fit_quality, score_quality
+from cardamom.llm.simhash import simhash_components
 from cardamom.llm.substring_dedup import dedup_substrings
 from cardamom.llm.token_counts import count_tokens, load_vocabulary
 from cardamom.llm.toxicity import fit_toxicity, score_toxicity
@@ -128,3 +129,8 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
         F.sha2(restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
     )
+
+
+@query
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))

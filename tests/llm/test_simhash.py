@@ -1,0 +1,158 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from cardamom.llm import queries as Q
+from cardamom.llm import simhash as S
+
+
+def fingerprint(text, width=4):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+    words = [bytes(b + 32 if 65 <= b <= 90 else b for b in w) for w in words]
+    if not words:
+        return 0
+    runs = [b" ".join(words[k : k + width]) for k in range(max(1, len(words) - width + 1))]
+    hashes = [xxhash.xxh64_intdigest(x, 42) for x in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def linked(rows, distance=4):
+    """[(id, fingerprint)] -> sorted (id, hex, smallest id reachable), by comparing all pairs."""
+    distinct = sorted({f for _, f in rows})
+    root = {f: f for f in distinct}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, a in enumerate(distinct):
+        for b in distinct[:n]:
+            if bin(a ^ b).count("1") <= distance:
+                root[find(a)] = find(b)
+    least = {}
+    for i, f in rows:
+        if i is not None:
+            least[find(f)] = min(least.get(find(f), i), i)
+    return sorted(((i, f"{f:016x}", least.get(find(f))) for i, f in rows), key=repr)
+
+
+def check(spark, docs, **options):
+    got = S.simhash_components(spark.createDataFrame(docs, "doc_id long, text string"), **options)
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    want = linked([(i, fingerprint(t, options.get("width", 4))) for i, t in docs], options.get("distance", 4))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+    return want
+
+
+def corpus(n, rng):
+    vocabulary = [f"w{k}" for k in range(500)]
+    docs = []
+    for i in range(n):
+        if docs and rng.random() < 0.6:  # an earlier text with a few words changed
+            words = docs[rng.randrange(len(docs))][1].split()
+            for _ in range(rng.randint(0, 4)):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        else:
+            words = [rng.choice(vocabulary) for _ in range(rng.randint(1, 200))]
+        docs.append((i, rng.choice([" ", "\n", " \t"]).join(words)))
+    return docs
+
+
+def test_against_all_pairs(spark):
+    docs = corpus(400, random.Random(4))
+    want = check(spark, docs)
+    assert 20 < len({x[2] for x in want}) < 350
+    for options in ({"parts": 7}, {"distance": 9, "pivots": 3}, {"distance": 0}, {"width": 1}):
+        check(spark, docs[:150], **options)
+
+
+def test_crowded_keys_are_split(spark, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK", 16)  # the blocks are dealt by the driver's plan
+    docs = corpus(300, random.Random(9))
+    base = docs[0][1].split() * 3
+    for i in range(200):  # one crowd of near copies
+        words = list(base)
+        words[(7 * i) % len(words)] = f"other{i}"
+        docs.append((1000 + i, " ".join(words)))
+    check(spark, docs)
+
+
+def test_odd_rows(spark):
+    run = "One two\tthree four five six seven"
+    docs = [
+        (5, None), (3, ""), (9, " \n\t"), (7, run), (2, run.lower()), (2, "quite another text than that"), (8, "one"), (8, "ONE"), (11, "é É é É"), (None, run),
+        (None, "only rows without an id have this"), (None, None), (-4, "x " * 500_000 + "Y"), (12, "a" * 3_000_000), (13, "a" * 3_000_000 + " b c d"),
+    ]
+    check(spark, docs)
+    check(spark, [(4, "one row alone here")])
+    check(spark, [(4, "same row")] * 200 + [(i, f"row number {i} of some") for i in range(100)])
+
+
+def test_columns_with_clashing_names_and_no_rows(spark):
+    df = spark.createDataFrame([(1, "a b c d e", 7, 8, "q"), (2, "A b c d e", 7, 8, "q")], "doc_id long, text string, fp long, n long, name string")
+    assert sorted((r.doc_id, r.component_id) for r in S.simhash_components(df).collect()) == [(1, 1), (2, 1)]
+    assert S.simhash_components(df.where("false")).count() == 0
+    for bad in ({"distance": -1}, {"parts": 4}, {"pivots": 0}):
+        with pytest.raises(ValueError):
+            S.simhash_components(df, **bad)
+
+
+def test_pieces_of_a_text_hash_like_the_whole():
+    rng = random.Random(2)
+    text = " ".join("".join(rng.choice("abcÉé") for _ in range(rng.randint(1, 9))) for _ in range(3000)).encode()
+    for width in (1, 4):
+        whole = np.concatenate(list(S.shingle_hashes(text, width, 1 << 30)))
+        for piece in (1, 10, 1000):
+            assert (np.concatenate(list(S.shingle_hashes(text, width, piece))) == whole).all()
+    assert [len(np.concatenate(list(S.shingle_hashes(b"a b c", 4, n)))) for n in (1, 2, 100)] == [1, 1, 1]
+    assert not list(S.shingle_hashes(b" \n", 4)) and not list(S.shingle_hashes(b"", 4))
+
+
+def test_bits_are_counted_by_runs():
+    rng = np.random.default_rng(0)
+    hashes = rng.integers(0, 2**64, 5000, dtype=np.uint64)
+    first = np.array([0, 1, 3, 260, 1000, 4999])
+    got = S.bit_counts(hashes, first)
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    assert (got == np.add.reduceat(bits.astype(int), first, axis=0)).all()
+
+
+def test_pivots_rule_out_only_what_is_too_far():
+    rng = np.random.default_rng(3)
+    fp = rng.integers(0, 2**64, 1500, dtype=np.uint64)
+    near = fp[:400] ^ (np.uint64(1) << rng.integers(0, 64, 400, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 400, dtype=np.uint64))
+    fp = np.unique(np.concatenate((fp, near)))
+    apart = np.bitwise_count(fp[:, None] ^ fp[None, :])
+    for pivots in (1, 2, 24):
+        table = np.bitwise_count(fp[:, None] ^ fp[None, :pivots]).astype(np.int8)
+        i, j = S.near_pairs(fp, table, 4)
+        assert {tuple(sorted(x)) for x in zip(i.tolist(), j.tolist())} == {tuple(x) for x in np.argwhere(np.triu(apart <= 4, 1)).tolist()}
+        side = rng.random(len(fp)) < 0.3
+        i, j = S.near_pairs(fp, table, 4, side)
+        want = {(a, b) for a, b in np.argwhere(np.triu(apart <= 4, 1)).tolist() if side[a] != side[b]}
+        assert {tuple(sorted(x)) for x in zip(i.tolist(), j.tolist())} == want
+    # Of unrelated pairs next to none is left to be verified.
+    pairs = np.triu(np.ones(apart.shape, bool), 1)
+    left = pairs & (np.abs(table[:, None, :].astype(int) - table[None, :, :]).max(axis=2) <= 4)
+    assert left.sum() < 0.002 * pairs.sum() + (apart <= 12).sum()
+
+
+def test_every_choice_of_parts_is_a_key():
+    for parts in (5, 6, 8):
+        masks = [m % 2**64 for m in S.key_masks(parts, 4)]
+        assert len(set(masks)) == len(masks)
+        rng = random.Random(parts)
+        for _ in range(300):
+            flips = sum(1 << b for b in rng.sample(range(64), 4))
+            assert any(m & flips == 0 for m in masks)
+    assert S.parts_for(10, 4) == 5 and S.parts_for(10**8, 4) == 6 and S.parts_for(10**10, 4) == 8
+
+
+def test_query_on_a_table(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, fingerprint(r.text)) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert sorted((tuple(r) for r in Q.op12_simhash(spark, sf).collect()), key=repr) == linked(docs)
