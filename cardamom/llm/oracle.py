@@ -113,3 +113,53 @@ SELECT doc_id, n, form,
        sha256(t) AS restored_sha256
 FROM parts
 """
+
+_ORACLES["op13_filter_audit"] = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), firsts AS (
+    SELECT t, min(doc_id) AS first_id FROM texts GROUP BY t
+), marks AS (
+    SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), judged AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+           [len(ws) < 200,
+            100 * len(list_distinct(ws)) < 50 * len(ws),
+            100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+            regexp_matches(t, '[#$%&*|]'),
+            coalesce(d.doc_id > first_id, false)] AS fails
+    FROM texts d JOIN firsts USING (t) LEFT JOIN marks m ON d.doc_id = m.doc_id
+), patterns AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+    FROM judged GROUP BY part, fails
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+    SELECT filter_order, step, instr('ABCDE', filter_order[step]) AS own,
+           [instr('ABCDE', y) FOR y IN string_split(filter_order[1:step - 1], '') IF y <> ''] AS earlier
+    FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), counted AS (
+    SELECT part, filter_order, step, own,
+           sum(n) FILTER (NOT fails[own] AND NOT gone) AS kept,
+           sum(n) FILTER (fails[own] AND NOT gone) AS removed,
+           sum(n) FILTER (fails[own] AND gone) AS redundant,
+           sum(n) FILTER (fails[own] AND len(list_filter(fails, lambda f: f)) = 1) AS unique_fails,
+           sum(n_good) FILTER (fails[own] AND NOT gone) AS good_lost,
+           sum(n_toxic) FILTER (fails[own] AND NOT gone) AS toxic_lost
+    FROM (SELECT *, len(list_filter(earlier, lambda k: fails[k])) > 0 AS gone FROM patterns, steps)
+    GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+       CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted
+"""

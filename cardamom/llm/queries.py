@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cardamom.llm.common import held_out, table
 from cardamom.llm.decontaminate import decontaminate
 from cardamom.llm.fill_middle import fill_in_middle, restored
+from cardamom.llm.filter_audit import audit_filters
 from cardamom.llm.language_id import fit_languages, identify_language
 from cardamom.llm.mtree import quantized, top_k
 from cardamom.llm.near_dedup import near_duplicates
@@ -134,3 +135,8 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
