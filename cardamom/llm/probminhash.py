@@ -20,14 +20,13 @@ EMPTY = np.uint64(0)
 
 
 def sequence_hash(words: W.Words, which: int) -> np.ndarray:
-    """A hash of each text's whole word sequence."""
-    values = words.hash if which == 0 else W.mix(words.hash ^ np.uint64(0x5851F42D4C957F2D))
-    base = W._WINDOW_BASES[which]
-    n = len(values)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * W.powers(base, n), out=sums[1:])
-    a, b = words.first[:-1], words.first[1:]
-    return W.mix((sums[b] - sums[a]) * W.powers(base, n + 1, inverse=True)[a] + words.counts.astype(np.uint64))
+    """A hash of each text's whole word sequence: words scrambled with their places, added up."""
+    seed = np.uint64((0x5851F42D4C957F2D, 0x14057B7EF767814F)[which])
+    place = np.arange(len(words.hash)) - words.first[:-1][W.text_of_word(words)]
+    values = W.mix(W.mix(words.hash ^ seed) + W.mix(place.astype(np.uint64) + seed))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values, out=sums[1:])
+    return W.mix(sums[words.first[1:]] - sums[words.first[:-1]] + words.counts.astype(np.uint64))
 
 
 def shingle_sets(words: W.Words, width: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

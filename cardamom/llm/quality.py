@@ -79,7 +79,7 @@ def statistics(texts: pa.Array) -> dict[str, np.ndarray]:
     again = np.bincount(owner[starts], _repeated(block, words.hash, len(starts)), minlength=n)
     line_at = np.flatnonzero(np.concatenate(([True], data[:-1] == 10)) | np.isin(np.arange(len(data)), at[:-1])) if len(data) else np.zeros(0, np.int64)
     line_text = np.searchsorted(at, line_at, "right") - 1
-    line_hash = W._word_hashes(data, W.SPACED[1], line_at, np.append(line_at[1:], len(data))) if len(line_at) else np.zeros(0, np.uint64)
+    line_hash = W.run_hashes(data, line_at, np.append(line_at[1:], len(data))) if len(line_at) else np.zeros(0, np.uint64)
     lines = np.bincount(line_text, minlength=n)
     with np.errstate(divide="ignore", invalid="ignore"):
         found = {

@@ -9,8 +9,11 @@ character that is no entry costs 10 more than the worst entry and, with byte
 fallback, counts as its UTF-8 bytes.
 
 No entry continues past a space, so the best path of a text is put together
-from the best paths of its space-separated segments, and equal segments are
-counted once.  A vocabulary for which this does not hold is run on whole texts.
+from the best paths of its space-separated segments.  Where all scores are
+whole numbers their sums are exact, and equal segments are counted once.
+Otherwise sums are rounded, which can settle near ties; each segment then
+begins with the score that its text has reached, as it does in the library.  A
+vocabulary with entries across spaces is run on whole texts.
 """
 
 from __future__ import annotations
@@ -49,8 +52,13 @@ class Vocabulary:
 
     @property
     def segmented(self) -> bool:
-        """Whether no entry has a space after another character."""
-        return not any(SPACE in x.lstrip(SPACE) for x in self.pieces)
+        """Whether no entry has a space after another character, and no run of unknown characters goes on past one."""
+        return (self.byte_fallback or SPACE in self.pieces) and not any(SPACE in x.lstrip(SPACE) for x in self.pieces)
+
+    @property
+    def exact_sums(self) -> bool:
+        """Whether scores add up without rounding, in any order (texts have fewer than 2**31 characters)."""
+        return all(float(x).is_integer() and abs(x) < 1 << 21 for x in self.scores)
 
     @property
     def lines_apart(self) -> bool:
@@ -69,12 +77,12 @@ class Vocabulary:
             self._automaton.extend((a, min(self.scores, default=0.0) - 10.0))
         return self._automaton[0]
 
-    def count(self, text: str) -> int:
-        """Pieces on the best path of a text whose spaces are already U+2581."""
+    def count(self, text: str, reached: float = 0.0) -> tuple[int, float]:
+        """Pieces on the best path of a text whose spaces are already U+2581, and its score from ``reached`` on."""
         automaton = self.automaton()
         unknown = self._automaton[1]
         n = len(text)
-        best: list[float | None] = [0.0] + [None] * n
+        best: list[float | None] = [reached] + [None] * n
         count, loose = [0] * (n + 1), [False] * (n + 1)
         done, single = 0, False
         # The last entry closes the text.
@@ -93,7 +101,7 @@ class Vocabulary:
                 if best[at + 1] is None or score > best[at + 1]:
                     best[at + 1], loose[at + 1], count[at + 1] = score, False, count[start] + 1
                 single = single or size == 1
-        return count[n]
+        return count[n], best[n]
 
 
 def load_vocabulary(path: str) -> Vocabulary:
@@ -142,7 +150,9 @@ class _Counter:
         ends = np.append(starts[1:], len(data))
         text = np.searchsorted(at, starts, "right") - 1
         leads = starts == at[text]
-        keys = W._word_hashes(data, W.SPACED[1], starts, ends) ^ np.where(leads, np.uint64(0x6A09E667F3BCC909), np.uint64(0))
+        if not v.exact_sums:
+            return self._one_after_the_other(data, starts, ends, text, leads, len(at) - 1)
+        keys = W.run_hashes(data, starts, ends) ^ np.where(leads, np.uint64(0x6A09E667F3BCC909), np.uint64(0))
         distinct, first, which = np.unique(keys, return_index=True, return_inverse=True)
         place = np.searchsorted(self.keys, distinct)
         known = place < len(self.keys)
@@ -153,14 +163,25 @@ class _Counter:
         new = np.flatnonzero(~known)
         for i in new:
             s = first[i]
-            segment = raw[starts[s] : ends[s]].decode().replace(" ", SPACE)
-            counts[i] = v.count(SPACE + segment if leads[s] and v.prefix else segment)
+            counts[i] = v.count(self._segment(raw, starts[s], ends[s], leads[s]))[0]
         if len(self.keys) + len(new) > CACHE:
             self.keys, self.counts = self.keys[:0], self.counts[:0]
             place = np.zeros(len(distinct), np.int64)
         self.keys, self.counts = np.insert(self.keys, place[new], distinct[new]), np.insert(self.counts, place[new], counts[new])
         return np.bincount(text, weights=counts[which], minlength=len(at) - 1).astype(np.int64)
 
+    def _segment(self, raw: bytes, start: int, end: int, leads: bool) -> str:
+        segment = raw[start:end].decode().replace(" ", SPACE)
+        return SPACE + segment if leads and self.vocabulary.prefix else segment
+
+    def _one_after_the_other(self, data, starts, ends, text, leads, n: int) -> np.ndarray:
+        """Counts with the running score of each text carried from segment to segment."""
+        raw, total, reached = data.tobytes(), np.zeros(n, np.int64), 0.0
+        for s, (start, end, i) in enumerate(zip(starts, ends, text)):
+            pieces, reached = self.vocabulary.count(self._segment(raw, start, end, leads[s]), 0.0 if leads[s] else reached)
+            total[i] += pieces
+        return total
+
 
 def _count(sent, schema: StructType):
     to = to_arrow_schema(schema)

@@ -5,8 +5,9 @@ bytes, so no word ever becomes a Python object.  A word is a maximal run of
 word bytes; both alphabets count every byte of a non-ASCII character as a
 word byte, which makes byte runs and character runs the same thing.
 
-Hashes are polynomials modulo 2**64 over a random table, computed from prefix
-sums.  Two of them with different bases give 128 bits.
+A word's hash takes its bytes eight at a time and scrambles after every step.
+Hashes of runs of a fixed number of words are polynomials modulo 2**64 over
+those, computed from prefix sums; two with different bases give 128 bits.
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
-PIECE = 1 << 20  # bytes hashed at a time
+PIECE = 1 << 18  # words hashed at a time
+LONG = 64  # bytes of a word from which on it is hashed by itself
 
-_rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | U64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)  # the first k bytes of eight
 _WINDOW_BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 
 
@@ -32,7 +33,7 @@ def _alphabet(separators: bytes, fold: bool) -> tuple[np.ndarray, np.ndarray]:
     table = np.arange(256, dtype=np.uint8)
     if fold:
         table[65:91] += 32
-    return is_word, _BYTE[table]
+    return is_word, table
 
 
 # Words separated by white space, kept as they are.
@@ -127,24 +128,29 @@ def find_words(texts: pa.Array, alphabet=FOLDED) -> Words:
     starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
     first = np.searchsorted(starts, at)
-    return Words(data, starts, ends, first, _word_hashes(data, table, starts, ends))
-
-
-def _word_hashes(data, table, starts, ends) -> np.ndarray:
-    out = np.empty(len(starts), U64)
-    i = 0
-    while i < len(starts):
-        base = starts[i]
-        j = max(i + 1, int(np.searchsorted(ends, base + PIECE, "right")))
-        n = int(ends[j - 1] - base)
-        values = table[data[base : base + n]]
-        values *= powers(_BASE, n)
-        sums = np.zeros(n + 1, U64)
-        np.cumsum(values, out=sums[1:])
-        s = starts[i:j] - base
-        out[i:j] = (sums[ends[i:j] - base] - sums[s]) * powers(_BASE, n + 1, inverse=True)[s]
-        i = j
-    return mix(out)
+    return Words(data, starts, ends, first, run_hashes(table[data], starts, ends))
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits for each run of bytes, whatever its length."""
+    size = ends - starts
+    out = mix(size.astype(U64) + U64(0x2545F4914F6CDD1D))
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    for a in range(0, len(starts), PIECE):
+        mine = a + np.flatnonzero(size[a : a + PIECE] < LONG)
+        at, left, state = starts[mine], size[mine], out[mine]
+        going = np.flatnonzero(left > 0)
+        while len(going):
+            step = eight[at[going]] & _FIRST[np.minimum(left[going], 8)]
+            state[going] = mix((state[going] ^ step) * U64(0x9E3779B97F4A7C15))
+            at[going] += 8
+            left[going] -= 8
+            going = going[left[going] > 0]
+        out[mine] = state
+    for i in np.flatnonzero(size >= LONG):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes(), 20240229)
+    return out
 
 
 def window_hashes(words: Words, width: int, which: int = 0) -> np.ndarray:

@@ -62,6 +62,27 @@ def test_ties_and_odd_vocabularies(byte_fallback):
     assert split.segmented and _Counter(split)(pa.array(texts)).tolist() == [count(t) for t in texts]
 
 
+@pytest.mark.parametrize("byte_fallback", [False, True])
+def test_scores_that_are_no_whole_numbers(byte_fallback):
+    import pyarrow as pa
+
+    # Tenths: sums of equal worth differ in their last bits, by what the text has added up before.
+    rng = random.Random(12)
+    pieces = ["<unk>", SPACE, "\n"] + [f"{s}{x}" for s in ("", SPACE) for x in ("a", "b", "aa", "ab", "ba", "bb", "aab", "abab", "é")]
+    scores = [0.0] + [-len(x) / 10 - rng.choice([0, 0.1, 0.2]) for x in pieces[1:]]
+    if byte_fallback:
+        pieces += [f"<0x{i:02X}>" for i in range(256)]
+        scores += [0.0] * 256
+    v = Vocabulary(tuple(pieces), tuple(scores), byte_fallback=byte_fallback)
+    assert v.segmented and not v.exact_sums
+    texts = ["".join(rng.choice("aaabbb  \néx") for _ in range(rng.randint(0, 300))) for _ in range(1000)]
+    count = library(v)
+    assert _Counter(v)(pa.array(texts)).tolist() == [count(t) for t in texts]
+    loose = Vocabulary(("<unk>", "a", "b"), (0.0, -1.0, -2.0), byte_fallback=False)
+    count = library(loose)
+    assert not loose.segmented and _Counter(loose)(pa.array(texts)).tolist() == [count(t) for t in texts]
+
+
 def test_odd_rows(spark, vocabulary, monkeypatch):
     rows = [(1, None), (1, ""), (2, "word " * 50_000), (None, "x" * 20_000), (2, "word")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as doc", "2 as n_tokens")

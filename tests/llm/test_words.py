@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from helpers import folded, spaced
 
+from cardamom.llm import probminhash as P
 from cardamom.llm import words as W
 
 
@@ -27,6 +28,17 @@ def test_words_are_those_of_the_pattern(texts, alphabet, brute, monkeypatch):
     assert len(set(by_word.values())) == len(by_word)
 
 
+def test_words_that_a_polynomial_cannot_tell_apart():
+    """A Thue-Morse word and its complement: equal modulo 2**64 for any base."""
+    ones = [bin(k).count("1") % 2 for k in range(1 << 11)]
+    pair = ["".join("ab"[x ^ flip] for x in ones) for flip in (0, 1)]
+    for size in (8, 63, 64, 65, 1024, 2048):
+        for alphabet in (W.SPACED, W.FOLDED):
+            assert len(set(W.find_words(pa.array([x[:size] for x in pair]), alphabet).hash.tolist())) == 2
+    for which in (0, 1):  # as words of a text
+        assert len(set(P.sequence_hash(W.find_words(pa.array([" ".join(x) for x in pair]), W.SPACED), which).tolist())) == 2
+
+
 def test_window_hashes_tell_runs_apart(texts):
     words = W.find_words(pa.array(texts), W.SPACED)
     flat = [w for t in texts for w in spaced(t)]
