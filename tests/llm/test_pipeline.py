@@ -4,6 +4,7 @@ import pytest
 from helpers import classes, contamination, cut, spaced
 
 import corpus_pipeline
+from cardamom.llm import pipeline as P
 from cardamom.session import shared_dir
 
 
@@ -89,7 +90,35 @@ def test_stages_on_odd_rows(spark, corpus):
         none = stage(spark, docs.where("false"), path)
         assert none.columns == docs.columns and none.count() == 0
     kept = corpus_pipeline.keep_one_of_each_class(spark, docs, path)
-    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(1, rows[0][1]), (2, None), (3, ""), (None, rows[0][1])], key=repr)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(1, rows[0][1]), (2, None), (3, "")], key=repr)
     assert corpus_pipeline.drop_toxic(spark, docs, path).count() == len(rows)
     assert corpus_pipeline.cut_repeated_passages(spark, docs, path).count() == len(rows)
     assert corpus_pipeline.drop_contaminated(spark, docs, path).count() == len(rows)
+    packed = corpus_pipeline.pack_sequences(spark, docs, path)
+    assert packed.agg({"length": "sum"}).first()[0] == 24 and packed.where("doc_id in (2, 3)").isEmpty()
+    assert corpus_pipeline.pack_sequences(spark, docs.where("false"), path).isEmpty()
+
+
+@pytest.mark.parametrize("top", [50, 2**63 - 1])
+def test_texts_of_repeated_ids_are_told_apart(spark, corpus, top):
+    words = lambda x: " ".join(f"{x}{k}" for k in range(40))
+    rows = [(1, words("a")), (2, words("a")), (2, words("clean")), (3, words("x")), (3, words("y")), (3, words("x")), (None, words("z")), (None, words("z")), (None, words("y")), (None, None), (top, words("top"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.keep_one_of_each_class(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert sorted({t for _, t in rows}, key=repr) == sorted((t for _, t in got), key=repr)
+    assert {(1, words("a")), (2, words("clean")), (top, words("top"))} <= set(got)
+    nodes = [r._node for r in P.with_own_ids(docs).collect()]
+    assert len(nodes) == len(set(nodes)) and None not in nodes
+
+
+def test_stages_on_a_very_long_text(spark, corpus):
+    path = stored(spark, corpus)
+    long = " ".join(f"w{k}" for k in range(400_000))
+    docs = spark.createDataFrame([(1, long), (2, long + " end"), (3, "short one")], "doc_id long, text string")
+    kept = [3, 2, 2, 2]
+    for n, (_, stage) in zip(kept, corpus_pipeline.STAGES[:-1]):
+        docs = stage(spark, docs, path)
+        assert docs.count() == n
+    assert corpus_pipeline.pack_sequences(spark, docs, path).agg({"length": "sum"}).first()[0] == 400_002
