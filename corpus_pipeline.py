@@ -1,66 +1,14 @@
 """Corpus cleaning in stages, each of which reads what the one before it wrote.
 
-A stage takes (spark, docs, sf_dir).  All but the last return rows with the
-columns of ``docs``, whatever columns there are besides doc_id and text;
-labels and benchmark items come from ``sf_dir``.  Rows whose text is NULL or
-empty pass every filter and get no place in a sequence.
+The stages are those of ``cardamom.llm.pipeline``; this is their order.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from cardamom.llm.common import column, table, written
-from cardamom.llm.decontaminate import decontaminate
-from cardamom.llm.near_dedup import near_duplicates
-from cardamom.llm.packing import pack, word_count
-from cardamom.llm.substring_dedup import dedup_substrings
-from cardamom.llm.toxicity import fit_toxicity, score_toxicity
-
-
-def _as_documents(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` from a result's ``doc`` struct and text."""
-    return found.select(*(F.col("text") if x == "text" else F.col("doc")[x].alias(x) for x in docs.columns))
-
-
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the lexicon, learned from the labelled ones among them, does not reject."""
-    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return _as_documents(score_toxicity(docs, model).where("predicted = 0"), docs)
-
-
-def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each class of near-duplicates; an id that repeats is kept once."""
-    classes = written(near_duplicates(docs), "classes").select("doc_id", "class_id").where("doc_id is not null")
-    losers = classes.where("doc_id <> class_id").select("doc_id").distinct()
-    kept = docs.join(losers, "doc_id", "left_anti").select(*(column(docs, x) for x in docs.columns))
-    repeated = classes.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
-
-
-def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of an earlier document; what has no word left goes."""
-    found = dedup_substrings(docs).where("n_removed = 0 or n_removed < n_words")
-    picked = {x: F.col("doc")[x] for x in docs.columns if x != "text"} | {"text": F.col("text")}
-    if "n_chars" in picked:
-        picked["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(picked["n_chars"])
-    return found.select(*(picked[x].alias(x) for x in docs.columns))
-
-
-def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not hold benchmark passages to 5 % or more of their words."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _as_documents(found.where("not contaminated"), docs)
-
-
-def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A place in a training sequence for every piece of every document."""
-    return pack(docs, word_count(F.col("text")))
 
+from cardamom.llm.common import table, written
+from cardamom.llm.pipeline import cut_repeated_passages, drop_contaminated, drop_toxic, keep_one_of_each_class, pack_sequences
 
 STAGES = [
     ("toxicity", drop_toxic),
