@@ -10,6 +10,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -100,6 +102,29 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``with scratch_space(spark) as keep``: what ``keep(df, label)`` writes goes at the end of the block."""
+    made = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        path = shared_dir(spark, label)
+        made.append(path)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        for path in made:
+            drop_scratch(spark, path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system it is on."""
     jvm = spark.sparkContext._jvm

@@ -1,5 +1,14 @@
 """Reading and writing."""
 
+from cardamom.sources.partitions import (
+    create_partitioned_table,
+    drop_partition,
+    finish_rewrite,
+    of_partitions,
+    replace_partitions,
+    rewrite_partitions,
+    rewrite_table,
+)
 from cardamom.sources.readers import (
     read_csv,
     read_export,
@@ -17,7 +26,6 @@ from cardamom.sources.writers import (
     overwrite_partitions,
     publish_view,
     read_partitioned,
-    rewrite_partitions,
     write_csv,
     write_parquet,
     write_partitioned_fact,
@@ -26,9 +34,13 @@ from cardamom.sources.writers import (
 __all__ = [
     "append_rows",
     "create_namespace",
+    "create_partitioned_table",
     "create_table_as",
+    "drop_partition",
     "export_csv",
     "external_csv_table",
+    "finish_rewrite",
+    "of_partitions",
     "overwrite_partitions",
     "publish_view",
     "read_csv",
@@ -38,7 +50,9 @@ __all__ = [
     "read_pipe_lines",
     "read_tsv_matches",
     "records",
+    "replace_partitions",
     "rewrite_partitions",
+    "rewrite_table",
     "write_csv",
     "write_parquet",
     "write_partitioned_fact",

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cardamom.session import delete_path, scratch, shared_dir
+from cardamom.session import drop_scratch, shared_dir
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
@@ -50,28 +50,29 @@ def write_partitioned_fact(
 ) -> DataFrame:
     """Write a fact table partitioned by day and clustered inside each day.
 
-    The rows are range-partitioned by (day, cluster key, row key) into as many
-    parts as their number asks for: a day that holds a third of all rows is cut
-    into many tasks, small days share one, and each file covers a short range
-    of the cluster key, so parquet min/max statistics skip files on that key.
-    ``mode="append"`` adds the rows of a daily arrival the same way.
+    Rows are dealt by day and the input is read once: adaptive execution splits
+    a day that turns out larger than ``file_bytes`` over several tasks, by the
+    tasks that its rows came from, and lets small days share one.  So a day with
+    a third of all rows is several files, small days have one each, and every
+    file is sorted by the cluster key, so parquet statistics skip row groups on
+    it.  ``mode="append"`` adds the rows of a daily arrival the same way.
     """
+    spark = df.sparkSession
     dated = df.withColumn(day, F.to_date(ts))
-    order = [day, cluster_by, spread_by]
-    files = max(1, -(-dated.count() * _row_bytes(dated.schema) // file_bytes))
-    (
-        dated.repartitionByRange(files, *order)
-        .sortWithinPartitions(*order)
-        .write.mode(mode)
-        .partitionBy(day)
-        .parquet(path)
-    )
-    return read_partitioned(df.sparkSession, path, dated, day)
-
-
-def _row_bytes(schema: StructType) -> int:
-    """A rough size of a stored row: 8 bytes a column, 24 for texts and lists."""
-    return sum(8 if f.dataType.typeName() not in ("string", "array", "struct", "map", "binary") else 24 for f in schema.fields)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, file_bytes)
+    try:
+        (
+            dated.hint("rebalance", F.col(day))
+            .sortWithinPartitions(day, cluster_by, spread_by)
+            .write.mode(mode)
+            .partitionBy(day)
+            .parquet(path)
+        )
+    finally:
+        spark.conf.set(size, before)
+    return read_partitioned(spark, path, dated, day)
 
 
 def read_partitioned(spark: SparkSession, path: str, like: DataFrame, by: str) -> DataFrame:
@@ -94,61 +95,6 @@ def overwrite_partitions(df: DataFrame, path: str, by: str) -> None:
     )
 
 
-def rewrite_partitions(
-    spark: SparkSession,
-    path: str,
-    by: str,
-    where: Column,
-    change: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """Update or delete rows of a partitioned table, rewriting the least of it.
-
-    ``change`` gets the whole content of the partitions (column ``by``) that
-    have a row matching ``where``, and returns what should become of those rows.
-    They may move to other partitions, whose rows stay.  The new content of all
-    partitions concerned is staged in the shared folder before the table is
-    touched; a failure while staging leaves the table as it was.  Returns the
-    touched partition values (one column, ``by``), emptied ones included.
-
-    Rows without a partition value are matched like any other.  No partition
-    value reaches the driver but those of emptied partitions, one at a time,
-    whose folders are deleted.
-    """
-    table = spark.read.parquet(path)
-    hit = scratch(table.filter(where).select(by).distinct(), "hit")
-    changed = scratch(change(_of_partitions(table, hit, by)), "changed").select(table.columns)
-    landed = scratch(changed.select(by).distinct(), "landed")
-    others = _minus(landed, hit, by)
-    staged = scratch(changed.unionByName(_of_partitions(table, others, by)), "staged")
-    overwrite_partitions(staged, path, by)
-    for row in _minus(hit, landed, by).toLocalIterator():
-        name = HIVE_NULL if row[0] is None else str(row[0])
-        delete_path(spark, f"{path}/{by}={name}")
-    return scratch(hit.unionByName(landed).distinct(), "touched")
-
-
-HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"  # fixed value: where rows without a partition value are stored
-
-
-def _minus(a: DataFrame, b: DataFrame, by: str) -> DataFrame:
-    return a.alias("a").join(b.alias("b"), F.col(f"a.{by}").eqNullSafe(F.col(f"b.{by}")), "left_anti").select(f"a.{by}")
-
-
-def _of_partitions(table: DataFrame, values: DataFrame, by: str) -> DataFrame:
-    """The rows of some partitions.
-
-    An equality join lets Spark prune partitions while it runs, which it does
-    for a side with a filter that may be selective; this one is true for every
-    value.  Rows without a value are a partition of their own, read only if it
-    is asked for.
-    """
-    any_value = F.col(by).cast("string") >= F.lit("")
-    some = table.filter(F.col(by).isNotNull()).join(values.filter(any_value), by, "left_semi")
-    asked = values.filter(F.col(by).isNull()).limit(1).select(F.lit(1).alias("_asked"))
-    none = table.filter(F.col(by).isNull()).withColumn("_one", F.lit(1))
-    return some.select(table.columns).unionByName(none.join(asked, F.col("_one") == F.col("_asked"), "left_semi").select(table.columns))
-
-
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     """Create or replace a session view."""
     df.createOrReplaceTempView(name)
@@ -173,6 +119,7 @@ def export_csv(df: DataFrame, path: str, order: Sequence[Column], sep: str = ";"
     place = shared_dir(df.sparkSession, "header")
     write_csv(names.coalesce(1), place, sep=sep, header=False)
     move_part(df.sparkSession, place, f"{path}/header.csv")
+    drop_scratch(df.sparkSession, place)
 
 
 def move_part(spark: SparkSession, folder: str, target: str) -> None:

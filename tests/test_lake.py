@@ -242,20 +242,22 @@ def test_partitioned_fact_prunes_days(spark, tmp_path):
 
 
 def test_hot_day_is_spread_over_files(spark, tmp_path):
-    fact = fact_rows(spark, 4000, 1)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    hot = fact_rows(spark, 40_000, 1).withColumn("amount", F.rand(1))
+    rest = fact_rows(spark, 400, 20).withColumn("transaction_id", F.col("transaction_id") + 100_000)
+    sc = spark.sparkContext
+    sc.setJobGroup("fact", "write")
     try:
-        stored = src.write_partitioned_fact(fact, str(tmp_path / "fact"), file_bytes=48_000)
+        stored = src.write_partitioned_fact(hot.unionByName(rest), str(tmp_path / "fact"), file_bytes=100_000)
+        # One job for each side of the shuffle: the input is neither counted nor sampled first.
+        assert len(sc.statusTracker().getJobIdsForGroup("fact")) <= 2
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(stored.inputFiles()) == 4
-    ranges = (
-        stored.groupBy(F.input_file_name().alias("f"))
-        .agg(F.min("business_id").alias("lo"), F.max("business_id").alias("hi"))
-        .orderBy("lo")
-        .collect()
-    )
-    assert all(a["hi"] <= b["lo"] for a, b in zip(ranges, ranges[1:]))
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(128 << 20)
+    files = sorted((tmp_path / "fact" / "tr_date=2024-01-01").glob("*.parquet"))
+    assert len(files) > 2 and stored.count() == 40_400
+    for f in files:
+        keys = [r[0] for r in spark.read.parquet(str(f)).select("business_id").collect()]
+        assert keys == sorted(keys)
 
 
 def test_daily_table_refresh(spark, tmp_path):
@@ -285,9 +287,9 @@ def test_daily_table_refresh(spark, tmp_path):
 def test_refresh_reads_changed_days_only(spark, tmp_path):
     fact_path = str(tmp_path / "fact")
     src.write_partitioned_fact(fact_rows(spark, 200, 10), fact_path)
-    changed = spark.createDataFrame([(dt.date(2024, 1, 2),)], "tr_date date")
-    days = F.broadcast(daily_table.changed_days(changed))
-    touched = spark.read.parquet(fact_path).join(days, "tr_date", "left_semi")
+    spark.createDataFrame([(dt.date(2024, 1, 2),)], "tr_date date").write.parquet(str(tmp_path / "days"))
+    days = spark.read.parquet(str(tmp_path / "days"))
+    touched = src.of_partitions(daily_table.with_file(spark.read.parquet(fact_path)), days, "tr_date")
     assert "dynamicpruning" in touched._jdf.queryExecution().executedPlan().toString().lower()
 
 
@@ -428,13 +430,156 @@ def test_rejected_items_and_tsv(spark, tmp_path, rows):
 
 
 def test_rewrites_read_only_the_partitions_concerned(spark, tmp_path):
-    from cardamom.sources.writers import _of_partitions
-
     path = str(tmp_path / "fact")
     src.write_partitioned_fact(fact_rows(spark, 300, 30), path)
     table = spark.read.parquet(path)
     days = table.filter(F.dayofmonth("tr_date") == 3).select("tr_date").distinct()
     days.write.parquet(str(tmp_path / "days"))
-    some = _of_partitions(table, spark.read.parquet(str(tmp_path / "days")), "tr_date")
+    some = src.of_partitions(table, spark.read.parquet(str(tmp_path / "days")), "tr_date")
     assert some.count() == table.filter(F.dayofmonth("tr_date") == 3).count() > 0
     assert "dynamicpruning" in some._jdf.queryExecution().executedPlan().toString()
+
+
+ODD = ["a:b/c", "%", "", "01", "it's \\ one", "x=y", "line\nbreak", "é 漢"]
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_partitions_are_named_by_their_values(spark, tmp_path, rows, external):
+    name = f"odd_partitions_{external}".lower()
+    frame = spark.createDataFrame([(i, k) for i, k in enumerate(ODD * 2)] + [(99, None)], "id int, k string")
+    table = src.create_partitioned_table(frame, name, "k", str(tmp_path / "t") if external else None)
+    kinds = table.dtypes
+    gone = F.col("k").isin(ODD) & ~F.col("k").isin("x=y", "é 漢") | F.col("k").isNull()
+    touched = src.rewrite_table(spark, name, "k", gone, lambda df: op.delete_where(df, gone))
+    assert {r[0] for r in touched.collect()} == {*ODD, None} - {"", "x=y", "é 漢"}
+    assert set(rows(spark.table(name))) == {(5, "x=y"), (7, "é 漢"), (13, "x=y"), (15, "é 漢")} and spark.table(name).dtypes == kinds
+    if external:
+        assert not [p for p in (tmp_path / "t").rglob("*.parquet") if p.parent.name not in ("k=x%3Dy", "k=é 漢")]
+    # An update that moves rows into a partition that is there, and into a new one.
+    moved = F.col("id") == 5
+    src.rewrite_table(spark, name, "k", moved, lambda df: op.set_where(df, moved, {"k": "é 漢"}))
+    moved = F.col("id") == 13
+    src.rewrite_table(spark, name, "k", moved, lambda df: op.set_where(df, moved, {"k": "new: 100%"}))
+    assert set(rows(spark.table(name))) == {(13, "new: 100%"), (15, "é 漢"), (5, "é 漢"), (7, "é 漢")}
+    src.rewrite_table(spark, name, "k", F.lit(True), lambda df: df.filter("false"))
+    assert spark.table(name).isEmpty() and spark.sql(f"SHOW PARTITIONS {name}").isEmpty()
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_text_partitions_of_a_folder_keep_their_type(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    frame = spark.createDataFrame([(1, "01"), (2, "1"), (3, "a:b/c"), (4, "%")], "id int, k string")
+    frame.write.partitionBy("k").parquet(path)
+    gone = F.col("k").isin("a:b/c", "01")
+    src.rewrite_partitions(spark, path, "k", gone, lambda df: op.delete_where(df, gone), schema=frame.schema)
+    assert rows(spark.read.schema(frame.schema).parquet(path)) == [(2, "1"), (4, "%")]
+    tables = {t.name for t in spark.catalog.listTables()}
+    assert not any(t.startswith("cardamom_") and len(t) > 30 for t in tables)
+
+
+def test_a_rewrite_that_stops_in_its_last_step_is_finished_later(spark, tmp_path, monkeypatch, rows):
+    from cardamom.sources import partitions
+
+    frame = spark.createDataFrame([(i, f"p{i % 3}", float(i)) for i in range(30)], "id int, k string, x double")
+    src.create_partitioned_table(frame.select("id", "x", "k"), "stopped", "k", str(tmp_path / "t"))
+    where = F.col("k") == "p0"
+    double = lambda df: op.set_where(op.set_where(df, where, {"x": F.col("x") * 2}), where, {"k": "p1"})
+    want = sorted((i, 2.0 * i if i % 3 == 0 else float(i), "p1" if i % 3 == 0 else f"p{i % 3}") for i in range(30))
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(partitions, "replace_partitions", fails)
+        with pytest.raises(RuntimeError):
+            src.rewrite_table(spark, "stopped", "k", where, double)
+    assert rows(spark.table("stopped")) == sorted(((r[0], r[2], r[1]) for r in frame.collect()), key=repr)  # as it was
+    with monkeypatch.context() as m:
+        m.setattr(partitions, "drop_partition", fails)
+        with pytest.raises(RuntimeError):
+            src.finish_rewrite(spark, "stopped", "k")
+    assert src.finish_rewrite(spark, "stopped", "k")
+    assert sorted(tuple(r) for r in spark.table("stopped").collect()) == want
+    assert not src.finish_rewrite(spark, "stopped", "k") and not (tmp_path / "t" / "_rewrite").exists()
+    spark.sql("DROP TABLE stopped")
+
+
+def dated_rows(spark, rows):
+    return spark.createDataFrame(rows, "transaction_id int, business_id int, timestamp timestamp_ntz, amount decimal(20,2), declined boolean")
+
+
+def test_daily_state_follows_late_rows_replays_and_days_that_are_missing(spark, tmp_path, monkeypatch):
+    from decimal import Decimal
+
+    from cardamom.streaming import daily_sales
+    from cardamom.plans.daily_table import merge_files, with_file
+    from cardamom.session import _MADE
+
+    fact, table, marks = (str(tmp_path / x) for x in ("fact", "daily", "marks"))
+    at = lambda day: dt.datetime(2024, 1, day, 12)
+    big = Decimal("12345678901234567.89")
+    src.write_partitioned_fact(dated_rows(spark, [(1, 1, at(1), big, False), (2, 1, at(2), Decimal(5), True), (3, 2, None, Decimal(7), False)]), fact)
+    start_after(spark, fact, marks)
+    daily_table.build_daily_table(spark, fact, table)
+
+    def stored():
+        return {r["day"]: r["sales"] for r in daily_table.read_daily_table(spark, table).collect()}
+
+    assert stored() == {dt.date(2024, 1, 1): big, None: Decimal(7)}
+    old = {f for f in (tmp_path / "fact").rglob("*.parquet")}
+    late = [(4, 1, at(1), Decimal("0.11"), False), (5, 1, None, Decimal(1), False), (6, 1, at(3), Decimal(2), False), (7, 1, at(2), Decimal(3), False)]
+    src.write_partitioned_fact(dated_rows(spark, late), fact, mode="append")
+    new = [str(f) for f in (tmp_path / "fact").rglob("*.parquet") if f not in old]
+    scratch, read = len(_MADE), []
+
+    def recorded(session, path, batch):
+        read.extend(r[0] for r in batch.select("_file").collect())
+        merge_files(session, path, batch)
+
+    monkeypatch.setattr(daily_sales, "merge_files", recorded)
+    follow_fact_table(spark, fact, table, marks).awaitTermination()
+    # Late rows read their own files only.
+    names = spark.createDataFrame([(f.rsplit("/", 1)[-1],) for f in new], "name string").select(F.xxhash64("name"))
+    assert len(read) == len(late) and set(read) == {r[0] for r in names.collect()}
+    want = {dt.date(2024, 1, 1): big + Decimal("0.11"), dt.date(2024, 1, 2): Decimal(3), dt.date(2024, 1, 3): Decimal(2), None: Decimal(8)}
+    assert stored() == want and len(_MADE) == scratch
+    # The same files again, in part or as a whole: a replayed batch changes nothing.
+    schema = spark.read.parquet(new[0]).schema
+    for files in (new, new[:1]):
+        reader = spark.read.schema(daily_table_schema(schema)).option("basePath", fact)
+        merge_files(spark, table, with_file(reader.parquet(*files)))
+        assert stored() == want
+
+
+def daily_table_schema(schema):
+    from pyspark.sql.types import DateType, StructField
+
+    return schema.add(StructField("tr_date", DateType()))
+
+
+def test_the_day_that_is_missing_follows_deletes(spark, tmp_path):
+    fact, table = str(tmp_path / "fact"), str(tmp_path / "daily")
+    rows = fact_rows(spark, 60, 3).withColumn("timestamp", F.when(F.col("transaction_id") % 4 != 1, F.col("timestamp")))
+    src.write_partitioned_fact(rows, fact)
+    daily_table.build_daily_table(spark, fact, table)
+    assert None in stored_daily(spark, table) and len(stored_daily(spark, table)) == 4
+    for gone in (F.col("tr_date").isNull() & (F.col("transaction_id") < 30), F.col("tr_date").isNull()):
+        touched = src.rewrite_partitions(spark, fact, "tr_date", gone, lambda df: op.delete_where(df, gone))
+        daily_table.refresh_daily_table(spark, fact, table, touched)
+        left = spark.read.parquet(fact).filter("NOT declined").groupBy("tr_date").agg(F.sum("amount")).collect()
+        assert stored_daily(spark, table) == {r[0]: r[1] for r in left}
+    assert None not in stored_daily(spark, table)
+
+
+def test_a_stream_passes_over_files_of_a_refreshed_rewrite(spark, tmp_path):
+    fact, table, marks = (str(tmp_path / x) for x in ("fact", "daily", "marks"))
+    src.write_partitioned_fact(fact_rows(spark, 100, 5), fact)
+    daily_table.build_daily_table(spark, fact, table)
+    # Without start_after the stream reads all files once more, and adds nothing.
+    follow_fact_table(spark, fact, table, marks).awaitTermination()
+    assert stored_daily(spark, table) == expected_daily(spark.read.parquet(fact))
+    gone = F.col("transaction_id") < 20
+    touched = src.rewrite_partitions(spark, fact, "tr_date", gone, lambda df: op.delete_where(df, gone))
+    daily_table.refresh_daily_table(spark, fact, table, touched)
+    follow_fact_table(spark, fact, table, marks).awaitTermination()
+    assert stored_daily(spark, table) == expected_daily(spark.read.parquet(fact))
