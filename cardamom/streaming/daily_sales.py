@@ -1,10 +1,10 @@
 """Keeps the daily-sales table in step with the fact table.
 
 The host of a materialized view refreshes it by itself; here a file stream
-over the fact table does.  Each micro-batch only names the days that received
-rows; their totals are recomputed from the fact table.  A batch that runs
-again after a failure therefore writes the same totals, and late rows for an
-old day are handled like any other day without a watermark or state.
+over the fact table does.  Each micro-batch adds the sums of its new files to
+the states of their days, and a state knows the files that it has counted.  A
+batch that runs again after a failure therefore changes nothing, and late rows
+for an old day are handled like any others, without a watermark.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from cardamom.plans.daily_table import refresh_daily_table
+from cardamom.plans.daily_table import merge_files, with_file
 
 
 def _writer(spark, fact_path, checkpoint, each, max_files_per_batch=None):
@@ -20,7 +20,7 @@ def _writer(spark, fact_path, checkpoint, each, max_files_per_batch=None):
     reader = reader.option("ignoreMissingFiles", "true")
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    rows = reader.parquet(fact_path).select("tr_date")
+    rows = with_file(reader.parquet(fact_path))
     return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
 
 
@@ -29,7 +29,8 @@ def start_after(spark: SparkSession, fact_path: str, checkpoint: str) -> None:
 
     Call it right before ``build_daily_table``: the build reads all of these
     files, and ``follow_fact_table`` with the same checkpoint starts from the
-    files that come later.
+    files that come later.  Without it the first batch reads all files once
+    more, and adds nothing.
     """
     nothing = lambda batch, _: None
     _writer(spark, fact_path, checkpoint, nothing).trigger(availableNow=True).start().awaitTermination()
@@ -43,17 +44,18 @@ def follow_fact_table(
     max_files_per_batch: int | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Start the refresh; without ``interval`` it stops once it has caught up.
+    """Start the upkeep; without ``interval`` it stops once it has caught up.
 
-    Rewrites of the fact remove files; those the stream has listed but not read
-    yet are passed over, as the rewritten ones are new files of their own.
+    After a rewrite of the fact call ``refresh_daily_table`` with the partitions
+    it touched, before the stream goes on: the recomputed states know the new
+    files, so the stream adds them no second time.  Files that the stream has
+    listed but a rewrite has removed are passed over.
     """
 
-    def refresh(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        refresh_daily_table(session, fact_path, table_path, batch.select("tr_date"))
+    def merge(batch: DataFrame, _: int) -> None:
+        merge_files(batch.sparkSession, table_path, batch)
 
-    writer = _writer(spark, fact_path, checkpoint, refresh, max_files_per_batch)
+    writer = _writer(spark, fact_path, checkpoint, merge, max_files_per_batch)
     if interval:
         return writer.trigger(processingTime=interval).start()
     return writer.trigger(availableNow=True).start()
