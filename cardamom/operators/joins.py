@@ -55,9 +55,19 @@ def left_with_default(
 def lookup_table(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
     """A lookup table from literals in the code.
 
-    It is a local relation, whose size Spark knows; it is broadcast if that is small.
+    It is a local relation (``VALUES``), whose size Spark knows, so a join with
+    it is a broadcast one as long as that is small.  A frame made from Python
+    rows is of unknown size, and the other side would be shuffled on its key.
     """
-    return spark.createDataFrame(list(rows), schema)
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if not rows:
+        return spark.createDataFrame([], wanted)
+    # Parameters go by name: positional ones are not taken in their order inside VALUES.
+    names = [[f"r{i}c{k}" for k in range(len(wanted))] for i in range(len(rows))]
+    marks = ["(" + ", ".join(f"CAST(:{x} AS {f.dataType.simpleString()})" for x, f in zip(row, wanted.fields)) + ")" for row in names]
+    args = {x: value for row, values in zip(names, rows) for x, value in zip(row, values)}
+    values = spark.sql(f"SELECT * FROM VALUES {', '.join(marks)}", args=args)
+    return values.toDF(*wanted.names)
 
 
 def lookup(

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardamom.session import shared_dir
-
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """First ``k`` rows; Spark keeps k rows per task and merges them."""
@@ -27,37 +25,35 @@ def nth_row(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).offset(n - 1).limit(1)
 
 
-def number_rows(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[Column], key: str, name: str = "position") -> DataFrame:
     """Number all rows 1, 2, 3, … in the given order, for reports of any size.
 
     ``row_number`` over an unpartitioned window would send the whole report
-    through one task.  Instead the rows are sorted by range partitioning and
-    written once to the shared folder with their partition number and their
-    place in it; the number of rows in the partitions before is then added.
-    The offsets table has one row per partition, so its broadcast is bounded
-    by the partition count.  ``order`` must end in a unique column.
-
-    The sorted copy is a written table, so a lost executor costs no re-sort
-    and cannot number rows anew.  It is scratch: it goes with the program, or
-    when the caller is done and calls ``drop_scratch`` on its ``inputFiles``.
+    through one task.  Instead the columns of ``order`` alone, among them the
+    unique column ``key``, are dealt by ranges and sorted inside each; a row's
+    number is its place in its range and the number of rows in the ranges
+    before, and is joined back to the row by ``key``.  Nothing is run or written
+    before the result is asked for.
+
+    Both sides of the sum read the same exchange.  Should they not, because a
+    session forbids that, a range's rows are not as many as were counted, which
+    stops the job; numbers cannot come out wrong.  The offsets table has one
+    row per range, so its broadcast is bounded by the number of ranges.
     """
-    spark = df.sparkSession
-    path = shared_dir(spark, "numbered")
-    (
-        df.orderBy(*order)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-        .write.parquet(path)
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (
+        df.repartitionByRange(ranges, *order)
+        .sortWithinPartitions(*order)
+        .select(
+            F.col(key).alias("_key"),
+            F.spark_partition_id().alias("_part"),
+            F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"),
+        )
     )
-    rows = spark.read.parquet(path)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy("_part")
-        .agg(F.count("*").alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    )
-    return (
-        rows.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_before") + F.col("_at") + 1)
-        .drop("_part", "_at", "_before")
-    )
+    counts = dealt.groupBy("_part").agg(F.count("_key").alias("_n"))
+    offsets = counts.select("_part", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    joined = dealt.join(F.broadcast(offsets), "_part", "left")
+    told = F.when(F.col("_at") < F.col("_n"), F.col("_before") + F.col("_at") + 1)
+    number = F.coalesce(told, F.raise_error(F.lit("ranges were dealt twice")).cast("bigint"))
+    return df.join(joined.select(F.col("_key").alias(key), number.alias(name)), key)

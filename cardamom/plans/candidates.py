@@ -112,5 +112,5 @@ def report_order() -> list[Column]:
 
 def report(accepted: DataFrame) -> DataFrame:
     """The ranked report with its position numbers."""
-    ranked = number_rows(accepted, report_order())
+    ranked = number_rows(accepted, report_order(), key="seq")
     return ranked.select("position", "name", "phone", "score", "band")

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardamom import operators as op
+from cardamom.session import _MADE
 
 
 def test_semi_and_anti(spark, rows):
@@ -90,23 +91,52 @@ def test_numbering_matches_a_plain_sort(spark, n):
     rnd = random.Random(n)
     data = [(i, rnd.choice([0, 0, 0, 1, 2])) for i in range(n)]
     frame = spark.createDataFrame(data, "id int, score int").repartition(7)
-    numbered = op.number_rows(frame, [F.col("score").desc(), F.col("id")])
+    numbered = op.number_rows(frame, [F.col("score").desc(), F.col("id")], key="id")
     got = {r["id"]: r["position"] for r in numbered.collect()}
     want = sorted(data, key=lambda r: (-r[1], r[0]))
     assert got == {row[0]: i for i, row in enumerate(want, start=1)}
 
 
 def test_numbering_spreads_one_hot_value(spark):
-    """All rows share the leading sort value; the unique key still splits them."""
-    frame = spark.range(20000).withColumn("hot", F.lit(1)).repartition(8)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    """All rows share the leading sort value; the unique key still splits them.  No job runs and nothing is written first."""
+    frame = spark.range(20000).withColumn("hot", F.lit(1)).withColumn("payload", F.col("id") * 2).repartition(8)
+    sc, made = spark.sparkContext, len(_MADE)
+    sc.setJobGroup("plan", "plan")
+    numbered = op.number_rows(frame, [F.col("hot"), F.col("id")], key="id")
+    assert not sc.statusTracker().getJobIdsForGroup("plan") and len(_MADE) == made
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert numbered.filter((F.col("position") != F.col("id") + 1) | (F.col("payload") != F.col("id") * 2)).count() == 0
+    assert numbered.count() == 20000
+    numbered.collect()
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") >= 1 and "ReusedExchange" in plan
+    final = plan.split("== Initial Plan ==")[0]
+    dealt = [line for line in final.splitlines() if "Exchange rangepartitioning" in line and "Reused" not in line]
+    assert len(dealt) == 1 and "payload" not in dealt[0]
+
+
+def test_numbering_never_deals_ranges_twice(spark):
+    frame = spark.range(5000).withColumn("score", F.hash("id") % 50).repartition(6)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
     try:
-        numbered = op.number_rows(frame, [F.col("hot"), F.col("id")])
-        parts = [f for f in numbered.inputFiles() if "part-" in f]
+        numbered = op.number_rows(frame, [F.col("score").desc(), F.col("id")], key="id")
+        try:
+            got = numbered.select("id", "position").collect()
+        except Exception as e:
+            assert "dealt twice" in str(e)
+        else:
+            assert sorted(r["position"] for r in got) == list(range(1, 5001))
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(parts) > 1
-    assert numbered.filter(F.col("position") != F.col("id") + 1).count() == 0
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_literal_lookups_do_not_shuffle_the_table(spark, rows):
+    table = op.lookup_table(spark, [(1, "low", 1.5), (2, None, 2)], "code int, label string, f double")
+    assert rows(table) == [(1, "low", 1.5), (2, None, 2.0)] and table.schema.simpleString() == "struct<code:int,label:string,f:double>"
+    assert op.lookup_table(spark, [], "code int").count() == 0
+    facts = spark.range(1000).withColumn("code", (F.col("id") % 2 + 1).cast("int"))
+    plan = op.lookup(facts, table, "code")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "LocalTableScan" in plan
 
 
 def test_union_keeps_repeats(spark, rows):
