@@ -42,10 +42,16 @@ def exact_sum(c: Column | str, scale: int = SCALE) -> Column:
     fast as adding doubles.  Whole amounts are added up in two halves (above
     and below 2^16), fractions by themselves, and all are put together once per
     group.  That holds for more than 10^12 rows of the largest amount.
+
+    Decimals are cut into whole part and fraction as decimals, as a double has
+    only 15 digits.  The type is known only when the query is analysed; the
+    branch for the other one is then folded away.
     """
-    x = _finite(_col(c))
-    whole = F.floor(x)
-    part = F.rint((x - whole) * 10**scale).cast("bigint")
+    x, d = _finite(_col(c)), _col(c).cast(f"decimal(38,{scale})")
+    is_decimal = F.typeof(_col(c)).startswith("decimal")
+    whole = F.when(is_decimal, F.floor(d).cast("bigint")).otherwise(F.floor(x))
+    fraction = F.when(is_decimal, ((d - F.floor(d)) * 10**scale).cast("bigint"))
+    part = fraction.otherwise(F.rint((x - F.floor(x)) * 10**scale).cast("bigint"))
     high = F.sum(F.shiftright(whole, 16)).cast("decimal(20,0)")
     low = F.sum(whole.bitwiseAND(F.lit(0xFFFF))).cast("decimal(20,0)")
     total = (high * F.lit(1 << 16) + low).cast(f"decimal(38,{scale})")

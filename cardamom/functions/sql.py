@@ -14,8 +14,11 @@ def register_sql_functions(spark: SparkSession) -> None:
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION calculate_tax"
         "(base DOUBLE, rate DOUBLE, decimals INT) RETURNS DOUBLE "
-        # From 2^52 on a double has no decimals left to round.
+        # From 2^52 on a double has no decimals left to round.  The rest beyond the
+        # whole part is exact; adding a half to the product first would not be.
         "RETURN CASE WHEN abs(base * rate) * pow(10, decimals) < pow(2, 52) "
-        "THEN signum(base * rate) * floor(abs(base * rate) * pow(10, decimals) + 0.5) / pow(10, decimals) "
+        "THEN signum(base * rate) * (floor(abs(base * rate) * pow(10, decimals)) + CASE WHEN "
+        "abs(base * rate) * pow(10, decimals) - floor(abs(base * rate) * pow(10, decimals)) >= 0.5D "
+        "THEN 1 ELSE 0 END) / pow(10, decimals) "
         "WHEN decimals IS NOT NULL THEN base * rate END"
     )

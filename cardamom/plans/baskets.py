@@ -59,7 +59,12 @@ def _item_counts(tx: DataFrame, name: str) -> DataFrame:
 
 
 def sales_ranking(tx: DataFrame, products: DataFrame) -> DataFrame:
-    """Units sold per product, accepted transactions only, unsold products at 0.
+    """:func:`ranking_rows` in order, for showing or exporting."""
+    return ranking_rows(tx, products).orderBy(F.col("total_sold").desc(), "product_id")
+
+
+def ranking_rows(tx: DataFrame, products: DataFrame) -> DataFrame:
+    """Units sold per product, accepted transactions only, unsold products at 0; in no order.
 
     Counts the lists of the transactions; :func:`ranking_from_lines` counts rows.
     """
@@ -67,9 +72,7 @@ def sales_ranking(tx: DataFrame, products: DataFrame) -> DataFrame:
     ranked = left_with_default(
         listed, _item_counts(sold(tx), "total_sold"), "product_id", {"total_sold": 0}
     )
-    return ranked.select("product_id", "name", "price", "total_sold", "colour").orderBy(
-        F.col("total_sold").desc(), "product_id"
-    )
+    return ranked.select("product_id", "name", "price", "total_sold", "colour")
 
 
 def ranking_from_lines(lines: DataFrame, tx: DataFrame, products: DataFrame) -> DataFrame:

@@ -137,7 +137,8 @@ def build_lake(
     recent = store("silver", "transactions_recent", lake.redate_randomly(tx, as_of, seed=seed))
 
     out["v_marketing_kpis"] = publish_view(sales.marketing_view(tx, companies), "v_marketing_kpis")
-    store("gold", "product_sales_ranking", baskets.sales_ranking(tx, products))
+    # Stored rows have no order; whoever shows the ranking sorts it.
+    store("gold", "product_sales_ranking", baskets.ranking_rows(tx, products))
     store("gold", "transactions_flat", baskets.flat_sales(tx, products))
     fact_path = f"{target}/gold/fact_transactions"
     out["fact_transactions"] = write_partitioned_fact(recent, fact_path)

@@ -459,6 +459,15 @@ def all_oracles() -> dict[str, str]:
               SELECT * REPLACE (CASE WHEN user_id % 10 <> 3 THEN timestamp END AS timestamp) FROM ev)
             SELECT *, CAST(timestamp AS DATE) AS tr_date FROM lost
             WHERE timestamp IS NOT NULL OR NOT declined""",
+        "dml_delete_text_partition": """SELECT o_orderkey, o_totalprice,
+            CASE WHEN o_orderpriority = '5-LOW' THEN 'it''s x=y' WHEN o_totalprice < 100000 THEN 'new/one' ELSE '01' END AS k
+            FROM orders WHERE o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')""",
+        "vw3_null_day": f"""WITH {EV} SELECT CASE WHEN user_id % 10 <> 3 THEN CAST(timestamp AS DATE) END AS day,
+            {_sum('amount')} AS sales FROM ev
+            WHERE NOT declined AND (user_id % 10 <> 3 OR transaction_id % 3 <> 0) GROUP BY 1""",
+        "p06_large_decimals": """SELECT l_returnflag, CAST(CAST(sum(CAST(CAST(l_orderkey AS DECIMAL(18,0)) * 1000000007 AS DECIMAL(38,2))
+              + CAST(CAST(l_linenumber AS DECIMAL(18,2)) / 100 AS DECIMAL(18,2))) AS DECIMAL(34,6)) AS VARCHAR) AS total,
+            count(*) AS n FROM lineitem GROUP BY l_returnflag""",
         "vw3_after_delete": f"""WITH {EV} SELECT CAST(timestamp AS DATE) AS day,
             {_sum('amount')} AS sales FROM ev WHERE NOT declined AND day(timestamp) <> 3 GROUP BY 1""",
         "p21_subcent_days": f"""WITH {SUB} SELECT CAST(timestamp AS DATE) AS day, {_SUB_SUM} AS sales

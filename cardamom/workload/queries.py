@@ -601,6 +601,47 @@ def dml_delete_null_day(spark, sf):
     return spark.read.parquet(path)
 
 
+@query
+def dml_delete_text_partition(spark, sf):
+    """A table with a partition for each of some awkward texts: three of them, and the one without, lose all rows; one changes its text."""
+    names = F.create_map(*(F.lit(x) for x in ("1-URGENT", "a:b/c", "2-HIGH", "100%", "3-MEDIUM", "", "4-NOT SPECIFIED", "01", "5-LOW", "it's x=y")))
+    orders = roles.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", names[F.col("o_orderpriority")].alias("k"))
+    name = "cardamom_text_partitions"
+    src.create_partitioned_table(orders, name, "k", shared_dir(spark, "text_partitions"))
+    gone = F.col("k").isin("a:b/c", "100%") | F.col("k").isNull()
+    src.rewrite_table(spark, name, "k", gone, lambda df: op.delete_where(df, gone))
+    moved = (F.col("k") == "01") & (F.col("o_totalprice") < 100000)
+    src.rewrite_table(spark, name, "k", moved, lambda df: op.set_where(df, moved, {"k": "new/one"}))
+    return spark.table(name)
+
+
+@query
+def vw3_null_day(spark, sf):
+    """The daily table with a day for rows that have none: built, followed, and after a delete among those rows."""
+    tx = roles.events_as_transactions(spark, sf)
+    tx = tx.withColumn("timestamp", F.when(F.col("user_id") % 10 != 3, F.col("timestamp")))
+    fact_path, table_path, checkpoint = (shared_dir(spark, x) for x in ("fact", "daily", "follow"))
+    late = F.col("transaction_id") % 4 == 0
+    src.write_partitioned_fact(tx.filter(~late), fact_path)
+    start_after(spark, fact_path, checkpoint)
+    daily_table.build_daily_table(spark, fact_path, table_path)
+    src.write_partitioned_fact(tx.filter(late), fact_path, mode="append")
+    follow_fact_table(spark, fact_path, table_path, checkpoint).awaitTermination()
+    gone = F.col("tr_date").isNull() & (F.col("transaction_id") % 3 == 0)
+    touched = src.rewrite_partitions(spark, fact_path, "tr_date", gone, lambda df: op.delete_where(df, gone))
+    daily_table.refresh_daily_table(spark, fact_path, table_path, touched)
+    return timeseries.daily_report(daily_table.read_daily_table(spark, table_path))
+
+
+@query
+def p06_large_decimals(spark, sf):
+    """Sums of decimals with more digits than a double has."""
+    amount = (F.col("l_orderkey").cast("decimal(14,0)") * 1000000007 + F.col("l_linenumber") / F.lit(100).cast("decimal(3,0)")).cast("decimal(20,2)")
+    lines = roles.table(spark, sf, "lineitem").select("l_returnflag", amount.alias("amount"))
+    total = fn.exact_sum("amount").cast("string").alias("total")
+    return lines.groupBy("l_returnflag").agg(total, F.count("*").alias("n"))
+
+
 @query
 def vw3_after_delete(spark, sf):
     """The daily table after all rows of some days were deleted from the fact."""

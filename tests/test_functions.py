@@ -264,3 +264,15 @@ def test_score_counts_repeats_and_unknown(spark):
     items = F.array(F.lit("tos"), F.lit("tos"), F.lit("fiebre"), F.lit("otro"))
     assert one(spark, fn.score_items(items, scores)) == 5
     assert one(spark, fn.score_items(items, scores, default=10)) == 15
+
+
+def test_decimals_are_added_up_without_doubles(spark):
+    from decimal import Decimal
+
+    big = Decimal("12345678901234567.89")
+    rows = [(big, 1.25), (Decimal("-0.55"), 2.5), (None, None)] + [(Decimal("0.01"), 0.0)] * 3
+    frame = spark.createDataFrame(rows, "d decimal(20,2), x double")
+    got = frame.agg(fn.exact_sum("d").alias("d"), fn.exact_sum("x").alias("x"), fn.exact_sum(-F.col("d")).alias("m"), fn.exact_sum(F.col("d").cast("decimal(38,12)")).alias("w")).first()
+    assert got["d"] == big - Decimal("0.52") and got["x"] == Decimal("3.75") and got["m"] == Decimal("0.52") - big and got["w"] == got["d"]
+    assert frame.where("d is null").agg(fn.exact_sum("d")).first()[0] is None
+    assert spark.sql("SELECT 7 AS i").agg(fn.exact_sum("i")).first()[0] == 7

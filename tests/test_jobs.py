@@ -94,6 +94,10 @@ def test_lake(spark, files, tmp_path, rows):
         (2, 11, 9.99),
     ]
     assert rows(out["product_sales_ranking"], "product_id", "total_sold") == [(1, 2), (2, 2)]
+    plan = spark.read.parquet(str(tmp_path / "lake" / "gold" / "product_sales_ranking"))
+    assert plan.count() == 2
+    ordered = jobs.baskets.ranking_rows(out["transactions_clean"], out["products_clean"])
+    assert "rangepartitioning" not in ordered._jdf.queryExecution().executedPlan().toString()
     assert rows(out["v_marketing_kpis"], "company", "type") == [("Acme", "Standard")]
     assert out["transactions_flat"].count() == 6
     recent = out["transactions_recent"].agg(F.min("timestamp"), F.max("timestamp")).first()
@@ -134,6 +138,7 @@ def test_sql_tax_function(spark):
     row = spark.sql(
         "SELECT calculate_tax(903.50, 0.21, 2), calculate_tax(903.50, 0.21, 0), "
         "calculate_tax(NULL, 0.21, 2), calculate_tax(903.50, 0.21, NULL), calculate_tax(-12.5, 0.5, 1), "
-        "calculate_tax(0.0000004, 1, 9), calculate_tax(5e13, 2, 2), calculate_tax(1234, 1, -2)"
+        "calculate_tax(0.0000004, 1, 9), calculate_tax(5e13, 2, 2), calculate_tax(1234, 1, -2), "
+        "calculate_tax(0.49999999999999994D, 1, 0), calculate_tax(-0.5, 1, 0), calculate_tax(4503599627370495.5D, 1, 0)"
     ).first()
-    assert list(row) == [189.74, 190.0, None, None, -6.3, 4e-7, 1e14, 1200.0]
+    assert list(row) == [189.74, 190.0, None, None, -6.3, 4e-7, 1e14, 1200.0, 0.0, -1.0, 4503599627370496.0]
