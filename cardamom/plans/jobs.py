@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardamom.operators import lookup_table
 from cardamom.plans import baskets, customers, daily_table, lake, sales
 from cardamom.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
 from cardamom.sources import publish_view, read_csv, write_parquet, write_partitioned_fact
@@ -55,50 +57,98 @@ def load_star(spark: SparkSession, files: Files, target: str) -> dict[str, DataF
     return star
 
 
-def key_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows that break a declared key: one line per constraint, 0 where it holds.
+@dataclass(frozen=True)
+class _Constraint:
+    line: int
+    table: str
+    keys: tuple[str, ...]
+    parent: tuple[str, str] | None = None  # table and column, for a foreign key
 
-    Covers the primary keys (repeated and missing) and the foreign keys of
-    those registered tables that are given.  Each table is read once and emits
-    one row per constraint it takes part in; all constraints are then counted
-    by key in a single shuffle, where a hot key is one row per task.
+    def rows(self, tables: Mapping[str, DataFrame]) -> list[tuple[str, list[str], bool]]:
+        """(table, key columns, whether its rows own the key) for each table that the constraint looks at."""
+        mine = [(self.table, list(self.keys), self.parent is None)]
+        return mine + ([(self.parent[0], [self.parent[1]], True)] if self.parent else [])
+
+
+def _declared(tables: Mapping[str, DataFrame]) -> list[_Constraint]:
+    found = [(t, tuple(k), None) for t, k in PRIMARY_KEYS.items() if t in tables]
+    found += [(c, (k,), (p, pk)) for c, k, p, pk in FOREIGN_KEYS if c in tables and p in tables]
+    return [_Constraint(i, *x) for i, x in enumerate(found)]
+
+
+def _number(texts: Sequence[Column]) -> Column:
+    return F.xxhash64(*texts)
+
+
+def _violations(tables: Mapping[str, DataFrame], constraints: Sequence[_Constraint], full: bool) -> DataFrame:
+    """By line: keys ``repeated``, ``missing`` and ``orphaned``, and groups of rows that ``clash``.
+
+    A key travels as one number, its 64-bit hash, or with ``full`` as its text.
+    A second hash tells groups in which different keys share the first.
     """
-    lines, passes = [], {}
-    for table, keys in PRIMARY_KEYS.items():
-        if table in tables:
-            key = F.to_json(F.struct(*[F.col(k).cast("string") for k in keys]))
-            missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-            own = F.struct(F.lit(len(lines)).alias("line"), F.when(~missing, key).alias("key"), F.lit(True).alias("own"))
-            passes.setdefault(table, []).append(own)
-            lines += [(table, "repeated", keys), (table, "missing", keys)]
-    for child, column, parent, parent_key in FOREIGN_KEYS:
-        if child in tables and parent in tables:
-            for table, name, own in ((parent, parent_key, True), (child, column, False)):
-                row = F.struct(F.lit(len(lines)).alias("line"), F.col(name).cast("string").alias("key"), F.lit(own).alias("own"))
-                passes.setdefault(table, []).append(row)
-            lines.append((child, f"not in {parent}", [column]))
-    rows = [tables[t].select(F.explode(F.array(*made)).alias("r")).select("r.*") for t, made in passes.items()]
+    passes: dict[str, list] = {}
+    for c in constraints:
+        for table, columns, own in c.rows(tables):
+            texts = [F.col(k).cast("string") for k in columns]
+            there = reduce(lambda a, b: a & b, [x.isNotNull() for x in texts])
+            key = F.to_json(F.struct(*texts)) if full else _number(texts)
+            # A foreign key that is NULL refers to nothing, on either side.
+            wanted = F.lit(True) if own and c.parent is None else there
+            row = F.struct(
+                F.lit(c.line).cast("short").alias("line"),
+                F.when(there, key).alias("key"),
+                F.when(there, F.xxhash64(F.lit("second"), *texts)).alias("second"),
+                F.lit(own).alias("own"),
+            )
+            passes.setdefault(table, []).append(F.when(wanted, row))
+    rows = [tables[t].select(F.explode(F.array_compact(F.array(*made))).alias("r")).select("r.*") for t, made in passes.items()]
     counts = (
         reduce(DataFrame.unionAll, rows)
         .groupBy("line", "key")
-        .agg(F.count_if("own").alias("owners"), F.count_if(~F.col("own")).alias("children"))
+        .agg(
+            F.count_if("own").alias("owners"),
+            F.count_if(~F.col("own")).alias("children"),
+            F.min("second").alias("least"),
+            F.max("second").alias("most"),
+        )
     )
-    there = F.col("key").isNotNull()
-    found = counts.groupBy("line").agg(
-        F.sum(F.when(there, F.col("owners") - 1).otherwise(0)).alias("repeated"),
+    there, alike = F.col("key").isNotNull(), F.col("least") == F.col("most")
+    return counts.groupBy("line").agg(
+        F.sum(F.when(there, F.greatest(F.col("owners") - 1, F.lit(0))).otherwise(0)).alias("repeated"),
         F.sum(F.when(there, 0).otherwise(F.col("owners"))).alias("missing"),
         F.sum(F.when(there & (F.col("owners") == 0), F.col("children")).otherwise(0)).alias("orphaned"),
+        F.count_if(there & ~alike).alias("clash"),
     )
-    spark = counts.sparkSession
-    declared = spark.createDataFrame(
-        [
-            (i - (check == "missing"), check if check in ("repeated", "missing") else "orphaned", table, check, ", ".join(keys))
-            for i, (table, check, keys) in enumerate(lines)
-        ],
-        "line int, kind string, table_name string, check string, key string",
-    )
-    n = F.when(F.col("kind") == "repeated", F.col("repeated")).when(F.col("kind") == "missing", F.col("missing")).otherwise(F.col("orphaned"))
-    return declared.join(found, "line", "left").select("table_name", "check", "key", F.coalesce(n, F.lit(0)).cast("bigint").alias("n_bad"))
+
+
+def key_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows that break a declared key: one line per constraint, 0 where it holds.
+
+    Covers the primary keys (repeated and missing) and the foreign keys of
+    those registered tables that are given.  Each table is read once and emits
+    a number for each constraint it takes part in; all constraints are counted
+    by these numbers in a single shuffle, where a hot key is one row per task.
+    Constraints in which two different keys share a number, which 64 bits make
+    next to impossible, are counted again by the keys themselves.  The counts,
+    a row for each constraint, come to the driver.
+    """
+    constraints = _declared(tables)
+    if not constraints:
+        raise ValueError("no registered table given")
+    spark = next(iter(tables.values())).sparkSession
+    found = {r["line"]: r for r in _violations(tables, constraints, full=False).collect()}
+    again = [c for c in constraints if c.line in found and found[c.line]["clash"]]
+    if again:
+        found |= {r["line"]: r for r in _violations(tables, again, full=True).collect()}
+    out = []
+    for c in constraints:
+        n = found[c.line].asDict() if c.line in found else dict.fromkeys(("repeated", "missing", "orphaned"), 0)
+        key = ", ".join(c.keys)
+        if c.parent:
+            out.append((c.table, f"not in {c.parent[0]}", key, n["orphaned"]))
+        else:
+            out += [(c.table, "repeated", key, n["repeated"]), (c.table, "missing", key, n["missing"])]
+    return lookup_table(spark, out, "table_name string, check string, key string, n_bad bigint")
 
 
 def build_lake(

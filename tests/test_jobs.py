@@ -81,6 +81,52 @@ def test_star(spark, files, tmp_path, rows):
     assert len(report) == 7 * 2 + 6
 
 
+def key_tables(spark):
+    """Tables that break every kind of key, with hot keys, NULLs and keys that look alike as texts."""
+    users = [(str(i),) for i in range(40)] + [("7",)] * 200 + [(None,)] * 3
+    products = [(i,) for i in range(30)] + [(5,)]
+    facts = [(f"t{i}", "b1", "c1", str(i % 45)) for i in range(100)] + [("t1", None, None, "99")] * 2 + [(None, "b1", "c1", None)]
+    items = [(f"t{i}", i % 33) for i in range(60)] + [("t1", 1)] * 3 + [("t1,1", 1), (None, 4), ("t5", None)]
+    return {
+        "dim_users": spark.createDataFrame(users, "id string"),
+        "dim_products": spark.createDataFrame(products, "id int"),
+        "fact_transactions": spark.createDataFrame(facts, "id string, company_id string, card_id string, user_id string"),
+        "transaction_products": spark.createDataFrame(items, "transaction_id string, product_id int"),
+    }
+
+
+BROKEN = {
+    ("dim_users", "repeated", "id"): 200,
+    ("dim_users", "missing", "id"): 3,
+    ("dim_products", "repeated", "id"): 1,
+    ("fact_transactions", "repeated", "id"): 2,
+    ("fact_transactions", "missing", "id"): 1,
+    ("fact_transactions", "not in dim_users", "user_id"): 12,  # 40 to 44, twice each, and 99 twice
+    ("transaction_products", "repeated", "transaction_id, product_id"): 3,
+    ("transaction_products", "missing", "transaction_id, product_id"): 2,
+    ("transaction_products", "not in fact_transactions", "transaction_id"): 1,
+    ("transaction_products", "not in dim_products", "product_id"): 3,
+}
+
+
+@pytest.mark.parametrize("numbers", [None, 5, 1])
+def test_key_report_does_not_rest_on_hashes(spark, rows, monkeypatch, numbers):
+    if numbers:  # many keys share a number, as 64 bits would let hardly any
+        monkeypatch.setattr(jobs, "_number", lambda texts: F.pmod(F.xxhash64(*texts), F.lit(numbers)))
+    report = {(t, c, k): n for t, c, k, n in rows(jobs.key_report(key_tables(spark)))}
+    assert {k: n for k, n in report.items() if n} == BROKEN and len(report) == 4 * 2 + 3
+
+
+def test_key_report_counts_in_one_shuffle(spark):
+    tables = key_tables(spark)
+    counted = jobs._violations(tables, jobs._declared(tables), full=False)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # by line and number, then the few rows by line
+    assert "to_json" not in plan
+    with pytest.raises(ValueError):
+        jobs.key_report({"unknown": tables["dim_users"]})
+
+
 def test_lake(spark, files, tmp_path, rows):
     as_of = dt.datetime(2024, 3, 1)
     lake_files = dict(files)
