@@ -17,22 +17,29 @@ from pyspark.sql import functions as F
 from cardamom.operators import lookup_table
 from cardamom.plans import baskets, customers, daily_table, lake, sales
 from cardamom.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
-from cardamom.sources import publish_view, read_csv, write_parquet, write_partitioned_fact
+from cardamom.sources import publish_view, read_csv, read_csv_lines, write_parquet, write_partitioned_fact
 
 Files = Mapping[str, str | Sequence[str]]
 
 
-def load_star(spark: SparkSession, files: Files, target: str) -> dict[str, DataFrame]:
+def load_star(spark: SparkSession, files: Files, target: str, keep_bad_lines: bool = False) -> dict[str, DataFrame]:
     """Raw CSV files to the star schema under ``target``.
 
     ``files`` names the staging inputs ``users`` (one or more files),
     ``companies``, ``credit_cards``, ``products`` and ``transactions``, the
     last one separated by semicolons.  A basket whose list text is malformed
-    has no bridge rows; it is in ``rejected_baskets`` with its text.
+    has no bridge rows; it is in ``rejected_baskets`` with its text.  A line
+    that does not fit its declared columns stops the load, or with
+    ``keep_bad_lines`` goes to ``rejected_lines`` with its input and file.
     """
+    bad_lines: list[DataFrame] = []
 
     def staged(name: str, sep: str = ",") -> DataFrame:
-        return read_csv(spark, files[name], f"staging_{name}", sep)
+        if not keep_bad_lines:
+            return read_csv(spark, files[name], f"staging_{name}", sep)
+        rows, bad = read_csv_lines(spark, files[name], f"staging_{name}", sep)
+        bad_lines.append(bad.select(F.lit(name).alias("input"), "file", "line"))
+        return rows
 
     def store(name: str, df: DataFrame) -> DataFrame:
         return write_parquet(df, f"{target}/{name}")
@@ -54,6 +61,8 @@ def load_star(spark: SparkSession, files: Files, target: str) -> dict[str, DataF
     star["transaction_products"] = store("transaction_products", bridge)
     star["rejected_baskets"] = store("rejected_baskets", baskets.malformed_lists(fact))
     star["card_status"] = store("card_status", status)
+    if keep_bad_lines:
+        star["rejected_lines"] = store("rejected_lines", reduce(DataFrame.unionAll, bad_lines))
     return star
 
 

@@ -10,7 +10,9 @@ from cardamom.sources.partitions import (
     rewrite_table,
 )
 from cardamom.sources.readers import (
+    infer_csv_schema,
     read_csv,
+    read_csv_lines,
     read_export,
     read_json_documents,
     read_pipe_lines,
@@ -40,10 +42,12 @@ __all__ = [
     "export_csv",
     "external_csv_table",
     "finish_rewrite",
+    "infer_csv_schema",
     "of_partitions",
     "overwrite_partitions",
     "publish_view",
     "read_csv",
+    "read_csv_lines",
     "read_export",
     "read_json_documents",
     "read_partitioned",

@@ -35,8 +35,10 @@ def _spec(by: str, value: Any) -> str:
     return f"PARTITION (`{by}` = {_literal(value)})"
 
 
-def _columns(schema: StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+def columns_ddl(schema: StructType) -> str:
+    """Names and types as SQL declares them."""
+    quoted = ((f.name.replace("`", "``"), f.dataType.simpleString()) for f in schema.fields)
+    return ", ".join(f"`{name}` {kind}" for name, kind in quoted)
 
 
 def create_partitioned_table(df: DataFrame, table: str, by: str, path: str | None = None) -> DataFrame:
@@ -57,7 +59,7 @@ def as_table(spark: SparkSession, path: str, by: str, schema: StructType | None
     """
     schema = schema or spark.read.parquet(path).schema
     name = f"cardamom_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE TABLE {name} ({_columns(schema)}) USING parquet PARTITIONED BY (`{by}`) LOCATION '{_literal(path)[1:-1]}'")
+    spark.sql(f"CREATE TABLE {name} ({columns_ddl(schema)}) USING parquet PARTITIONED BY (`{by}`) LOCATION '{_literal(path)[1:-1]}'")
     try:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         yield name

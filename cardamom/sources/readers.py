@@ -5,12 +5,27 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cardamom.functions import trim_space
 from cardamom.schemas import SCHEMAS
+from cardamom.session import scratch
+from cardamom.sources.inference import type_flags, typed, types_from
+
+
+# A quote inside a quoted value is written twice, so it is its own escape.
+_QUOTES = {"quote": '"', "escape": '"'}
+BAD_LINE = "_bad_line"
+
+
+def _csv(spark: SparkSession, sep: str, header: bool) -> DataFrameReader:
+    return spark.read.option("header", header).option("sep", sep).options(**_QUOTES)
+
+
+def _paths(paths: str | Sequence[str]) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
 
 
 def read_csv(
@@ -21,18 +36,52 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header row; several files are read as one table.
 
-    ``schema`` may be a name from :data:`SCHEMAS`.  Without one Spark infers
-    the types, which costs a second pass over the files, so large inputs
-    should declare it.  A declared type that does not fit fails the job.
+    ``schema`` may be a name from :data:`SCHEMAS`; a declared type that does not
+    fit fails the job (:func:`read_csv_lines` keeps such lines apart).  Without
+    one the types are found from all values: the files are read once, into a
+    columnar copy in the shared folder, and the types are observed on the way.
     """
-    # A quote inside a quoted value is written twice, so it is its own escape.
-    quotes = {"quote": '"', "escape": '"'}
-    reader = spark.read.option("header", True).option("sep", sep).options(**quotes)
-    paths = [paths] if isinstance(paths, str) else list(paths)
     if schema is None:
-        return reader.option("inferSchema", True).csv(paths)
-    schema = SCHEMAS[schema] if isinstance(schema, str) and schema in SCHEMAS else schema
-    return reader.option("mode", "FAILFAST").schema(schema).csv(paths)
+        texts = _csv(spark, sep, header=True).csv(_paths(paths))
+        seen = Observation("types")
+        copy = scratch(texts.observe(seen, *type_flags(texts)), "texts")
+        return typed(copy, types_from(seen.get, texts.columns))
+    return _csv(spark, sep, header=True).option("mode", "FAILFAST").schema(_named(schema)).csv(_paths(paths))
+
+
+def _named(schema: str | StructType) -> StructType:
+    if isinstance(schema, StructType):
+        return schema
+    return SCHEMAS[schema] if schema in SCHEMAS else StructType.fromDDL(schema)
+
+
+def infer_csv_schema(spark: SparkSession, paths: str | Sequence[str], sep: str = ",") -> StructType:
+    """The types of CSV files, from one pass over all of them."""
+    texts = _csv(spark, sep, header=True).csv(_paths(paths))
+    return types_from(texts.agg(*type_flags(texts)).first().asDict(), texts.columns)
+
+
+def read_csv_lines(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: str | StructType,
+    sep: str = ",",
+    header: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected): a bad line does not stop the load, and is not lost either.
+
+    A line is bad if it has too few or too many values, or one that does not fit
+    its declared type.  ``rejected`` has the ``file`` and the ``line`` as it is
+    there.  The files are read once, into a copy in the shared folder that both
+    tables come from, so they always belong together.
+    """
+    wanted = _named(schema)
+    full = StructType([*wanted.fields, StructField(BAD_LINE, StringType())])
+    reader = _csv(spark, sep, header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE)
+    read = reader.schema(full).csv(_paths(paths))
+    copy = scratch(read.select("*", F.col("_metadata.file_path").alias("_file")), "lines")
+    rows = copy.filter(F.col(BAD_LINE).isNull()).select(*(F.col(f"`{x}`") for x in wanted.names))
+    return rows, copy.filter(F.col(BAD_LINE).isNotNull()).select(F.col("_file").alias("file"), F.col(BAD_LINE).alias("line"))
 
 
 def read_export(

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cardamom.session import drop_scratch, shared_dir
+from cardamom.sources.partitions import columns_ddl
+from cardamom.sources.readers import infer_csv_schema
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
@@ -132,8 +134,16 @@ def move_part(spark: SparkSession, folder: str, target: str) -> None:
     )
 
 
-def external_csv_table(spark: SparkSession, table: str, path: str, schema: str, sep: str = ",") -> DataFrame:
-    """A catalog table over CSV files that stay where they are; dropping it leaves them."""
+def external_csv_table(spark: SparkSession, table: str, path: str, schema: str | StructType | None = None, sep: str = ",") -> DataFrame:
+    """A catalog table over CSV files that stay where they are; dropping it leaves them.
+
+    Without a ``schema`` the types are found from all values, in one pass over
+    the files, and declared.
+    """
+    if schema is None:
+        schema = infer_csv_schema(spark, path, sep)
+    if isinstance(schema, StructType):
+        schema = columns_ddl(schema)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     options = f"header 'true', sep '{sep}', quote '\"', escape '\"', mode 'FAILFAST'"
     spark.sql(f"CREATE TABLE {table} ({schema}) USING csv OPTIONS ({options}) LOCATION '{path}'")

@@ -543,6 +543,14 @@ def all_oracles() -> dict[str, str]:
         "src4_csv_inferred": "SELECT * FROM part",
         "src5_csv_declared": f"""WITH {CO} SELECT CAST(company_id AS VARCHAR) AS company_id,
             company_name, phone, email, country, website FROM co""",
+        "src1_lines_kept": """SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation FROM customer
+            WHERE c_custkey % 7 NOT IN (1, 2, 3)""",
+        "src1_rejected_lines": """SELECT CASE c_custkey % 7 WHEN 1 THEN c_custkey || ',' || c_name
+              WHEN 2 THEN c_custkey || ',' || c_name || ',' || c_nationkey || ',more'
+              ELSE 'none,' || c_name || ',' || c_nationkey END AS line
+            FROM customer WHERE c_custkey % 7 IN (1, 2, 3)""",
+        "src4_external_inferred": """SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_day, o_orderstatus,
+            o_custkey * 10000000000 AS o_long, 'int, double, date, string, bigint' AS kinds FROM orders""",
         "src6_json_documents": """SELECT 'id' || c_custkey AS session_id, c_name AS user_id
             FROM customer""",
         "src8_pipe_lines": f"""WITH {LINES} SELECT name, CAST(p_size AS VARCHAR) AS age_text,

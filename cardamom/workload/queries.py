@@ -870,6 +870,43 @@ def src6_json_documents(spark, sf):
     return src.read_json_documents(spark, path)
 
 
+def _lines_with_bad_ones(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Customers as CSV lines, some of which are cut short, too long, or have a word for a number."""
+    customer = roles.table(spark, sf, "customer")
+    plain = F.concat_ws(",", "c_custkey", "c_name", "c_nationkey")
+    line = (
+        F.when(F.col("c_custkey") % 7 == 1, F.concat_ws(",", "c_custkey", "c_name"))
+        .when(F.col("c_custkey") % 7 == 2, F.concat_ws(",", plain, F.lit("more")))
+        .when(F.col("c_custkey") % 7 == 3, F.concat_ws(",", F.lit("none"), "c_name", "c_nationkey"))
+        .otherwise(plain)
+    )
+    path = shared_dir(spark, "bad_lines")
+    customer.select(line.alias("value")).write.text(path)
+    return src.read_csv_lines(spark, path, "id bigint, name string, nation int", header=False)
+
+
+@query
+def src1_lines_kept(spark, sf):
+    """Rows of a load in which some lines do not fit."""
+    return _lines_with_bad_ones(spark, sf)[0]
+
+
+@query
+def src1_rejected_lines(spark, sf):
+    """The lines that did not fit, as they are in their file."""
+    return _lines_with_bad_ones(spark, sf)[1].select("line")
+
+
+@query
+def src4_external_inferred(spark, sf):
+    """A catalog table over CSV files, with the types that their values have."""
+    orders = roles.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("o_day"), "o_orderstatus", (F.col("o_custkey") * 10_000_000_000).alias("o_long"))
+    path = _csv_copy(orders, "inferred")
+    table = src.external_csv_table(spark, "cardamom_inferred", path)
+    kinds = F.lit(", ".join(f.dataType.simpleString() for f in table.schema.fields))
+    return table.withColumn("kinds", kinds)
+
+
 @query
 def src7_tsv_league(spark, sf):
     path = _csv_copy(roles.matches(spark, sf), "matches", sep="\t", header=False)

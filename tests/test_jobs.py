@@ -81,6 +81,17 @@ def test_star(spark, files, tmp_path, rows):
     assert len(report) == 7 * 2 + 6
 
 
+def test_star_keeps_bad_lines_apart(spark, files, tmp_path, rows):
+    for name in ("transactions", "products"):
+        with open(files[name], "a", encoding="utf-8") as f:
+            f.write("only;one\n" if name == "transactions" else "x\n")
+    with pytest.raises(Exception):
+        jobs.load_star(spark, files, str(tmp_path / "strict"))
+    star = jobs.load_star(spark, files, str(tmp_path / "star"), keep_bad_lines=True)
+    assert rows(star["rejected_lines"], "input", "line") == [("products", "x"), ("transactions", "only;one")]
+    assert star["fact_transactions"].count() == len(TX) and star["dim_products"].count() == 2
+
+
 def key_tables(spark):
     """Tables that break every kind of key, with hot keys, NULLs and keys that look alike as texts."""
     users = [(str(i),) for i in range(40)] + [("7",)] * 200 + [(None,)] * 3

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from cardamom import sources as src
 from cardamom.operators import chunk_records
 from cardamom.plans import candidates, league, scoring
 from cardamom.sources import read_tsv_matches
@@ -229,3 +230,61 @@ def test_bad_results_fail(spark, result):
     frame = spark.createDataFrame([("a", result, "b")], "home string, result string, away string")
     with pytest.raises(Exception, match="not a result|CAST_INVALID_INPUT"):
         league.league_table(frame).collect()
+
+
+INFERRED = {
+    "ints": ["1", "-2", "+3", "", "007"],
+    "longs": ["1", "3000000000", "-5", "", "2"],
+    "wide": ["1", "123456789012345678901", "-7", "", "9"],
+    "doubles": ["1", "2.5", "1e3", "", "NaN"],
+    "padded": [" 1", "2", "3", "", "4"],
+    "days": ["2024-01-31", "2023-02-01", "", "1999-12-31", "2020-02-29"],
+    "bad_days": ["2024-02-30", "2023-02-01", "", "x", "2020-02-29"],
+    "moments": ["2024-01-31 10:00:00", "2023-02-01T11:12:13", "", "2020-01-01 00:00:00.5", "2021-05-05 01:02:03"],
+    "mixed": ["2024-01-31 10:00:00", "2023-02-01", "", "2020-01-01", "2021-05-05"],
+    "flags": ["true", "FALSE", "", "True", "false"],
+    "flag_or_int": ["true", "1", "", "0", "false"],
+    "texts": ["a", "1", "", "x, y", 'quo"te'],
+    "nothing": ["", "", "", "", ""],
+    "day_or_int": ["2024-01-31", "5", "", "6", "7"],
+}
+
+
+def test_types_are_found_in_one_pass_as_spark_infers_them(spark, tmp_path, monkeypatch):
+    import csv
+
+    path = tmp_path / "all.csv"
+    with path.open("w", newline="", encoding="utf-8") as f:
+        writer = csv.writer(f)
+        writer.writerow(INFERRED)
+        writer.writerows(zip(*INFERRED.values()))
+    own = src.read_csv(spark, str(path))
+    options = {"header": True, "quote": '"', "escape": '"', "inferSchema": True}
+    sparks = spark.read.options(**options).csv(str(path))
+    assert own.dtypes == sparks.dtypes
+    assert repr(own.collect()) == repr(sparks.collect())
+    assert src.infer_csv_schema(spark, str(path)).names == list(INFERRED)
+    assert [f.dataType for f in src.infer_csv_schema(spark, str(path))] == [f.dataType for f in sparks.schema]
+    # The files are not looked at again.
+    path.write_text("gone\n")
+    assert own.count() == 5
+    empty = tmp_path / "empty.csv"
+    empty.write_text("a,b.c,`d\n")
+    assert src.read_csv(spark, str(empty)).dtypes == [("a", "string"), ("b.c", "string"), ("`d", "string")]
+    table = src.external_csv_table(spark, "inferred_test", str(tmp_path / "empty.csv"))
+    assert table.count() == 0
+    spark.sql("DROP TABLE inferred_test")
+
+
+def test_bad_lines_are_kept_apart(spark, tmp_path, rows):
+    good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
+    good.write_text("id,name,x\n1,a,2.5\n2,\"b, c\",\n", encoding="utf-8")
+    bad.write_text("id,name,x\n3,a\n4,a,1,2\nfive,a,1\n6,a,much\n7,é,1\n", encoding="utf-8")
+    kept, rejected = src.read_csv_lines(spark, [str(good), str(bad)], "id int, name string, x double")
+    assert rows(kept) == [(1, "a", 2.5), (2, "b, c", None), (7, "é", 1.0)]
+    assert rows(rejected, "line") == [("3,a",), ("4,a,1,2",), ("6,a,much",), ("five,a,1",)]
+    assert {r.file.rsplit("/", 1)[1] for r in rejected.collect()} == {"bad.csv"}
+    with pytest.raises(Exception):  # strict mode is still there
+        src.read_csv(spark, [str(good), str(bad)], "id int, name string, x double").collect()
+    kept, rejected = src.read_csv_lines(spark, str(good), "id int, name string, x double")
+    assert kept.count() == 2 and rejected.isEmpty()
