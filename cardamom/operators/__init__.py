@@ -9,6 +9,7 @@ from cardamom.operators.aggregates import (
 from cardamom.operators.joins import (
     keep_matching,
     keep_unmatched,
+    left_join_unique,
     left_with_default,
     lookup,
     lookup_table,
@@ -56,6 +57,7 @@ __all__ = [
     "keep_unmatched",
     "key_counts",
     "last_value_row",
+    "left_join_unique",
     "left_with_default",
     "lookup",
     "lookup_table",

@@ -97,3 +97,36 @@ def lookup(
     # A filter, which is evaluated whatever columns are read later.
     ok = F.when(F.col("_found"), True).otherwise(F.raise_error(message).cast("boolean"))
     return joined.filter(ok).drop("_found")
+
+
+def left_join_unique(left: DataFrame, right: DataFrame, on: str, most: int = 100) -> DataFrame:
+    """Left join with a table whose key ``on`` is unique, whatever share of the rows a key has.
+
+    A sketch of the frequent keys of ``left``, merged from the tasks' sketches,
+    names the keys with more than one in ``most`` of the rows; there are fewer
+    than ``most`` of them.  These meet their rows of ``right`` in a broadcast
+    of at most that many rows.  All other rows are joined as Spark sees fit; if
+    that is through a shuffle, rows that are done already, or whose key is
+    NULL, are dealt by all their columns and meet nothing.  So no session
+    setting is needed to split a hot key.  Which keys the sketch names decides
+    where rows are joined, not what they are joined with.
+    """
+    kept = [c for c in right.columns if c != on]
+    key = F.col(on)
+    counted = left.select(on).agg(
+        F.expr(f"approx_top_k(`{on}`, {most}, {100 * most})").alias("top"), F.count(on).alias("total")
+    )
+    heavy = counted.select(F.explode("top").alias("item"), "total").where(F.col("item.count") * most > F.col("total"))
+    heavy = heavy.select(F.col("item.item").alias(on)).where(key.isNotNull())
+    fields = [F.col(f"`{c}`") for c in kept]
+    found = right.select(F.struct(*fields).alias("_hot_row"), on).join(F.broadcast(heavy), on, "left_semi")
+    done = heavy.join(F.broadcast(found), on, "left").withColumn("_hot", F.lit(True))
+    marked = left.join(F.broadcast(done), on, "left")
+    apart = F.col("_hot").isNotNull() | key.isNull()
+    spread = F.when(apart, F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in left.columns)), F.lit(1 << 20)) + 1).otherwise(0)
+    # Always 0, but not as a literal: that would be taken out of the join's keys.
+    zero = F.pmod(F.xxhash64(on), F.lit(1))
+    others = right.select(on, F.struct(*fields).alias("_row"), zero.alias("_spread"))
+    joined = marked.withColumn("_spread", spread).join(others, [on, "_spread"], "left")
+    row = F.when(F.col("_hot"), F.col("_hot_row")).otherwise(F.col("_row"))
+    return joined.select(*(F.col(f"`{c}`") for c in left.columns), *(row[c].alias(c) for c in kept))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardamom.functions import calculate_tax, is_int_list, json_items, money
-from cardamom.operators import keep_matching, left_with_default, top_k
+from cardamom.operators import keep_matching, left_join_unique, left_with_default, top_k
 from cardamom.plans.sales import sold
 
 
@@ -95,8 +95,8 @@ def flat_sales(tx: DataFrame, products: DataFrame, tax_rate: str = "0.21") -> Da
     """Every basket item with its transaction and product, price with tax.
 
     Unknown products keep their row with NULL product columns; declined
-    transactions are included.  The join is a left join on the fact side, so
-    AQE may split a hot product into several tasks.
+    transactions are included.  A product that a large share of the baskets
+    hold is joined apart from the others (:func:`left_join_unique`).
     """
     dim = products.select(
         "product_id",
@@ -107,8 +107,7 @@ def flat_sales(tx: DataFrame, products: DataFrame, tax_rate: str = "0.21") -> Da
     price = money("product_price")
     tax = calculate_tax(price, F.lit(Decimal(tax_rate)), 2)
     return (
-        basket_items(tx)
-        .join(dim, "product_id", "left")
+        left_join_unique(basket_items(tx), dim, "product_id")
         .withColumn("product_price_tax_inc", (price + tax).cast("double"))
         .drop("product_id")
     )

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from cardamom import operators as op
 from cardamom.plans import baskets, customers, league, sales
 
 N = 6000
@@ -84,17 +85,37 @@ def test_hot_product_ranking(spark, tx, rows):
     assert {p: n for p, n in rows(ranking, "product_id", "total_sold")} == {p: counts[p] for p in range(40)}
 
 
-def test_hot_product_in_the_flat_join(spark, tx):
-    """The flat join keeps every row, and AQE does split the hot product."""
+@pytest.mark.parametrize("broadcast", ["-1", "10485760"])
+def test_hot_product_in_the_flat_join(spark, tx, broadcast):
+    """The flat join keeps every row and splits the hot product, without any help of the session."""
     products = spark.createDataFrame([(i, f"p{i}", 1.0, "#0") for i in range(40)], "product_id bigint, name string, price double, colour string")
-    flat = baskets.flat_sales(tx, products)
-    by_sku = {r["product_sku"]: r["n"] for r in flat.groupBy("product_sku").agg(F.count("*").alias("n")).collect()}
+    settings = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": broadcast, "spark.sql.adaptive.autoBroadcastJoinThreshold": broadcast}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        flat = baskets.flat_sales(tx, products).withColumn("task", F.spark_partition_id())
+        rows = flat.select("transaction_id", "product_sku", "task").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     counts = Counter(p if p < 40 else None for r in DATA for p in r[7])
-    assert by_sku == dict(counts)
-    flat.write.format("noop").mode("overwrite").save()
-    frame = flat.select("transaction_id", "product_sku")
-    frame.collect()
-    assert "skewed" in frame._jdf.queryExecution().executedPlan().toString()
+    assert Counter(r["product_sku"] for r in rows) == counts and max(counts.values()) > len(rows) / 5
+    assert Counter(r["transaction_id"] for r in rows) == {i: 2 for i in range(N)}
+    # The rows of the hot product, and those without one, are in all tasks in like numbers.
+    for sku in (0, None):
+        tasks = Counter(r["task"] for r in rows if r["product_sku"] == sku)
+        assert len(tasks) >= 4 and max(tasks.values()) < 1.6 * counts[sku] / len(tasks)
+
+
+def test_hot_and_missing_keys_of_a_left_join(spark, rows):
+    left = spark.createDataFrame([(i, None if i % 4 == 1 else "hot" if i % 4 == 2 else "gone" if i % 4 == 3 else f"k{i % 9}") for i in range(2000)], "id int, k string")
+    right = spark.createDataFrame([("hot", 1, None), ("k0", None, "a"), ("k4", 4, "b")], "k string, n int, `a.b` string")
+    got = op.left_join_unique(left, right, "k")
+    assert got.columns == ["id", "k", "n", "a.b"]
+    want = {"hot": (1, None), "k0": (None, "a"), "k4": (4, "b")}
+    assert rows(got) == sorted(((i, k, *want.get(k, (None, None))) for i, k in rows(left)), key=repr)
+    assert op.left_join_unique(left.where("false"), right, "k").isEmpty() and op.left_join_unique(left, right.where("false"), "k").count() == 2000
 
 
 def test_hot_team(spark, rows):
