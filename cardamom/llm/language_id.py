@@ -144,15 +144,14 @@ def fit_languages(
     text_col: str = "text",
     lang_col: str = "lang",
     fit_rows: int = 5_000,
-    grams: int = 50_000,
     share: float = 0.5,
 ) -> LanguageModel:
     """Learn filters from rows that are not held out and have a language.
 
     About ``fit_rows`` rows of each language are used, chosen by a hash of the
     id.  A language has an n-gram if it occurs three times or more, and at
-    least ``share`` times as often as in the language where it is commonest;
-    of those it keeps its ``grams`` commonest.
+    least ``share`` times as often as in the language where it is commonest.
+    All such n-grams are kept; their number is bounded by ``fit_rows``.
     """
     rows = docs.select(column(docs, id_col).alias("id"), column(docs, text_col).alias("text"), column(docs, lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
@@ -170,7 +169,7 @@ def fit_languages(
     most = rated.groupBy("gram").agg(F.max("rate").alias("most"))
     own = rated.join(most, "gram").where((F.col("n") >= 3) & (F.col("rate") >= share * F.col("most")))
     kept = {
-        name: np.sort(own.where(F.col("lang") == name).orderBy(F.desc("n"), "gram").limit(grams).select("gram").toArrow().column("gram").to_numpy()).astype(np.uint32)
+        name: np.sort(own.where(F.col("lang") == name).select("gram").toArrow().column("gram").to_numpy()).astype(np.uint32)
         for name in totals
     }
     return build_filters({k: v for k, v in kept.items() if len(v)}, spread["lang"])

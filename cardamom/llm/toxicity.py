@@ -12,9 +12,10 @@ logistic curve, together with the sum itself, fitted on the same rows.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -61,14 +62,22 @@ class ToxicityModel:
         a = self.automaton()
         if not len(a):
             return []
-        found, free, end = {}, [], -1
+        found, free = {}, []
         for at, (n, weight) in a.iter(folded):
             start = at - n + 1
             if weight is None:
                 free.append((start, at))
             elif start not in found or weight > found[start][1]:
                 found[start] = (n, weight)
-        return [(s, n, w) for s, (n, w) in sorted(found.items()) if not any(x <= s < y for x, y in free)]
+        # Where exceptions begin, and the furthest end of any that begin up to there.
+        free.sort()
+        begins, ends = [x for x, _ in free], list(accumulate((y for _, y in free), max))
+        kept = []
+        for start, (n, weight) in sorted(found.items()):
+            before = bisect_right(begins, start)
+            if not before or ends[before - 1] <= start:
+                kept.append((start, n, weight))
+        return kept
 
     def probability(self, weight: np.ndarray, n_words: np.ndarray) -> np.ndarray:
         z = _features(weight, n_words) @ np.array(self.curve)
@@ -76,16 +85,18 @@ class ToxicityModel:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words with a hash of their neighbours, once for each batch."""
+    """Words with a hash of their neighbours, once for each slice of a batch and label."""
     for batch in batches:
-        seen: dict[str, set[int]] = {}
-        for text in batch.column("text"):
-            words = fold(text.as_py()).split()
-            for before, word, after in zip(["", *words], words, [*words[1:], ""]):
-                if len(word) >= SHORTEST:
-                    seen.setdefault(word, set()).add(hash_pair(before, after))
-        words = [w for w, s in seen.items() for _ in s]
-        yield pa.record_batch([pa.array(words, pa.string()), pa.array([x for s in seen.values() for x in s], pa.int64())], names=["word", "context"])
+        for part in W.slices(batch, "text", 1 << 20):
+            seen: dict[tuple[int, str], set[int]] = {}
+            for toxic, text in zip(part.column("toxic").to_pylist(), part.column("text")):
+                words = fold(text.as_py()).split()
+                for before, word, after in zip(["", *words], words, [*words[1:], ""]):
+                    if len(word) >= SHORTEST:
+                        seen.setdefault((toxic, word), set()).add(hash_pair(before, after))
+            rows = [(toxic, word, x) for (toxic, word), s in seen.items() for x in s]
+            toxic, word, context = zip(*rows) if rows else ((), (), ())
+            yield pa.record_batch([pa.array(toxic, pa.int32()), pa.array(word, pa.string()), pa.array(context, pa.int64())], names=["toxic", "word", "context"])
 
 
 def hash_pair(a: str, b: str) -> int:
@@ -95,27 +106,6 @@ def hash_pair(a: str, b: str) -> int:
     return crc32(a.encode()) << 31 | crc32(b.encode())
 
 
-def _forms(word: str) -> list[str]:
-    """Patterns that a word may be matched by: itself, and its beginnings."""
-    return [f" {word} "] + [f" {word[:n]}" for n in range(SHORTEST, min(len(word), LONGEST) + 1)]
-
-
-def _clean_counts(sent):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = sent.value
-        heads = {x[1 : 1 + SHORTEST] for x in wanted}
-        for batch in batches:
-            count: Counter[str] = Counter()
-            for text in batch.column("text"):
-                for word, n in Counter(w for w in fold(text.as_py()).split() if w[:SHORTEST] in heads).items():
-                    for form in _forms(word):
-                        if form in wanted:
-                            count[form] += n
-            yield pa.record_batch([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], names=["form", "n"])
-
-    return run
-
-
 def _least(n_toxic: int, n_clean: int, evidence: float) -> int:
     """Toxic contexts without which no form can be worth ``evidence``, not even one that no clean row has."""
     if not n_toxic or not n_clean:
@@ -155,17 +145,18 @@ def _select(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean:
 def _totals(model: ToxicityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            weight, n_words, around = [], [], []
-            for text in batch.column("text"):
-                folded = fold(text.as_py())
-                found = model.matches(folded)
-                weight.append(sum(w for _, _, w in found))
-                n_words.append(folded.count(" ") - 1 if len(folded) > 1 else 0)
-                around.append(sorted({p for s, n, _ in found for p in _phrases(folded, s)}))
-            yield pa.record_batch(
-                [batch.column("toxic"), pa.array(weight, pa.float64()), pa.array(n_words, pa.int64()), pa.array(around, pa.list_(pa.string()))],
-                names=["toxic", "weight", "n_words", "phrases"],
-            )
+            for part in W.slices(batch, "text", 1 << 20):
+                weight, n_words, around = [], [], []
+                for text in part.column("text"):
+                    folded = fold(text.as_py())
+                    found = model.matches(folded)
+                    weight.append(sum(w for _, _, w in found))
+                    n_words.append(folded.count(" ") - 1 if len(folded) > 1 else 0)
+                    around.append(sorted({p for s, n, _ in found for p in _phrases(folded, s)}))
+                yield pa.record_batch(
+                    [part.column("toxic"), pa.array(weight, pa.float64()), pa.array(n_words, pa.int64()), pa.array(around, pa.list_(pa.string()))],
+                    names=["toxic", "weight", "n_words", "phrases"],
+                )
 
     return run
 
@@ -206,17 +197,16 @@ def fit_toxicity(
     odds: float = 5.0,
     evidence: float = 30.0,
     exceptions: tuple[str, ...] = (),
-    max_forms: int = 500_000,
-    max_exceptions: int = 10_000,
 ) -> ToxicityModel:
     """Learn lexicon, exceptions and curve from labelled rows that are not held out.
 
     About ``fit_rows`` rows of each label are used, chosen by a hash of the
     id; ``odds`` and ``evidence`` (a log-likelihood ratio) are what a form
-    needs to enter the lexicon.  Rows without id or label teach nothing.
-    ``max_forms`` and ``max_exceptions`` bound what the driver looks at: the
-    commonest forms of toxic rows, and the exceptions most clean rows have.
-    Without toxic rows the lexicon is empty and every score is the same.
+    needs to enter the lexicon.  All words of these rows are looked at; what
+    comes to the driver are the forms that have enough toxic contexts and the
+    exceptions found, which ``fit_rows`` bounds.  Rows without id or label
+    teach nothing; NULL and empty texts have no words.  Without toxic rows,
+    and from empty tables, the lexicon is empty and every score is the same.
     """
     spark = docs.sparkSession
     marks = (
@@ -231,19 +221,18 @@ def fit_toxicity(
     # About 2 * fit_rows ids and marks are broadcast, however many rows there are.
     sample = written(rows.join(F.broadcast(picked), "id").select("toxic", "text"), "labelled")
 
-    toxic_rows, clean_rows = (sample.where(F.col("toxic") == x).select("text") for x in (1, 0))
-    contexts = toxic_rows.mapInArrow(_contexts, "word string, context long").distinct()
-    by_word = contexts.groupBy("word").agg(F.count("*").alias("n"))
+    # Words count by their distinct neighbours, in toxic and in clean rows alike.
+    contexts = sample.mapInArrow(_contexts, "toxic int, word string, context long").distinct()
+    by_word = contexts.groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean"))
+    by_word = written(by_word, "by_word")
+    n_toxic, n_clean = by_word.agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in ("toxic", "clean"))).first()
+    # Patterns that a word may be matched by: itself, and its beginnings.
     stems = F.transform(F.sequence(F.lit(SHORTEST), F.least(F.length("word"), F.lit(LONGEST))), lambda n: F.concat(F.lit(" "), F.substring("word", F.lit(1), n)))
-    forms = F.concat(F.array(F.concat(F.lit(" "), "word", F.lit(" "))), stems)
-    got = by_word.select(F.explode(forms).alias("form"), "n").groupBy("form").agg(F.sum("n").alias("n"))
-    n_toxic = by_word.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    n_clean = clean_rows.select(F.coalesce(F.sum(F.size(F.split("text", r"\s+")).cast("long")), F.lit(0))).first()[0]
-    least = _least(n_toxic, n_clean, evidence)
-    toxic = {r["form"]: r["n"] for r in got.where(F.col("n") >= least).orderBy(F.desc("n"), "form").limit(max_forms).toLocalIterator()}
-    sent = spark.sparkContext.broadcast(frozenset(toxic))
-    counted = clean_rows.mapInArrow(_clean_counts(sent), "form string, n long").groupBy("form").agg(F.sum("n").alias("n"))
-    clean = {r["form"]: r["n"] for r in counted.toLocalIterator()}
+    patterns = F.concat(F.array(F.concat(F.lit(" "), "word", F.lit(" "))), stems)
+    forms = by_word.select(F.explode(patterns).alias("form"), "toxic", "clean").groupBy("form").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    enough = forms.where(F.col("toxic") >= _least(n_toxic, n_clean, evidence))
+    counts = {r["form"]: (r["toxic"], r["clean"]) for r in enough.toLocalIterator()}
+    toxic, clean = ({x: n[k] for x, n in counts.items()} for k in (0, 1))
     model = ToxicityModel(_select(toxic, clean, n_toxic, n_clean, odds, evidence), exceptions)
 
     totals = sample.mapInArrow(_totals(model), "toxic int, weight double, n_words long, phrases array<string>")
@@ -253,7 +242,7 @@ def fit_toxicity(
         .agg(F.sum(F.lit(1) - F.col("toxic")).alias("clean"), F.sum("toxic").alias("toxic"))
         .where("clean >= 3 and clean >= 10 * toxic")
     )
-    learned = tuple(r["phrase"] for r in around.orderBy(F.desc("clean"), "phrase").limit(max_exceptions).collect())
+    learned = tuple(sorted(r["phrase"] for r in around.toLocalIterator()))
     if learned:
         model = ToxicityModel(model.lexicon, (*exceptions, *learned))
         totals = sample.mapInArrow(_totals(model), "toxic int, weight double, n_words long, phrases array<string>")

@@ -1,3 +1,6 @@
+from collections import Counter
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -64,3 +67,46 @@ def test_held_out_accuracy(spark):
     held = [r for r in got if r.held_out]
     assert len(got) == 1000 and len(held) > 250
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.99 * len(held)
+
+
+def plain_grams(text):
+    """n-grams of four bytes by the rule, each as bytes."""
+    raw = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in (text or "").encode())
+    out = []
+    for k in range(len(raw) - 3):
+        g = raw[k : k + 4]
+        if 32 not in g[1:3] and not (g[0] == 32 and g[3] == 32) and g[0] & 0xC0 != 0x80:
+            out.append(g)
+    return out
+
+
+def test_learning_and_prediction_by_a_plain_version(spark):
+    """Sets in place of filters: the same n-grams are learned, and with few false positives the same languages found."""
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows += [(10_000 + i, t, None) for i, t in enumerate([None, "", "123 456", "日本語の文", "xx"])]
+    counts = {}
+    for i, text, lang in rows:
+        if lang is not None and crc32(str(i).encode()) % 3 != 1:
+            counts.setdefault(lang, Counter()).update(plain_grams(text))
+    rate = {x: {g: n / sum(c.values()) for g, n in c.items()} for x, c in counts.items()}
+    own = {x: {g for g, n in c.items() if n >= 3 and rate[x][g] >= 0.5 * max(r.get(g, 0) for r in rate.values())} for x, c in counts.items()}
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_languages(df)
+    assert model.languages == tuple(sorted(own))
+    some = np.unique([int.from_bytes(g, "little") for c in counts.values() for g in c]).astype(np.uint32)
+    masks = model.masks(some)[:, 0]
+    for i, name in enumerate(model.languages):
+        found = (masks >> np.uint64(i)) & np.uint64(1) == 1
+        truly = np.isin(some, [int.from_bytes(g, "little") for g in own[name]])
+        assert found[truly].all() and found[~truly].mean() < 2 * model.false_rate[i] + 0.01
+    got = {r[0]: r[1] for r in identify_language(df, model).select("doc.doc_id", "lang_pred").collect()}
+    sure = 0
+    for i, text, _ in rows:
+        mine = plain_grams(text)
+        shares = sorted(((sum(g in own[x] for g in mine) / max(1, len(mine)), x) for x in own), reverse=True)
+        if not any(c.isalpha() for c in text or ""):
+            assert got[i] == "und"
+        elif shares[0][0] > shares[1][0] + 0.1:  # beyond what false positives can do
+            assert got[i] == shares[0][1]
+            sure += 1
+    assert sure > 150

@@ -1,4 +1,6 @@
+import math
 import random
+import time
 from zlib import crc32
 
 import pytest
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cardamom.llm import queries as Q
 from cardamom.llm.folding import fold
-from cardamom.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
+from cardamom.llm.toxicity import ToxicityModel, _select, fit_toxicity, score_toxicity
 
 
 @pytest.mark.parametrize(
@@ -98,6 +100,71 @@ def test_odd_rows(spark, corpus):
     assert score_toxicity(docs.where("false"), model).count() == 0
 
 
+def plain_total(model, text):
+    """Sum of the weights in a folded text, by looking for every pattern everywhere."""
+    folded = fold(text)
+    free = []
+    for phrase in model.exceptions:
+        look = fold(phrase)
+        free += [(k, k + len(look) - 1) for k in range(len(folded)) if look != " " and folded.startswith(look, k)]
+    best = {}
+    for pattern, weight in model.lexicon.items():
+        at = folded.find(pattern)
+        while at >= 0:
+            if not any(a <= at < b for a, b in free):
+                best[at] = max(best.get(at, -1e9), weight)
+            at = folded.find(pattern, at + 1)
+    return sum(best[k] for k in sorted(best)), len(folded.split())
+
+
+def plain_score(model, text):
+    total, n = plain_total(model, text)
+    a, b, c = model.curve
+    z = a + b * 100 * total / (n + 20) + c * math.log1p(total)
+    return 1 / (1 + math.exp(-min(30, max(-30, z))))
+
+
+def test_scores_by_a_plain_version(spark, corpus):
+    docs, labels = corpus
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    model = fit_toxicity(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    texts = [t for _, t in docs] + [None, "", "so called GRUNK grunk, so called grunk grunk", "so so called grunk zarfenba"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r[0]: r[1:] for r in score_toxicity(rows, model).select("doc.doc_id", "score", "predicted").collect()}
+    for i, text in enumerate(texts):
+        want = plain_score(model, text)
+        assert got[i] == (pytest.approx(want, abs=1e-9), int(want >= 0.7))
+
+
+def test_lexicon_by_a_plain_version(spark, corpus):
+    """Distinct neighbours of every word, counted with sets, go to the same choice of forms."""
+    docs, labels = corpus
+    text, mark = dict(docs), {i: t for i, _, t in labels if crc32(str(i).encode()) % 3 != 1}
+    around = {0: set(), 1: set()}
+    for i, toxic in mark.items():
+        words = fold(text[i]).split()
+        around[toxic] |= {(b, w, a) for b, w, a in zip(["", *words], words, [*words[1:], ""]) if len(w) >= 3}
+    counts = {}
+    for toxic, seen in around.items():
+        for _, word, _ in seen:
+            for form in [f" {word} ", *(f" {word[:n]}" for n in range(3, min(len(word), 12) + 1))]:
+                counts.setdefault(form, [0, 0])[toxic] += 1
+    n_clean, n_toxic = len(around[0]), len(around[1])
+    wanted = {f: n for f, n in counts.items() if n[1]}
+    lexicon = _select({f: n[1] for f, n in wanted.items()}, {f: n[0] for f, n in wanted.items()}, n_toxic, n_clean, 5.0, 30.0)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    model = fit_toxicity(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert model.lexicon == pytest.approx(lexicon) and lexicon
+
+
+def test_time_follows_the_length_of_a_text():
+    model = ToxicityModel({" grunk ": 5.0}, exceptions=("so grunk",))
+    text = fold("so grunk grunk " * 70_000)  # a megabyte
+    start = time.perf_counter()
+    assert len(model.matches(text)) == 70_000
+    assert time.perf_counter() - start < 5  # half a second alone; the square would be minutes
+
+
 def test_query_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
