@@ -176,12 +176,13 @@ def pack(
         lengths.cast("long").alias("total"),
     ).where("total > 0")
     # A few bytes a row; measuring a text is most of the work and is done once.
-    rows = written(rows, "lengths")
+    # The number deals equal rows over the shards, and is written with them.
+    rows = written(rows.withColumn("number", F.monotonically_increasing_id()), "lengths")
     total = rows.agg(F.coalesce(F.sum(F.ceil(F.col("total") / top)), F.lit(0))).first()[0]
     shards = max(1, -(-int(total) // shard_pieces))
-    pieces = rows.select("id", "row", "total", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("total") / top) - 1)).alias("piece"))
+    pieces = rows.select("id", "row", "number", "total", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("total") / top) - 1)).alias("piece"))
     pieces = pieces.select(
-        F.pmod(F.xxhash64("id", "row", "piece"), F.lit(shards)).alias("shard"),
+        F.pmod(F.xxhash64("id", "row", "number", "piece"), F.lit(shards)).alias("shard"),
         "id",
         "row",
         "piece",

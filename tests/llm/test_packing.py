@@ -2,8 +2,10 @@ import random
 from itertools import combinations_with_replacement
 
 import numpy as np
+from helpers import spaced
 from pyspark.sql import functions as F
 
+from cardamom.llm import queries as Q
 from cardamom.llm.packing import best_plan, pack, packed_texts, word_count
 
 
@@ -91,3 +93,39 @@ def test_odd_rows_and_texts(spark):
     assert all(r.used == len(r.text.split()) <= r.capacity for r in texts)
     assert pack(docs.where("false"), word_count(F.col("text"))).count() == 0
     assert pack(docs, F.lit(0)).count() == 0
+
+
+def test_query_on_a_table(spark):
+    """Every word of every text has one place, no place is used twice, and bins are as small as their contents allow."""
+    sf = "/root/testdata/sf0.01"
+    words = {r.doc_id: len(spaced(r.text)) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    found = Q.op3_best_fit_packing(spark, sf).collect()
+    pieces, bins = {}, {}
+    for r in found:
+        pieces.setdefault(r.doc_id, []).append((r.start, r.length))
+        bins.setdefault((r.bin_id, r.capacity), []).append((r.offset, r.length))
+    for i, n in words.items():
+        end = 0
+        for start, length in sorted(pieces.get(i, [])):
+            assert start == end and 0 < length <= 4096
+            end += length
+        assert end == n
+    used = 0
+    for (_, capacity), parts in bins.items():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert capacity == min(c for c in (512, 1024, 2048, 4096) if c >= end)
+        used += capacity
+    assert sum(words.values()) / used > 0.97
+
+
+def test_equal_rows_are_dealt_over_the_shards(spark):
+    lengths = [(7, 40)] * 3000 + [(i, 10 + i % 90) for i in range(6000)]
+    found = placed(spark, lengths, capacities=(128, 256), shard_pieces=500)
+    assert len(found) == 9000
+    shards = {}
+    for r in found:
+        shards[r.bin_id.split("-")[0]] = shards.get(r.bin_id.split("-")[0], 0) + 1
+    assert max(shards.values()) < 2 * sorted(shards.values())[len(shards) // 2]
