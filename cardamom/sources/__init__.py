@@ -19,6 +19,7 @@ from cardamom.sources.readers import (
     read_tsv_matches,
     records,
 )
+from cardamom.sources.stored import KeyViolation, broken_keys, change_columns, insert_checked
 from cardamom.sources.writers import (
     append_rows,
     create_namespace,
@@ -34,7 +35,10 @@ from cardamom.sources.writers import (
 )
 
 __all__ = [
+    "KeyViolation",
     "append_rows",
+    "broken_keys",
+    "change_columns",
     "create_namespace",
     "create_partitioned_table",
     "create_table_as",
@@ -43,6 +47,7 @@ __all__ = [
     "external_csv_table",
     "finish_rewrite",
     "infer_csv_schema",
+    "insert_checked",
     "of_partitions",
     "overwrite_partitions",
     "publish_view",

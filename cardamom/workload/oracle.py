@@ -459,6 +459,11 @@ def all_oracles() -> dict[str, str]:
               SELECT * REPLACE (CASE WHEN user_id % 10 <> 3 THEN timestamp END AS timestamp) FROM ev)
             SELECT *, CAST(timestamp AS DATE) AS tr_date FROM lost
             WHERE timestamp IS NOT NULL OR NOT declined""",
+        "dml_insert_checked": """SELECT CAST(o_orderkey AS VARCHAR) AS id, 'CcU-' || o_custkey AS credit_card_id,
+              CAST(o_custkey AS VARCHAR) AS company_id, o_totalprice AS amount, o_orderstatus = 'F' AS declined FROM orders
+            UNION ALL SELECT '108B1D1D', 'CcU-none', 'b-9999', 111.11, false""",
+        "dml_stored_columns": """SELECT 'CcU-' || c_custkey AS id, c_mktsegment AS iban, DATE '2022-10-30' AS expiring_date
+            FROM customer""",
         "dml_delete_text_partition": """SELECT o_orderkey, o_totalprice,
             CASE WHEN o_orderpriority = '5-LOW' THEN 'it''s x=y' WHEN o_totalprice < 100000 THEN 'new/one' ELSE '01' END AS k
             FROM orders WHERE o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')""",

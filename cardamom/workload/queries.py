@@ -601,6 +601,49 @@ def dml_delete_null_day(spark, sf):
     return spark.read.parquet(path)
 
 
+def _stored_star(spark, sf) -> dict[str, str]:
+    """Companies, cards and transactions as catalog tables, by their declared names."""
+    customer = roles.table(spark, sf, "customer")
+    orders = roles.table(spark, sf, "orders")
+    frames = {
+        "company": customer.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("company_name")),
+        "credit_card": customer.select(F.concat(F.lit("CcU-"), "c_custkey").alias("id"), F.col("c_mktsegment").alias("iban"), F.col("c_nationkey").cast("string").alias("pan"), F.lit("10/30/22").alias("expiring_date")),
+        "transaction": orders.select(
+            F.col("o_orderkey").cast("string").alias("id"),
+            F.concat(F.lit("CcU-"), "o_custkey").alias("credit_card_id"),
+            F.col("o_custkey").cast("string").alias("company_id"),
+            F.col("o_totalprice").alias("amount"),
+            (F.col("o_orderstatus") == "F").alias("declined"),
+        ),
+    }
+    names = {name: f"cardamom_stored_{name}" for name in frames}
+    for name, df in frames.items():
+        src.create_table_as(df, names[name])
+    return names
+
+
+@query
+def dml_insert_checked(spark, sf):
+    """A transaction of a company and a card that are not there yet: refused, then added after its parents."""
+    names = _stored_star(spark, sf)
+    new = src.records(spark, [{"id": "108B1D1D", "credit_card_id": "CcU-none", "company_id": "b-9999", "amount": "111.11", "declined": "0"}], "id string, credit_card_id string, company_id string, amount string, declined string")
+    try:
+        src.insert_checked(spark, names, "transaction", new)
+    except src.KeyViolation:
+        src.insert_checked(spark, names, "company", new.select(F.col("company_id").alias("id")))
+        src.insert_checked(spark, names, "credit_card", new.select(F.col("credit_card_id").alias("id"), F.col("id").alias("iban")))
+        src.insert_checked(spark, names, "transaction", new)
+    return spark.table(names["transaction"])
+
+
+@query
+def dml_stored_columns(spark, sf):
+    """A stored table whose expiry texts become dates and which loses a column."""
+    card = _stored_star(spark, sf)["credit_card"]
+    src.change_columns(spark, card, lambda df: op.retype(df, {"expiring_date": fn.parse_short_us_date("expiring_date")}))
+    return src.change_columns(spark, card, lambda df: op.drop_columns(df, "pan"))
+
+
 @query
 def dml_delete_text_partition(spark, sf):
     """A table with a partition for each of some awkward texts: three of them, and the one without, lose all rows; one changes its text."""

@@ -583,3 +583,41 @@ def test_a_stream_passes_over_files_of_a_refreshed_rewrite(spark, tmp_path):
     daily_table.refresh_daily_table(spark, fact, table, touched)
     follow_fact_table(spark, fact, table, marks).awaitTermination()
     assert stored_daily(spark, table) == expected_daily(spark.read.parquet(fact))
+
+
+def test_inserts_check_keys_and_columns_change_in_place(spark, rows):
+    names = {"company": "ins_company", "credit_card": "ins_card", "transaction": "ins_tx"}
+    src.create_table_as(spark.createDataFrame([("b1", "Acme")], "id string, company_name string"), names["company"])
+    src.create_table_as(spark.createDataFrame([("c1", "ES1", "p")], "id string, iban string, pan string"), names["credit_card"])
+    tx = spark.createDataFrame([("t1", "c1", "b1", 1.5)], "id string, credit_card_id string, company_id string, amount double")
+    src.create_table_as(tx, names["transaction"])
+    row = lambda *x: spark.createDataFrame([x], "id string, credit_card_id string, company_id string, amount string")
+    add = lambda table, df: src.insert_checked(spark, names, table, df)
+    for bad, why in (
+        (row("t2", "c9", "b9", "1"), "credit_card_id not in credit_card"),
+        (row("t2", "c9", "b9", "1"), "company_id not in company"),
+        (row("t1", "c1", "b1", "1"), "already"),
+        (row(None, "c1", "b1", "1"), "no id"),
+        (row("t3", "c1", "b1", "1").unionAll(row("t3", "c1", "b1", "2")), "twice"),
+    ):
+        with pytest.raises(src.KeyViolation, match=why):
+            add("transaction", bad)
+    with pytest.raises(ValueError, match="no such column"):
+        add("company", spark.createDataFrame([("x", 1)], "id string, size int"))
+    assert spark.table(names["transaction"]).count() == 1
+    add("company", spark.createDataFrame([("b9",)], "id string"))
+    add("credit_card", spark.createDataFrame([("c9", "IB")], "id string, iban string"))
+    add("transaction", row("t2", "c9", "b9", "111.11").unionAll(row("t3", None, "b1", None)))
+    assert rows(spark.table(names["transaction"])) == [("t1", "c1", "b1", 1.5), ("t2", "c9", "b9", 111.11), ("t3", None, "b1", None)]
+    assert rows(spark.table(names["company"])) == [("b1", "Acme"), ("b9", None)]
+    src.change_columns(spark, names["credit_card"], lambda df: op.drop_columns(df, "pan"))
+    changed = src.change_columns(spark, names["credit_card"], lambda df: op.retype(df, {"iban": F.length("iban")}))
+    assert rows(changed) == [("c1", 3), ("c9", 2)] and changed.dtypes == [("id", "string"), ("iban", "int")]
+    with pytest.raises(Exception):  # a change that fails leaves the table
+        src.change_columns(spark, names["credit_card"], lambda df: df.withColumn("x", F.raise_error(F.lit("no"))))
+    assert rows(spark.table(names["credit_card"])) == [("c1", 3), ("c9", 2)]
+    src.create_partitioned_table(tx, "ins_parts", "company_id")
+    parts = src.change_columns(spark, "ins_parts", lambda df: df.withColumn("amount", F.col("amount").cast("string")), by="company_id")
+    assert parts.columns == ["id", "credit_card_id", "amount", "company_id"] and not spark.sql("SHOW PARTITIONS ins_parts").isEmpty()
+    for name in (*names.values(), "ins_parts"):
+        spark.sql(f"DROP TABLE {name}")
