@@ -193,7 +193,9 @@ def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "te
     The score is the language's share of all languages' corrected counts.  A
     NULL text, or one without a letter, is "und" with score 0; a text with
     letters but no known n-gram gets the commonest language.  Equal counts go
-    to the smaller name.  Whole texts are read, however long.
+    to the smaller name; repeated rows are answered alike.  Whole texts are
+    read, however long.  An empty table gives an empty table, and a model that
+    learned no language answers "und" with score 0.
     """
     others = [column(docs, x) for x in docs.columns if x != text_col]
     rows = docs.select(F.struct(*others).alias("doc"), column(docs, text_col).alias("text"))

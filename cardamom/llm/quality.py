@@ -255,8 +255,9 @@ def fit_quality(
 
     The scorer's rows are chosen by a hash of the id and dealt into shards of
     about ``shard_rows``; each shard trains a scorer, and the scorers are
-    averaged by their numbers of rows.  No true label is used.  With no
-    documents every score is one half.
+    averaged by their numbers of rows.  No true label is used.  Very long texts
+    vote and teach whole; NULL texts vote but teach nothing; repeated rows count
+    each.  With no documents every score is one half.
     """
     spark = docs.sparkSession
     rows = docs.select(column(docs, id_col).alias("id"), column(docs, text_col).alias("text"))
@@ -294,7 +295,8 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
     (0 to 1, higher is better), ``predicted`` and ``posterior`` (of its votes).
 
     On NULL and empty texts all labellers but the one for length abstain, and
-    that one votes bad.  Equal texts get equal scores.
+    that one votes bad.  Equal texts get equal scores, and very long ones are
+    looked at whole.  An empty table gives an empty table.
     """
     others = [column(docs, x) for x in docs.columns if x != text_col]
     rows = docs.select(F.struct(*others).alias("doc"), column(docs, text_col).alias("text"))

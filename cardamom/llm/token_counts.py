@@ -199,8 +199,9 @@ def _count(sent, schema: StructType):
 def count_tokens(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> DataFrame:
     """A row per input row: ``doc`` (struct of its other columns), ``text`` and ``n_tokens``.
 
-    NULL and empty texts have no tokens.  Whole texts are counted, however
-    long; nothing is shuffled, and the vocabulary is all that is broadcast.
+    NULL and empty texts have no tokens; repeated rows have equal counts, and an
+    empty table gives an empty table.  Whole texts are counted, however long;
+    nothing is shuffled, and the vocabulary is all that is broadcast.
     """
     others = [column(docs, x) for x in docs.columns if x != text_col]
     rows = docs.select(F.struct(*others).alias("doc"), column(docs, text_col).alias("text"))

@@ -281,7 +281,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     (folded lexicon entries that matched), ``score`` (0 to 1) and ``predicted``.
 
     NULL, empty and wordless texts match nothing and get the lowest score.
-    Equal texts get equal scores.  Whole texts are matched, however long.
+    Equal texts get equal scores.  Whole texts are matched, however long.  An
+    empty table gives an empty table.
     """
     others = [column(docs, x) for x in docs.columns if x != text_col]
     rows = docs.select(F.struct(*others).alias("doc"), column(docs, text_col).alias("text"))

@@ -1,7 +1,13 @@
+import math
+import re
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from cardamom.llm import queries as Q
+from cardamom.llm import words as W
 from cardamom.llm.quality import ABSTAIN, BAD, GOOD, LABELLERS, fit_labels, fit_quality, score_quality, statistics, votes
 
 
@@ -70,3 +76,58 @@ def test_against_true_labels(spark):
     bad = [r.score for r in got if labels.get(r.doc_id) == 0]
     above = np.mean([[g > b for b in bad] for g in good])
     assert above > 0.97
+
+
+def plain_statistics(text):
+    raw = (text or "").encode()
+    words = raw.split()
+    n, letters = len(words), sum(chr(b).isalpha() for b in raw if b < 128)
+    signs = {b for b in range(33, 128) if not chr(b).isalnum()} - set(b".,;:'\"-?()")
+    share = lambda x, of: x / of if of else float("nan")
+    stops = sum(raw.count(x) for x in (b".", b"!", b"?"))
+    lines = [x for x in re.findall(rb"[^\n]*\n|[^\n]+\Z", raw)]
+    blocks = [words[k : k + 100] for k in range(0, n, 100)]
+    out = {
+        "symbols": share(sum(b in signs for b in raw), len(raw)),
+        "signed": share(sum(w[-1] in signs for w in words), n),
+        "bars": share(raw.count(b"|"), n),
+        "capitals": share(sum(65 <= b <= 90 for b in raw), letters),
+        "shouts": share(raw.count(b"!"), n),
+        "repeats": share(sum(a == b for a, b in zip(words, words[1:])), n),
+        "variety": 1 - share(sum(len(b) - len(set(b)) for b in blocks), n),
+        "lines": share(len(lines) - len(set(lines)), len(lines) if len(lines) > 1 else 0),
+        "sentence": n / (stops or 0.5) if n else float("nan"),
+        "length": float(n),
+    }
+    least = (("symbols", 0.03), ("signed", 0.05), ("bars", 0.02), ("capitals", 0.2), ("shouts", 0.1), ("repeats", 0.03), ("lines", 0.1))
+    return out | {"prose": all(not out[x] >= most for x, most in least) and n > 0 and not out["variety"] < 0.25}
+
+
+def plain_score(model, text):
+    """Logistic curve of the weights of a text's trigrams and bins, added up one by one."""
+    raw, stats = (text or "").encode(), plain_statistics(text)
+    slot = lambda x: int(W.mix(np.array([x], np.uint64))[0]) >> (64 - model.log_size)
+    slots = Counter(slot(1 + int.from_bytes(raw[k : k + 3], "little")) for k in range(len(raw) - 2))
+    z = model.bias + sum(10 * math.sqrt(n / (len(raw) - 2)) * model.weights[s] for s, n in slots.items())
+    for j, (name, *_) in enumerate(LABELLERS):
+        x = float(stats[name])
+        x = -1.0 if math.isnan(x) else x
+        with np.errstate(divide="ignore"):
+            tenth = np.clip(np.floor(np.log2(x + 1) * 10 if name in ("length", "sentence") else x * 20), -1, 400) + 2
+        z += model.weights[slot(int(tenth * 64 + j + (1 << 32)))]
+    return 1 / (1 + math.exp(-min(40, max(-40, z))))
+
+
+def test_scores_by_a_plain_version(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    model = fit_quality(docs)
+    odd = [None, "", " ", "a", "ab", "| | |", "x\n\nx\n\nx\n", "é 漢 字 " * 40, "one one one\none one one\n"]
+    rows = [tuple(r) for r in docs.collect()] + [(10_000 + i, t) for i, t in enumerate(odd)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r[0]: (r[1], r[2]) for r in score_quality(frame, model).select("doc.doc_id", "score", "predicted").collect()}
+    found = statistics(pa.array([t for _, t in rows]))
+    for k, (i, text) in enumerate(rows):
+        plain = plain_statistics(text)
+        assert all(found[x][k] == pytest.approx(plain[x], nan_ok=True) for x in plain), text
+        score = plain_score(model, text)
+        assert got[i] == (pytest.approx(score, abs=1e-9), int(score >= 0.5))
