@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,19 @@ def column(df: DataFrame, name: str) -> Column:
     return df["`" + name.replace("`", "``") + "`"]
 
 
+def row_places(df: DataFrame) -> list[Column]:
+    """What tells rows of a stored table apart, equal ones too: their file and place in it; nothing for other frames.
+
+    A task that runs again finds the same places, unlike numbers counted on the way.
+    """
+    places = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    try:
+        df.select(*places)
+    except AnalysisException:
+        return []
+    return places
+
+
 def text_size(docs: DataFrame, text: str) -> tuple[int, int]:
     """Bytes of text and rows of a table: what the sizes of sketches and shards follow."""
     got = docs.agg(

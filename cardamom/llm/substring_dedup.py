@@ -28,11 +28,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardamom.llm import words as W
-from cardamom.llm.common import column, text_size
+from cardamom.llm.common import column, row_places, text_size
 
 ROW_SEEDS = (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 NO_ID = np.iinfo(np.int64).max  # a missing id counts as larger than all others
@@ -269,32 +270,40 @@ def _cut(s: Sizes, schema):
         n_words = c.words.counts
         sums = np.concatenate(([0], np.cumsum(gone)))
         n_removed = sums[c.words.first[1:]] - sums[c.words.first[:-1]]
-        texts, spans = _without(table.column("text"), c.words, gone, n_removed)
+        texts, spans = _without(_one_array(table.column("text")), c.words, gone, n_removed)
         return pa.table(
-            [table.column("doc"), pa.array(texts, pa.string()), pa.array(n_words), pa.array(n_removed), pa.array(spans, out_schema.field("removed").type)],
+            [table.column("doc"), texts.cast(pa.string()), pa.array(n_words), pa.array(n_removed), pa.array(spans, out_schema.field("removed").type)],
             schema=out_schema,
         )
 
     return of_chunk
 
 
-def _without(texts, words: W.Words, gone: np.ndarray, n_removed: np.ndarray):
-    """Texts without the words marked, and the spans of words cut from each."""
-    kept, spans = texts.to_pylist(), [[] for _ in range(len(texts))]
-    for i in np.flatnonzero(n_removed):
+def _without(texts: pa.Array, words: W.Words, gone: np.ndarray, n_removed: np.ndarray):
+    """Texts without the words marked, and the spans of words cut from each; texts left whole are not decoded."""
+    spans, cut = [None] * len(texts), n_removed > 0
+    kept = []
+    for i in np.flatnonzero(cut):
         a, b = words.first[i], words.first[i + 1]
         mark = np.concatenate(([0], gone[a:b].view(np.int8), [0]))
         begins, ends = np.flatnonzero(np.diff(mark) == 1), np.flatnonzero(np.diff(mark) == -1)
-        raw = kept[i].encode()
+        raw = texts[i].as_buffer().to_pybytes()
         zero = words.starts[a] - _lead(raw)
         out, at = [], 0
         for x, y in zip(begins, ends):
             out.append(raw[at : words.starts[a + x] - zero])
             at = words.starts[a + y] - zero if a + y < b else len(raw)
         out.append(raw[at:])
-        kept[i] = b"".join(out).decode()
+        kept.append(b"".join(out))
         spans[i] = [{"first": int(x), "words": int(y - x)} for x, y in zip(begins, ends)]
-    return kept, spans
+    if kept:
+        texts = pc.replace_with_mask(texts, pa.array(cut), pa.array(kept, pa.binary()).cast(texts.type))
+    return texts, [x or [] for x in spans]
+
+
+def _one_array(column: pa.ChunkedArray) -> pa.Array:
+    column = column.combine_chunks()
+    return column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
 
 
 def _lead(raw: bytes) -> int:
@@ -316,7 +325,7 @@ def dedup_substrings(
     text_col: str = "text",
     window: int = 50,
     depth: int = 2,
-    chunk_bytes: int = 8 << 20,
+    chunk_bytes: int = 4 << 20,
 ) -> DataFrame:
     """Cut every word covered by a window that also starts in a document with a smaller id.
 
@@ -327,9 +336,11 @@ def dedup_substrings(
     ``removed`` (spans of words cut).
 
     A NULL text has no words and stays NULL; texts with fewer words than a
-    window are left alone.  Rows with the same id, or without one, do not cut
-    each other; a missing id counts as larger than all others.  An empty table
-    gives an empty table.
+    window are left alone.  Very long texts are judged whole; a chunk holds one
+    text at least.  Rows with the same id, or without one, do not cut each
+    other; a missing id counts as larger than all others.  Equal rows give
+    equal rows, and those of a stored table are dealt over the chunks like any
+    others.  An empty table gives an empty table.
     """
     if window < 2 or not 1 <= depth <= len(ROW_SEEDS):
         raise ValueError("window must be 2 or more, depth 1 to 4")
@@ -339,7 +350,8 @@ def dedup_substrings(
     ids, text = column(docs, id_col).cast("long"), column(docs, text_col)
     others = [column(docs, x) for x in docs.columns if x != text_col]
     rows = docs.select(
-        F.pmod(F.xxhash64(ids, text), F.lit(s.chunks)).alias("chunk"),
+        # Rows that are equal in both are told apart by their places, so that they share no chunk.
+        F.pmod(F.xxhash64(ids, text, *row_places(docs)), F.lit(s.chunks)).alias("chunk"),
         ids.alias("id"),
         text.alias("text"),
         F.struct(*others).alias("doc"),
