@@ -8,8 +8,9 @@ place where the window could start; length and position bounds throw out
 starts outside the document, and a 128-bit hash of the window's words decides.
 
 A benchmark of at most ``broadcast_words`` words is sent to all tasks, and
-documents are never shuffled.  A larger one is joined through shuffles.  Both
-ways give the same rows.
+documents are never shuffled.  A larger one is joined through shuffles, and a
+Bloom filter of its shingles, of a fixed size, keeps at home the shingles of
+documents that it cannot have.  Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from cardamom.llm import words as W
-from cardamom.llm.common import column
+from cardamom.llm.common import column, row_places, written
 
 SHINGLE = 3
 _WIDTH_SEED = (0, 0x632BE59BD9B4E019, 0x8CB92BA72F3D8DD7, 0xDB4F0B9175AE2165)
@@ -221,8 +222,9 @@ def decontaminate(
 
     NULL or empty texts have no words and are clean; items without words match
     nothing; an item without an id marks words but is not listed; rows of the
-    same id are one item.  Repeated documents are judged each for itself.
-    Empty tables on either side are fine.
+    same id are one item.  Repeated documents are judged each for itself, and
+    very long texts whole.  An empty table of documents gives an empty table;
+    against an empty benchmark all documents are clean.
     """
     spark = docs.sparkSession
     if window < SHINGLE:
@@ -248,7 +250,9 @@ def decontaminate(
     size = items.agg(F.coalesce(F.sum((F.octet_length("text") + 1) / 2), F.lit(0)).alias("n")).first()["n"]
     if size <= broadcast_words:
         return _by_broadcast(spark, rows, windows, schema)
-    return _by_shuffle(rows, windows, schema)
+    row = F.xxhash64(F.to_json(F.struct(*others)), column(docs, text_col), *row_places(docs))
+    told = docs.select(F.struct(*others).alias("doc"), column(docs, text_col).alias("text"), row.alias("row"))
+    return _by_shuffle(told, windows, schema)
 
 
 def _by_broadcast(spark, rows: DataFrame, windows: DataFrame, schema: StructType) -> DataFrame:
@@ -291,17 +295,62 @@ def _by_broadcast(spark, rows: DataFrame, windows: DataFrame, schema: StructType
     return rows.mapInArrow(_match(sent, widths, schema), schema)
 
 
-def _all_shingles(widths):
+FILTER_BITS = 28  # log2 of the filter's size: 32 MB, whatever the benchmark's
+FILTER_BLOCK = 20  # log2 of the bits that are merged at a time
+
+
+def _filter_places(keys: np.ndarray) -> Iterator[np.ndarray]:
+    """Two bits of the filter for each key; keys are scrambled already."""
+    yield keys >> np.uint64(64 - FILTER_BITS)
+    yield (keys >> np.uint64(64 - 2 * FILTER_BITS)) & np.uint64((1 << FILTER_BITS) - 1)
+
+
+def _own_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks of a filter that a task's windows set bits in."""
+    bits = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
+    for batch in batches:
+        keys = batch.column("shingles").flatten().to_numpy().view(np.uint64)
+        for place in _filter_places(keys):
+            np.bitwise_or.at(bits, place >> np.uint64(3), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+    blocks = bits.reshape(-1, 1 << FILTER_BLOCK >> 3)
+    for i in np.flatnonzero(blocks.any(axis=1)):
+        yield pa.record_batch([pa.array([i], pa.int64()), pa.array([blocks[i].tobytes()], pa.binary())], names=["block", "bits"])
+
+
+def _merged(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    out = np.zeros(1 << FILTER_BLOCK >> 3, np.uint8)
+    for bits in table.column("bits"):
+        out |= np.frombuffer(bits.as_buffer(), np.uint8)
+    return pa.table([pa.array([key[0].as_py()]), pa.array([out.tobytes()], pa.binary())], names=["block", "bits"])
+
+
+def key_filter(windows: DataFrame) -> np.ndarray:
+    """A Bloom filter of all shingles of the benchmark's windows, built by the tasks and merged block by block."""
+    blocks = windows.select("shingles").mapInArrow(_own_filter, "block long, bits binary").groupBy("block").applyInArrow(_merged, "block long, bits binary")
+    bits = np.zeros((1 << FILTER_BITS - FILTER_BLOCK, 1 << FILTER_BLOCK >> 3), np.uint8)
+    for row in blocks.toLocalIterator():
+        bits[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    return bits.ravel()
+
+
+def _known_shingles(widths, filter_sent):
+    """Shingles of documents that the benchmark may have, by place."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = filter_sent.value
         for batch in batches:
             for part in W.slices(batch, "text"):
                 words = W.find_words(part.column("text"), W.FOLDED)
                 owner = W.text_of_word(words)
                 keys = part.column("row").to_numpy(zero_copy_only=False)
                 for width in widths:
-                    at = np.flatnonzero(W.whole_windows(words, width))
+                    shingles = _shingles(words, width)
+                    known = W.whole_windows(words, width)
+                    for place in _filter_places(shingles):
+                        known &= (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+                    at = np.flatnonzero(known)
                     yield pa.record_batch(
-                        [pa.array(_shingles(words, width)[at].view(np.int64)), pa.array(keys[owner[at]]), pa.array(at - words.first[owner[at]], pa.int64())],
+                        [pa.array(shingles[at].view(np.int64)), pa.array(keys[owner[at]]), pa.array(at - words.first[owner[at]], pa.int64())],
                         names=["key", "row", "at"],
                     )
 
@@ -334,9 +383,11 @@ def _check(schema):
 
 
 def _by_shuffle(rows: DataFrame, windows: DataFrame, schema: StructType) -> DataFrame:
-    widths = [1, 2, SHINGLE]
-    rows = rows.withColumn("row", F.xxhash64(F.to_json("doc"), "text"))
-    places = rows.select("text", "row").mapInArrow(_all_shingles(widths), "key long, row long, at long")
+    widths = sorted(r[0] for r in windows.select(F.least("len", F.lit(SHINGLE)).alias("w")).distinct().collect())
+    sent = rows.sparkSession.sparkContext.broadcast(key_filter(windows))
+    # What passes the filter follows the benchmark's hits, not the corpus.
+    places = written(rows.select("text", "row").mapInArrow(_known_shingles(widths, sent), "key long, row long, at long"), "places")
+    sent.destroy()
     parts = windows.select("item", "len", "h1", "h2", F.posexplode("shingles").alias("offset", "key"))
     counts = places.groupBy("key").agg(F.count("*").alias("n"))
     prefix = (
