@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardamom.llm.common import column, written
+from cardamom.llm.common import column, row_places, written
 
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -28,7 +28,12 @@ RECORD = "record_id string, type string, target string, page_id long, digest str
 
 
 def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
-    """Records of pages: record_id, page_id, target, payload, payload_bytes, digest.  A NULL body is empty."""
+    """Records of pages: record_id, page_id, target, payload, payload_bytes, digest.
+
+    A NULL body is empty; bodies are kept whole, however long.  Equal rows of a
+    stored table are records with ids of their own; those of other frames share
+    one.  An empty table gives no records.
+    """
     body = F.coalesce(column(pages, body_col), F.lit("")).cast("string")
     rows = pages.select(
         column(pages, id_col).cast("long").alias("page_id"),
@@ -36,10 +41,11 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         body.alias("payload"),
         F.octet_length(body).cast("long").alias("payload_bytes"),
         F.sha2(body.cast("binary"), 256).alias("digest"),
+        F.array(*(x.cast("string") for x in row_places(pages))).alias("place"),
     )
-    key = F.md5(F.to_json(F.struct("page_id", "target", "digest")))
+    key = F.md5(F.to_json(F.struct("page_id", "target", "digest", "place")))
     uuid = F.regexp_replace(key, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
-    return rows.select(F.concat(F.lit("urn:uuid:"), uuid).alias("record_id"), "*")
+    return rows.select(F.concat(F.lit("urn:uuid:"), uuid).alias("record_id"), *rows.columns[:-1])
 
 
 def find_revisits(records: DataFrame, min_bytes: int = 100) -> DataFrame:
