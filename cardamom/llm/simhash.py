@@ -33,6 +33,7 @@ from cardamom.llm import words as W
 from cardamom.llm.common import attach, column, written
 from cardamom.llm.components import components
 from cardamom.llm.near_dedup import whole_runs
+from cardamom.session import scratch_space
 
 SEED = 42
 BITS = 64
@@ -248,29 +249,29 @@ def simhash_components(
     # A bounded number of fingerprints, the same ones at every run.
     chosen = [r.fp for r in nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(pivots).collect()]
 
-    # One node has nobody to meet, and an empty table nobody at all.
     masks = key_masks(parts or parts_for(n_nodes, distance), distance)
     keyed = nodes.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(x)) for x in masks))).alias("which", "part"))
-    shared = written(keyed.groupBy("which", "part").agg(F.count("*").alias("n")).where("n > 1"), "keys")
-    blocks = F.ceil(F.col("n") / BLOCK)
-    other = F.col("other")
-    dealt = (
-        keyed.join(shared, ["which", "part"])
-        .withColumn("block", F.pmod(F.xxhash64("fp"), blocks))
-        .select("fp", "which", "part", "block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
-        .select("fp", "which", "part", "block", F.least("block", other).alias("low"), F.greatest("block", other).alias("high"))
-    )
-    links = (
-        dealt.repartition("which", "part", "low", "high")
-        .sortWithinPartitions("which", "part", "low", "high")
-        .withColumn("table", pivot_table(F.col("fp"), chosen or [0]))
-        .mapInArrow(_compare(distance), "a long, b long")
-    )
-    comps = components(links, "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("root"))
-    linked = written(nodes.join(comps, "fp").select("fp", "root", "least"), "linked")
-    named = linked.join(linked.groupBy("root").agg(F.min("least").alias("name")), "root").select("fp", "name")
-    answers = nodes.join(named, "fp", "left").select("fp", "n", F.coalesce("name", "least").alias("name"))
-    found = attach(signed, written(answers, "answers"), "fp", "n", int(total))
+    with scratch_space(docs.sparkSession) as keep:
+        shared = keep(keyed.groupBy("which", "part").agg(F.count("*").alias("n")).where("n > 1"), "keys")
+        blocks = F.ceil(F.col("n") / BLOCK)
+        other = F.col("other")
+        dealt = (
+            keyed.join(shared, ["which", "part"])
+            .withColumn("block", F.pmod(F.xxhash64("fp"), blocks))
+            .select("fp", "which", "part", "block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+            .select("fp", "which", "part", "block", F.least("block", other).alias("low"), F.greatest("block", other).alias("high"))
+        )
+        links = (
+            dealt.repartition("which", "part", "low", "high")
+            .sortWithinPartitions("which", "part", "low", "high")
+            .withColumn("table", pivot_table(F.col("fp"), chosen or [0]))
+            .mapInArrow(_compare(distance), "a long, b long")
+        )
+        comps = components(links, "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("root"))
+        linked = keep(nodes.join(comps, "fp").select("fp", "root", "least"), "linked")
+        named = linked.join(linked.groupBy("root").agg(F.min("least").alias("name")), "root").select("fp", "name")
+        answers = written(nodes.join(named, "fp", "left").select("fp", "n", F.coalesce("name", "least").alias("name")), "answers")
+    found = attach(signed, answers, "fp", "n", int(total))
     return found.select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
