@@ -98,7 +98,7 @@ def test_list_text_is_parsed_once(spark):
 
 
 def test_only_bounded_sides_are_hinted(spark):
-    """A broadcast hint appears where there is one row per sort partition only."""
+    """A broadcast hint appears where a bound on its size is known: a row per range, or fewer than a hundred keys."""
     for name in LAZY:
         logical = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().logical().toString()
         hinted = "strategy=broadcast" in logical
