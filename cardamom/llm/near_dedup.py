@@ -9,10 +9,14 @@
    first components.
 3. A pair that shares a bucket but met neither as member and pivot nor in one
    component could still be a link.  Buckets with members of several
-   components are therefore gone through pair by pair, in blocks, on a finer
-   signature; pairs whose estimate could belong to a similarity at the
-   threshold are verified exactly too.  Pairs inside a component need no test,
-   so a large group of copies is not compared with itself.
+   components are therefore gone through in blocks, on a finer signature;
+   pairs whose estimate could belong to a similarity at the threshold are
+   verified exactly too.  This is done twice.  The first time members meet those
+   of their own block, and each that is not in the block's main component names
+   only the one it seems nearest to, which joins the components of a large group
+   of near copies.  The second time all blocks meet, and all pairs are named
+   that are still in different components; these are few.  Pairs inside a
+   component need no test, so a large group of copies is not compared with itself.
 4. Components of all verified links are the classes.
 
 Which pairs share a bucket is the only thing left to chance: registers of unit
@@ -35,9 +39,11 @@ from cardamom.llm import probminhash as P
 from cardamom.llm import words as W
 from cardamom.llm.common import column, written
 from cardamom.llm.components import components
+from cardamom.session import scratch_space
 
 FINE = 1024  # registers of the finer signature, one byte of each is kept
 BLOCK = 512  # bucket members compared with each other in one go
+NEAREST = 1  # others that a member names the first time
 
 SIGNATURE = "id long, k1 long, k2 long, bands array<long>"
 
@@ -98,12 +104,12 @@ def _verify(width: int, threshold: float):
 
 
 def _links(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
-    """Pairs (a, b) that are similar enough, written."""
+    """Pairs (a, b) that are similar enough."""
     joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
     )
     found = joined.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width, threshold), "a long, b long")
-    return written(found.distinct(), "links")
+    return found.distinct()
 
 
 def _fine(width: int):
@@ -143,8 +149,12 @@ def _begins(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _compare(floor: float):
-    """Pairs of a block pair that are in different components and could reach the threshold."""
+def _compare(floor: float, most: int | None):
+    """Pairs of a block pair that are in different components and could reach the threshold.
+
+    With ``most`` each member names at most so many others, those of the highest
+    estimates, and members of the component that most of them are in name none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, first in whole_runs(batches, ["band", "low", "high"]):
@@ -157,13 +167,20 @@ def _compare(floor: float):
                 c = comp[order]
                 one = low[x] == high[x]
                 past = np.searchsorted(c, c, "right")
+                labels, sizes = np.unique(c, return_counts=True)
+                main = labels[sizes.argmax()]
                 for i in range(len(order)):
-                    others = order[past[i] :]
+                    if most and c[i] == main:
+                        continue
+                    others = order[c != c[i]] if most else order[past[i] :]
                     if not one:
                         others = others[block[others] != block[order[i]]]
                     if len(others):
                         same = (fine[others] == fine[order[i]]).mean(axis=1)
-                        others = others[(same - 1 / 256) / (1 - 1 / 256) >= floor]
+                        near = np.flatnonzero((same - 1 / 256) / (1 - 1 / 256) >= floor)
+                        if most and len(near) > most:
+                            near = near[np.argsort(-same[near], kind="stable")[:most]]
+                        others = others[near]
                         out_a.append(np.minimum(ids[others], ids[order[i]]))
                         out_b.append(np.maximum(ids[others], ids[order[i]]))
             a, b = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (out_a, out_b))
@@ -172,6 +189,27 @@ def _compare(floor: float):
     return run
 
 
+def _mixed(crowded: DataFrame, comps: DataFrame) -> DataFrame:
+    """Members, with their components, of the buckets that hold several components."""
+    members = crowded.select("band", "id").join(comps.withColumnRenamed("node", "id"), "id", "left")
+    members = members.select("band", "id", F.coalesce("component", "id").alias("comp"))
+    buckets = members.groupBy("band").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("n"))
+    return members.join(buckets.where("least < most and n > 2").select("band", "n"), "band")
+
+
+def _block_pairs(rows: DataFrame, own: bool) -> DataFrame:
+    """Each member once for every pair of blocks that it is in, or for its own block alone."""
+    n_blocks = F.ceil(F.col("n") / BLOCK)
+    other = F.col("other")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), n_blocks))
+    if own:
+        return dealt.select("band", "id", "comp", "block", F.col("block").alias("low"), F.col("block").alias("high"))
+    return (
+        dealt.select("band", "id", "comp", "block", F.explode(F.sequence(F.lit(0).cast("long"), n_blocks - 1)).alias("other"))
+        .select("band", "id", "comp", "block", F.least("block", other).alias("low"), F.greatest("block", other).alias("high"))
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -192,49 +230,45 @@ def near_duplicates(
     the class, and the smallest id with exactly the same words.  A text of
     fewer words than a shingle is one shingle.  Documents without words (NULL
     text too) are in no class but their own; a row without an id has no class.
-    Rows that repeat an id are one document.  An empty table gives an empty one.
+    Rows that repeat an id are one document.  An empty table gives an empty
+    one.  Very long texts are signed and compared whole.
     """
     rows_in = docs.select(column(docs, id_col).cast("long").alias("id"), column(docs, text_col).alias("text"))
     signed = written(rows_in.mapInArrow(_sign(width, bands, rows), SIGNATURE), "signatures")
     usable = signed.where("id is not null and k1 is not null")
     # Written, so that the joins below read plain shuffles, whose hot keys Spark can split.
     firsts = written(usable.groupBy("k1", "k2").agg(F.min("id").alias("rep")), "firsts")
-    reps = usable.join(firsts, ["k1", "k2"]).where("id = rep").select("id", F.explode("bands").alias("band"))
-    buckets = reps.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
-    buckets = written(buckets, "pivots")
-    crowded = written(reps.join(buckets.select("band", "pivot"), "band").select("band", "id", "pivot").distinct(), "buckets")
-    texts = written(rows_in.join(crowded.select("id").distinct(), "id", "left_semi"), "texts")
-
-    tested = crowded.where("id > pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = _links(tested, texts, width, threshold)
-    comps = written(components(links, "a", "b"), "components")
-
-    members = crowded.select("band", "id").join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id"))
-    mixed = members.groupBy("band").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("n")).where("least < most and n > 2")
-    mixed = written(mixed, "mixed")
-    open_rows = written(members.join(mixed.select("band", "n"), "band").select("band", "id", "comp", "n"), "open")
-    if not open_rows.isEmpty():
-        fine = texts.join(open_rows.select("id").distinct(), "id", "left_semi").mapInArrow(_fine(width), "id long, fine binary")
-        fine = written(fine, "fine")
+    with scratch_space(docs.sparkSession) as keep:
+        reps = usable.join(firsts, ["k1", "k2"]).where("id = rep").select("id", F.explode("bands").alias("band"))
+        buckets = reps.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
+        buckets = keep(buckets, "pivots")
+        crowded = keep(reps.join(buckets.select("band", "pivot"), "band").select("band", "id", "pivot").distinct(), "buckets")
+        texts = keep(rows_in.join(crowded.select("id").distinct(), "id", "left_semi"), "texts")
+
+        tested = crowded.where("id > pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+        comps = components(keep(_links(tested, texts, width, threshold), "links"), "a", "b")
         floor = threshold - 4.5 * float(np.sqrt(threshold * (1 - threshold) / FINE))
-        n_blocks = F.ceil(F.col("n") / BLOCK)
-        other = F.col("other")
-        dealt = (
-            open_rows.withColumn("block", F.pmod(F.xxhash64("id"), n_blocks))
-            .select("band", "id", "comp", "block", F.explode(F.sequence(F.lit(0).cast("long"), n_blocks - 1)).alias("other"))
-            .select("band", "id", "comp", "block", F.least("block", other).alias("low"), F.greatest("block", other).alias("high"))
-        )
-        pairs = (
-            dealt.join(fine, "id")
-            .repartition("band", "low", "high")
-            .sortWithinPartitions("band", "low", "high")
-            .mapInArrow(_compare(floor), "a long, b long")
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        more = _links(pairs, texts, width, threshold)
-        edges = comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
-        comps = written(components(edges, "a", "b"), "components")
+        fine = None
+        for most in (NEAREST, None):
+            mixed = keep(_mixed(crowded, comps), "mixed")
+            if mixed.isEmpty():
+                break
+            if fine is None:  # components only grow, so later members are among these
+                fine = texts.join(mixed.select("id").distinct(), "id", "left_semi").mapInArrow(_fine(width), "id long, fine binary")
+                fine = keep(fine, "fine")
+            pairs = (
+                _block_pairs(mixed, own=most is not None)
+                .join(fine, "id")
+                .repartition("band", "low", "high")
+                .sortWithinPartitions("band", "low", "high")
+                .mapInArrow(_compare(floor, most), "a long, b long")
+                .distinct()
+                .join(tested, ["a", "b"], "left_anti")
+            )
+            pairs = keep(pairs, "pairs")
+            more = keep(_links(pairs, texts, width, threshold), "links")
+            edges = comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
+            comps, tested = components(edges, "a", "b"), tested.unionByName(pairs)
 
     return (
         signed.select("id", "k1", "k2")
