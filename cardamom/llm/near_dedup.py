@@ -154,12 +154,15 @@ def _compare(floor: float, most: int | None):
 
     With ``most`` each member names at most so many others, those of the highest
     estimates, and members of the component that most of them are in name none.
+    Otherwise a pair that shares several buckets is named in the smallest only,
+    where it meets too: a bucket with members of two components is mixed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, first in whole_runs(batches, ["band", "low", "high"]):
             ids, comp, block, low, high = (batch.column(x).to_numpy() for x in ("id", "comp", "block", "low", "high"))
             fine = np.frombuffer(b"".join(batch.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
+            shared, band = batch.column("shared").to_pylist(), batch.column("band").to_numpy()
             out_a, out_b = [], []
             ends = np.append(first[first < batch.num_rows][1:], batch.num_rows)
             for x, y in zip(first, ends):
@@ -181,6 +184,10 @@ def _compare(floor: float, most: int | None):
                         if most and len(near) > most:
                             near = near[np.argsort(-same[near], kind="stable")[:most]]
                         others = others[near]
+                        if not most and len(others):
+                            # A pair that meets in several buckets is named in the first of them.
+                            earlier = {x for x in shared[order[i]] if x < band[order[i]]}
+                            others = np.array([j for j in others if earlier.isdisjoint(shared[j])], np.int64)
                         out_a.append(np.minimum(ids[others], ids[order[i]]))
                         out_b.append(np.maximum(ids[others], ids[order[i]]))
             a, b = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (out_a, out_b))
@@ -254,8 +261,10 @@ def near_duplicates(
             if mixed.isEmpty():
                 break
             if fine is None:  # components only grow, so later members are among these
-                fine = texts.join(mixed.select("id").distinct(), "id", "left_semi").mapInArrow(_fine(width), "id long, fine binary")
-                fine = keep(fine, "fine")
+                # The buckets of a member are at most as many as its bands.
+                shared = mixed.groupBy("id").agg(F.collect_set("band").alias("shared"))
+                fine = texts.join(shared.select("id"), "id", "left_semi").mapInArrow(_fine(width), "id long, fine binary")
+                fine = keep(fine.join(shared, "id"), "fine")
             pairs = (
                 _block_pairs(mixed, own=most is not None)
                 .join(fine, "id")
