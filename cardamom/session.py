@@ -71,6 +71,7 @@ def get_session(
 
 _LOCAL_ROOTS: dict[str, str] = {}
 _MADE: list[str] = []
+_NAMESPACES: list[str] = []
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
@@ -95,6 +96,20 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return _MADE[-1]
 
 
+def scratch_namespace(spark: SparkSession, label: str) -> str:
+    """A new namespace for catalog tables that are scratch; they lie in the shared folder.
+
+    Its name and folder are used once, so neither another call, nor another
+    program, nor files that an earlier one left behind are in the way.  It goes
+    with its tables when the driver's program ends.
+    """
+    name = f"{label}_{uuid.uuid4().hex}"
+    place = shared_dir(spark, label).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE `{name}` LOCATION '{place}'")
+    _NAMESPACES.append(name)
+    return name
+
+
 def scratch(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: its lineage ends there."""
     path = shared_dir(df.sparkSession, label)
@@ -142,6 +157,11 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
 def _drop_all() -> None:
     spark = SparkSession.getActiveSession()
     if spark is not None:
+        while _NAMESPACES:
+            try:
+                spark.sql(f"DROP DATABASE IF EXISTS `{_NAMESPACES.pop()}` CASCADE")
+            except Exception:  # as below
+                break
         for path in list(_MADE):
             try:
                 drop_scratch(spark, path)

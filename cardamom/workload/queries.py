@@ -29,7 +29,7 @@ from cardamom.plans import (
     timeseries,
 )
 from cardamom.schemas import SCHEMAS
-from cardamom.session import shared_dir
+from cardamom.session import scratch_namespace, shared_dir
 from cardamom.streaming import follow_fact_table, start_after
 from cardamom.workload import roles
 
@@ -602,7 +602,7 @@ def dml_delete_null_day(spark, sf):
 
 
 def _stored_star(spark, sf) -> dict[str, str]:
-    """Companies, cards and transactions as catalog tables, by their declared names."""
+    """Companies, cards and transactions as catalog tables, by their declared names, in a namespace of this call alone."""
     customer = roles.table(spark, sf, "customer")
     orders = roles.table(spark, sf, "orders")
     frames = {
@@ -616,7 +616,8 @@ def _stored_star(spark, sf) -> dict[str, str]:
             (F.col("o_orderstatus") == "F").alias("declined"),
         ),
     }
-    names = {name: f"cardamom_stored_{name}" for name in frames}
+    space = scratch_namespace(spark, "cardamom_stored")
+    names = {name: f"{space}.{name}" for name in frames}
     for name, df in frames.items():
         src.create_table_as(df, names[name])
     return names

@@ -621,3 +621,23 @@ def test_inserts_check_keys_and_columns_change_in_place(spark, rows):
     assert parts.columns == ["id", "credit_card_id", "amount", "company_id"] and not spark.sql("SHOW PARTITIONS ins_parts").isEmpty()
     for name in (*names.values(), "ins_parts"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_stored_tables_of_a_call_are_its_own(spark, rows):
+    """Files of an earlier program lie in the warehouse, and no result is replaced by what is called after it."""
+    from urllib.parse import urlparse
+
+    from cardamom.workload import queries as workload
+
+    sf = "/root/testdata/sf0.001"
+    warehouse = urlparse(spark.conf.get("spark.sql.warehouse.dir")).path
+    for name in ("company", "credit_card", "transaction"):
+        spark.sql(f"DROP TABLE IF EXISTS cardamom_stored_{name}")
+        spark.range(1).write.mode("overwrite").parquet(f"{warehouse}/cardamom_stored_{name}")
+    orders = spark.read.parquet(f"{sf}/orders.parquet").count()
+    first = workload.dml_insert_checked(spark, sf)
+    changed = workload.dml_stored_columns(spark, sf)
+    second = workload.dml_insert_checked(spark, sf)
+    assert len(rows(first)) == orders + 1 and rows(first) == rows(second)
+    assert changed.columns == ["id", "iban", "expiring_date"]
+    assert changed.count() == spark.read.parquet(f"{sf}/customer.parquet").count()
