@@ -10,10 +10,11 @@ fallback, counts as its UTF-8 bytes.
 
 No entry continues past a space, so the best path of a text is put together
 from the best paths of its space-separated segments.  Where all scores are
-whole numbers their sums are exact, and equal segments are counted once.
-Otherwise sums are rounded, which can settle near ties; each segment then
-begins with the score that its text has reached, as it does in the library.  A
-vocabulary with entries across spaces is run on whole texts.
+whole numbers their sums are exact up to 2**53, so in texts too short to reach
+that equal segments are counted once.  In longer texts, and with other scores,
+sums are rounded, which can settle near ties; each segment then begins with the
+score that its text has reached, as it does in the library.  A vocabulary with
+entries across spaces is run on whole texts.
 """
 
 from __future__ import annotations
@@ -57,8 +58,17 @@ class Vocabulary:
 
     @property
     def exact_sums(self) -> bool:
-        """Whether scores add up without rounding, in any order (texts have fewer than 2**31 characters)."""
-        return all(float(x).is_integer() and abs(x) < 1 << 21 for x in self.scores)
+        """Whether all scores are whole numbers, which add up without rounding as far as ``exact_bytes``."""
+        return all(float(x).is_integer() for x in self.scores)
+
+    @property
+    def exact_bytes(self) -> int:
+        """Bytes that a text can have for its scores to add up without rounding, in any order; below 1 for none.
+
+        A path has at most a step for each byte and one for the space before the
+        text; none costs more than the largest score and the 10 of an unknown character.
+        """
+        return int(2**53 // (max(map(abs, self.scores), default=0.0) + 10)) - 1 if self.exact_sums else 0
 
     @property
     def lines_apart(self) -> bool:
@@ -139,6 +149,7 @@ class _Counter:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.exact_bytes = vocabulary.exact_bytes
         self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
@@ -150,8 +161,10 @@ class _Counter:
         ends = np.append(starts[1:], len(data))
         text = np.searchsorted(at, starts, "right") - 1
         leads = starts == at[text]
-        if not v.exact_sums:
-            return self._one_after_the_other(data, starts, ends, text, leads, len(at) - 1)
+        raw, n = data.tobytes(), len(at) - 1
+        exact = (np.diff(at) <= self.exact_bytes)[text]
+        rounded = self._one_after_the_other(raw, *(x[~exact] for x in (starts, ends, text, leads)), n)
+        starts, ends, text, leads = (x[exact] for x in (starts, ends, text, leads))
         keys = W.run_hashes(data, starts, ends) ^ np.where(leads, np.uint64(0x6A09E667F3BCC909), np.uint64(0))
         distinct, first, which = np.unique(keys, return_index=True, return_inverse=True)
         place = np.searchsorted(self.keys, distinct)
@@ -159,7 +172,6 @@ class _Counter:
         known[known] = self.keys[place[known]] == distinct[known]
         counts = np.empty(len(distinct), np.int64)
         counts[known] = self.counts[place[known]]
-        raw = data.tobytes()
         new = np.flatnonzero(~known)
         for i in new:
             s = first[i]
@@ -168,15 +180,15 @@ class _Counter:
             self.keys, self.counts = self.keys[:0], self.counts[:0]
             place = np.zeros(len(distinct), np.int64)
         self.keys, self.counts = np.insert(self.keys, place[new], distinct[new]), np.insert(self.counts, place[new], counts[new])
-        return np.bincount(text, weights=counts[which], minlength=len(at) - 1).astype(np.int64)
+        return rounded + np.bincount(text, weights=counts[which], minlength=n).astype(np.int64)
 
     def _segment(self, raw: bytes, start: int, end: int, leads: bool) -> str:
         segment = raw[start:end].decode().replace(" ", SPACE)
         return SPACE + segment if leads and self.vocabulary.prefix else segment
 
-    def _one_after_the_other(self, data, starts, ends, text, leads, n: int) -> np.ndarray:
+    def _one_after_the_other(self, raw: bytes, starts, ends, text, leads, n: int) -> np.ndarray:
         """Counts with the running score of each text carried from segment to segment."""
-        raw, total, reached = data.tobytes(), np.zeros(n, np.int64), 0.0
+        total, reached = np.zeros(n, np.int64), 0.0
         for s, (start, end, i) in enumerate(zip(starts, ends, text)):
             pieces, reached = self.vocabulary.count(self._segment(raw, start, end, leads[s]), 0.0 if leads[s] else reached)
             total[i] += pieces

@@ -83,6 +83,35 @@ def test_scores_that_are_no_whole_numbers(byte_fallback):
     assert not loose.segmented and _Counter(loose)(pa.array(texts)).tolist() == [count(t) for t in texts]
 
 
+def test_equal_segments_are_counted_once(vocabulary, monkeypatch):
+    import pyarrow as pa
+
+    # Some entries of this vocabulary cost 10**9, so that only very long texts have rounded sums.
+    assert vocabulary.exact_sums and vocabulary.exact_bytes > 1 << 22
+    expected = library(vocabulary)("some words over and over ")
+    seen, plain = [], Vocabulary.count
+    monkeypatch.setattr(Vocabulary, "count", lambda self, text, *reached: seen.append(text) or plain(self, text, *reached))
+    assert _Counter(vocabulary)(pa.array(["some words over and over "] * 500)).tolist() == [expected] * 500
+    assert len(seen) == len(set(seen)) <= 6
+
+
+def test_whole_numbers_in_texts_too_long_for_exact_sums(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    pieces = ["<unk>", SPACE] + [f"{s}{x}" for s in ("", SPACE) for x in ("a", "b", "aa", "ab", "ba", "bb", "aab", "abab")]
+    scores = [0.0] + [float(-len(x) * 2**45 - rng.choice([0, 1, 2, 3])) for x in pieces[1:]]
+    v = Vocabulary(tuple(pieces), tuple(scores), byte_fallback=False)
+    assert v.segmented and v.exact_sums and 40 < v.exact_bytes < 100
+    texts = ["".join(rng.choice("aaabbb x") for _ in range(rng.choice([0, 20, 40, 60, 400, 2000]))) for _ in range(300)]
+    assert {len(t) <= v.exact_bytes for t in texts} == {True, False}
+    count = library(v)
+    expected = [count(t) for t in texts]
+    assert _Counter(v)(pa.array(texts)).tolist() == expected
+    monkeypatch.setattr(Vocabulary, "exact_bytes", 1 << 30)  # segments put together regardless: near ties come out otherwise
+    assert _Counter(v)(pa.array(texts)).tolist() != expected
+
+
 def test_odd_rows(spark, vocabulary, monkeypatch):
     rows = [(1, None), (1, ""), (2, "word " * 50_000), (None, "x" * 20_000), (2, "word")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as doc", "2 as n_tokens")
